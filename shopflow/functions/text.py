@@ -7,9 +7,9 @@ from pyspark.sql import Column, functions as F
 from shopflow.functions.columns import let, ratio
 
 # Line ends and blanks of Unicode text.
-LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85  ]"
-BLANKS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0          "
-          "      　")
+LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\x{2028}\x{2029}]"
+BLANKS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
+                           0x2029, 0x202F, 0x205F, 0x3000]))
 BLANK_RUN = r"(?U)[\s\x1C-\x1F]+"
 
 # Words that mark shop data, and section titles that mark noise.
@@ -191,7 +191,9 @@ def _first_object(c: Column) -> Column:
 
 
 def is_json(c: Column) -> Column:
-    return F.try_parse_json(c).isNotNull()
+    """True for exactly one JSON value. The parser ignores text behind the value, hence the two brackets around."""
+    return (F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))).isNotNull()
+            & F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}"))).isNotNull())
 
 
 def salvage_json(c: Column) -> Column:
