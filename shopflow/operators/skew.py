@@ -58,7 +58,7 @@ def with_ranges(df: DataFrame, keys: list[str], order: list[str], ranges: int |
     groups = [lows[i:i + width] for i in range(0, len(lows), width)]
     here = F.struct(*cols)
     coarse = F.size(F.filter(F.array(*[g[0] for g in groups]), lambda b: b <= here))
-    fine = F.size(F.filter(F.element_at(F.array(*[F.array(*g) for g in groups]), F.col("_coarse")), lambda b: b <= here))
+    fine = F.size(F.filter(F.get(F.array(*[F.array(*g) for g in groups]), F.col("_coarse") - 1), lambda b: b <= here))
     return (df.withColumn("_coarse", coarse)
             .withColumn(_RANGE, F.when(F.col("_coarse") == 0, 0).otherwise((F.col("_coarse") - 1) * width + fine))
             .drop("_coarse"))
