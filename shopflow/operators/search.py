@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shopflow.functions import text
 from shopflow.operators.catalogue import product_words, query_words
 from shopflow.operators.skew import salted_join, top_per_key
+from shopflow.runtime import cut
 from shopflow.schemas import PRODUCT_KEY
 
 K1, B = 1.2, 0.75
@@ -104,18 +105,50 @@ def similar(vectors: DataFrame, k: int, queries: DataFrame | None = None, cells:
     """The ``k`` nearest vectors by cosine for each query, exact: (id, rank, other_id, similarity).
 
     ``vectors`` and ``queries`` are (id, vector); all vectors are queries by default and none matches itself. Ties go
-    to the smaller id. Vectors live in cells around pivots. A query first searches its own cell, which bounds the
-    distance of its k-th neighbour; by the triangle inequality it then visits only the cells that can hold a nearer
-    vector. Cells are cut into pieces of about ``cell_rows`` vectors, so no task holds more than one piece of vectors
-    and one piece of queries, however uneven the cells are.
+    to the smaller id.
+
+    Copies of one vector are searched once: of a group of copies only the k + 1 smallest ids can be among anyone's
+    answers, and all members share one list of k + 1 answers, less themselves.
     """
-    if vectors.isEmpty():
-        return vectors.select("id", F.lit(1).alias("rank"), F.col("id").alias("other_id"),
-                              F.lit(0.0).alias("similarity")).limit(0)
-    n = vectors.count()
-    cells = cells or int(max(1, min(MAX_CELLS, n ** 0.5 / 2)))
-    pivots = _pivots(vectors, cells)
-    id_type = vectors.schema["id"].dataType.simpleString()
+    own = queries is None
+    members = _grouped(vectors)
+    asked = members if own else _grouped(queries)
+    points = members.where(F.col("id") == F.col("rep")).select("id", "vector")
+    wanted = points if own else asked.where(F.col("id") == F.col("rep")).select("id", "vector")
+    nearest = _nearest_points(points, wanted, k + 1, cells, cell_rows)
+
+    answers = top_per_key(members.select("id", "rep"), ["rep"], [F.col("id")], k + 1).select(
+        F.col("rep").alias("other_rep"), F.col("id").alias("other_id"))
+    order = [F.round("similarity", 12).desc(), F.col("other_id")]
+    best = top_per_key(nearest.join(answers, "other_rep"), ["rep"], order, k + 1)
+    shared = best.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct(
+        (-F.round("similarity", 12)).alias("o"), "other_id", "similarity"))).alias("top"))
+    served = salted_join(asked.select("id", "rep"), shared, ["rep"], ["id"], "inner")
+    others = F.slice(F.filter("top", lambda t: t["other_id"] != F.col("id")), 1, k)
+    return served.select("id", F.posexplode(others).alias("_p", "t")).select(
+        "id", (F.col("_p") + 1).alias("rank"), "t.other_id", "t.similarity")
+
+
+def _grouped(vectors: DataFrame) -> DataFrame:
+    """(id, vector, rep): ``rep`` is the smallest id among the copies of a vector."""
+    reps = vectors.groupBy("vector").agg(F.min("id").alias("rep"))
+    return cut(salted_join(vectors.select("id", "vector"), reps, ["vector"], ["id"]))
+
+
+def _nearest_points(points: DataFrame, wanted: DataFrame, k: int, cells: int | None, cell_rows: int) -> DataFrame:
+    """The ``k`` nearest points, a point itself included: (rep, other_rep, similarity).
+
+    Points live in cells around pivots. A query first searches its own cell, which bounds the distance of its k-th
+    neighbour; by the triangle inequality it then visits only the cells that can hold a nearer point. Cells are cut
+    into pieces of about ``cell_rows`` points, so no task holds more than one piece of points and one of queries,
+    however uneven the cells are.
+    """
+    result_type = points.schema["id"].dataType.simpleString()
+    result = f"rep {result_type}, other_rep {result_type}, similarity double"
+    n = points.count()
+    if n == 0:
+        return points.select(F.col("id").alias("rep"), F.col("id").alias("other_rep"), F.lit(0.0).alias("similarity"))
+    pivots = _pivots(points, cells or int(max(1, min(MAX_CELLS, n ** 0.5 / 2))))
 
     def assign(batches):
         for pdf in batches:
@@ -125,78 +158,67 @@ def similar(vectors: DataFrame, k: int, queries: DataFrame | None = None, cells:
                 dist = np.sqrt(np.maximum(0.0, 2 - 2 * sims[np.arange(len(pdf)), best]))
                 yield pdf.assign(cell=best.astype("int32"), dist=dist)
 
-    placed = vectors.select("id", "vector").mapInPandas(
-        assign, f"id {id_type}, vector array<float>, cell int, dist double")
-    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("radius")).collect()
+    place = f"id {result_type}, vector array<float>, cell int, dist double"
+    placed = cut(points.mapInPandas(assign, place))
+    asked = placed if wanted is points else cut(wanted.mapInPandas(assign, place))
     radius = np.full(len(pivots), -1.0)
     pieces = np.ones(len(pivots), dtype=int)
-    for row in sizes:
+    for row in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("radius")).collect():
         radius[row["cell"]] = row["radius"]
         pieces[row["cell"]] = -(-row["n"] // cell_rows)
-    piece_count = F.element_at(F.array(*[F.lit(int(p)) for p in pieces]), F.col("cell") + 1)
-    stored = placed.withColumn("piece", F.pmod(F.xxhash64("id"), piece_count).cast("int"))
-    asked = placed if queries is None else queries.select("id", "vector").mapInPandas(
-        assign, f"id {id_type}, vector array<float>, cell int, dist double")
-    result = f"id {id_type}, other_id {id_type}, similarity double"
+
+    def per_cell(numbers: np.ndarray) -> Column:
+        return F.element_at(F.array(*[F.lit(int(x)) for x in numbers]), F.col("cell") + 1)
+
+    stored = placed.withColumn("piece", F.pmod(F.xxhash64("id"), per_cell(pieces)).cast("int"))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"id": [], "other_id": [], "similarity": []})
+            return pd.DataFrame({"rep": left["id"][:0], "other_rep": left["id"][:0], "similarity": []})
         right = right.sort_values("id", kind="stable")
         ids, data = right["id"].to_numpy(), _matrix(right["vector"])
         out = []
         for at in range(0, len(left), 512):
             part = left.iloc[at:at + 512]
             sims = np.clip(_matrix(part["vector"]) @ data.T, -1.0, 1.0)
-            sims[part["id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
             top = np.argsort(-np.round(sims, 12), axis=1, kind="stable")[:, :k]
             rows = np.repeat(np.arange(len(part)), top.shape[1])
-            values = sims[rows, top.ravel()]
-            found = pd.DataFrame({"id": part["id"].to_numpy()[rows], "other_id": ids[top.ravel()], "similarity": values})
-            out.append(found[np.isfinite(values)])
+            out.append(pd.DataFrame({"rep": part["id"].to_numpy()[rows], "other_rep": ids[top.ravel()],
+                                     "similarity": sims[rows, top.ravel()]}))
         return pd.concat(out)
 
     def visit(routed: DataFrame) -> DataFrame:
         """Search routed queries (id, vector, cell) in every piece of their cells; both sides are split into pieces."""
-        load = routed.groupBy("cell").agg(F.count(F.lit(1)).alias("m")).collect()
         shares = np.ones(len(pivots), dtype=int)
-        for row in load:
+        for row in routed.groupBy("cell").agg(F.count(F.lit(1)).alias("m")).collect():
             shares[row["cell"]] = -(-row["m"] // cell_rows)
-        share_count = F.element_at(F.array(*[F.lit(int(s)) for s in shares]), F.col("cell") + 1)
-        left = (routed.withColumn("share", F.pmod(F.xxhash64("id", F.lit(7)), share_count).cast("int"))
-                .withColumn("piece", F.explode(F.sequence(F.lit(0), piece_count - 1))))
-        right = stored.withColumn("share", F.explode(F.sequence(F.lit(0), share_count - 1)))
+        left = (routed.withColumn("share", F.pmod(F.xxhash64("id", F.lit(7)), per_cell(shares)).cast("int"))
+                .withColumn("piece", F.explode(F.sequence(F.lit(0), per_cell(pieces) - 1))))
+        right = stored.withColumn("share", F.explode(F.sequence(F.lit(0), per_cell(shares) - 1)))
         unit = ["cell", "piece", "share"]
         return (left.select(*unit, "id", "vector").groupBy(*unit)
                 .cogroup(right.select(*unit, "id", "vector").groupBy(*unit)).applyInPandas(search, result))
 
-    near = visit(asked.select("id", "vector", "cell"))
-    order = [F.round("similarity", 12).desc(), F.col("other_id")]
-    home = top_per_key(near, ["id"], order, k)
-    bound = home.groupBy("id").agg(F.min("similarity").alias("worst"), F.count(F.lit(1)).alias("found"))
+    order = [F.round("similarity", 12).desc(), F.col("other_rep")]
+    home = cut(top_per_key(visit(asked.select("id", "vector", "cell")), ["rep"], order, k))
+    bound = home.groupBy(F.col("rep").alias("id")).agg(F.min("similarity").alias("worst"), F.count(F.lit(1)).alias("found"))
 
     def route(batches):
         for pdf in batches:
             if not len(pdf):
                 continue
             sims = np.clip(_matrix(pdf["vector"]) @ pivots.T, -1.0, 1.0)
-            to_pivot = np.sqrt(2 - 2 * sims)
             worst = np.where(pdf["found"].fillna(0).to_numpy() >= k, pdf["worst"].fillna(-1.0).to_numpy(), -1.0)
             reach = np.sqrt(np.maximum(0.0, 2 - 2 * worst))
-            open_ = (to_pivot - radius[None, :] <= reach[:, None] + 1e-6) & (radius[None, :] >= 0)
-            open_[np.arange(len(pdf)), pdf["cell"].to_numpy()] = False
-            row, cell = np.nonzero(open_)
+            visited = (np.sqrt(2 - 2 * sims) - radius[None, :] <= reach[:, None] + 1e-6) & (radius[None, :] >= 0)
+            visited[np.arange(len(pdf)), pdf["cell"].to_numpy()] = False
+            row, cell = np.nonzero(visited)
             yield pd.DataFrame({"id": pdf["id"].to_numpy()[row], "vector": pdf["vector"].to_numpy()[row],
                                 "cell": cell.astype("int32")})
 
-    routed = asked.join(bound, "id", "left").select("id", "vector", "cell", "worst", "found").mapInPandas(
-        route, f"id {id_type}, vector array<float>, cell int")
-    merged = home.unionByName(visit(routed))
-    best = top_per_key(merged, ["id"], order, k)
-    ranked = best.groupBy("id").agg(F.array_sort(F.collect_list(F.struct(
-        (-F.round("similarity", 12)).alias("o"), "other_id", "similarity"))).alias("top"))
-    return ranked.select("id", F.posexplode("top").alias("_p", "t")).select(
-        "id", (F.col("_p") + 1).alias("rank"), "t.other_id", "t.similarity")
+    routed = cut(asked.join(bound, "id", "left").select("id", "vector", "cell", "worst", "found").mapInPandas(
+        route, f"id {result_type}, vector array<float>, cell int"))
+    return top_per_key(home.unionByName(visit(routed)), ["rep"], order, k)
 
 
 def pending(products: DataFrame, vectors: DataFrame, key: str = "id") -> DataFrame:
