@@ -48,7 +48,6 @@ def doc_pairs(docs: DataFrame, n: int = SAMPLE_DOCS) -> DataFrame:
                     F.col("p.a.markdown").alias("text_a"), F.col("p.b.markdown").alias("text_b")))
 
 
-@F.pandas_udf("array<struct<a:int,n:int>>")
 def matching_runs(a: pd.Series, b: pd.Series) -> pd.Series:
     """Maximal runs of equal lines in order, longest first and without crossing: (start in a, length)."""
     def one(x, y):
@@ -61,7 +60,8 @@ def matching_runs(a: pd.Series, b: pd.Series) -> pd.Series:
 def common_blocks(pairs: DataFrame) -> DataFrame:
     """Adds ``blocks``: shared runs without unsafe lines, with more than three words, each once, in page order."""
     split = pairs.withColumns({"_a": text.stripped_lines(F.col("text_a")), "_b": text.stripped_lines(F.col("text_b"))})
-    runs = split.withColumn("_runs", matching_runs("_a", "_b"))
+    match = F.pandas_udf(matching_runs, "array<struct<a:int,n:int>>")
+    runs = split.withColumn("_runs", match("_a", "_b"))
     safe = F.transform("_runs", lambda r: F.filter(F.slice("_a", r["a"] + 1, r["n"]), text.is_safe_line))
     return (runs.withColumn("blocks", F.array_distinct(F.filter(safe, text.is_valid_block)))
             .drop("_a", "_b", "_runs", "text_a", "text_b"))
