@@ -66,8 +66,8 @@ def product_summary(read):
                                             F.date_format("created", ISO).alias("created"))
 
 
-BM25_SQL = r"""toks AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS t FROM documents),
-tf AS (SELECT doc_id, len(t) AS dl, len(list_filter(t, x -> x = 'thention')) AS a, len(list_filter(t, x -> x = 'ment')) AS b FROM toks),
+BM25_SQL = r"""toks AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS t FROM documents),
+tf AS (SELECT doc_id, len(t) AS dl, len(list_filter(t, lambda x: x = 'thention')) AS a, len(list_filter(t, lambda x: x = 'ment')) AS b FROM toks),
 st AS (SELECT count(*)::DOUBLE AS n, avg(dl) AS m, count(*) FILTER (WHERE a > 0) AS da, count(*) FILTER (WHERE b > 0) AS db FROM tf),
 sc AS (SELECT doc_id, ln(1 + (n - da + 0.5) / (da + 0.5)) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * dl / m))
   + ln(1 + (n - db + 0.5) / (db + 0.5)) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * dl / m)) AS score FROM tf, st WHERE dl > 0)"""
@@ -139,8 +139,8 @@ def personalised(read):
 
 @query(f"""WITH {PRODUCTS_SQL}, f AS (SELECT s_nationkey AS user_id, s_suppkey AS filter_id, ['red','small','blue','hot','old'][s_suppkey % 5 + 1] AS w1,
   CAST(1 + s_suppkey % 25 AS VARCHAR) AS w2, CAST(s_acctbal * 10 AS BIGINT) AS lo, CASE WHEN s_suppkey % 3 = 0 THEN 'SOLD' END AS st FROM supplier)
-SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(filter_id AS VARCHAR) AS filter_id, shop_id, shops_product_id FROM f JOIN products ON list_contains(string_split(title, ' '), w1)
-  AND list_contains(string_split(description, ' '), w2) AND amount >= lo AND (st IS NULL OR state = st)""")
+SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(filter_id AS VARCHAR) AS filter_id, shop_id, shops_product_id FROM f JOIN products ON list_contains(string_split(title || ' ' || description, ' '), w1)
+  AND list_contains(string_split(title || ' ' || description, ' '), w2) AND amount >= lo AND (st IS NULL OR state = st)""")
 def saved_searches(read):
     """A stored search per supplier against all products."""
     k = F.col("s_suppkey")

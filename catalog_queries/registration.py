@@ -72,7 +72,7 @@ def register_job(read):
 
     image = F.concat(F.lit("{"), text("pk", F.concat(F.lit("SHOP#"), "domain")), F.lit(","), text("sk", F.lit("META#")), F.lit("}"))
     kinds = F.explode(F.array(F.lit("INSERT"), F.lit("MODIFY")))
-    records = new.select(kinds.alias("eventName"), F.struct(
+    records = new.withColumn("eventName", kinds).select("eventName", F.struct(
         F.from_json(image, "map<string,struct<S:string>>").alias("NewImage"), F.col("first_page").cast("string").alias("SequenceNumber")).alias("dynamodb"))
     return jobs.register_shops(records, known)["plan"].drop("image").withColumn("domains", F.array_join("domains", ","))
 

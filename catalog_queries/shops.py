@@ -193,7 +193,7 @@ def resume_cursor(read):
 @query("""WITH c AS (SELECT 'cust' || c_custkey AS domain, (c_custkey * 2654435761) % 4294967296 AS ip,
   CASE WHEN c_custkey % 4 = 0 THEN 'COUNTRY#XX' END AS known FROM customer)
 SELECT domain, coalesce(known, 'COUNTRY#' || n_name) AS shop_country FROM c LEFT JOIN nation
-  ON ip BETWEEN n_nationkey * 134217728 AND n_nationkey * 134217728 + 100000000""")
+  ON ip BETWEEN CAST(n_nationkey AS BIGINT) * 134217728 AND CAST(n_nationkey AS BIGINT) * 134217728 + 100000000""")
 def country_range(read):
     k = F.col("c_custkey")
     shops_ = read("customer").select(F.concat(F.lit("cust"), k.cast("string")).alias("domain"), ((k * 2654435761) % 4294967296).alias("ip"),

@@ -53,8 +53,8 @@ def safe_lines(read):
 
 
 @query(rf"""WITH {LINES_SQL}
-SELECT doc_id, block_no, CAST(sum(len(list_filter(regexp_split_to_array(line, '{BLANK}+'), x -> x <> ''))) AS BIGINT) AS words,
-  sum(len(list_filter(regexp_split_to_array(line, '{BLANK}+'), x -> x <> ''))) > 3 AS valid
+SELECT doc_id, block_no, CAST(sum(len(list_filter(regexp_split_to_array(line, '{BLANK}+'), lambda x: x <> ''))) AS BIGINT) AS words,
+  sum(len(list_filter(regexp_split_to_array(line, '{BLANK}+'), lambda x: x <> ''))) > 3 AS valid
 FROM (SELECT *, line_no // 2 AS block_no FROM doc_lines) GROUP BY doc_id, block_no""")
 def valid_blocks(read):
     """Blocks of two lines."""
@@ -176,9 +176,18 @@ boxes AS (
 )"""
 
 
-@query(None)
+@query(rf"""WITH RECURSIVE {SAMPLE_SQL}, {RUNS_SQL},
+found AS (SELECT m.domain, m.pair_no, m.ma, la.i, la.line,
+   NOT (line LIKE '#%' OR regexp_matches(lower(line), '(^|[^\p{{L}}\p{{M}}\p{{N}}_])(price|inventory|sku|item|lot|verfügbarkeit|vorrätig|availability|stock|zustand)($|[^\p{{L}}\p{{M}}\p{{N}}_])')
+     OR regexp_matches(line, '[$€£]\s*[0-9]|[0-9]\s*[$€£]')) AS safe
+   FROM boxes m JOIN la ON la.domain = m.domain AND la.pair_no = m.pair_no AND la.i >= m.ma AND la.i < m.ma + m.mn WHERE m.ma IS NOT NULL),
+block AS (SELECT domain, pair_no, ma, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY i) AS body FROM found WHERE safe GROUP BY domain, pair_no, ma
+   HAVING len(list_filter(regexp_split_to_array(string_agg(line, ' ' ORDER BY i), '{BLANK}+'), lambda x: x <> '')) > 3),
+once AS (SELECT domain, pair_no, min(ma) AS ma, n_lines, body FROM block GROUP BY domain, pair_no, n_lines, body),
+first AS (SELECT * FROM once QUALIFY pair_no = min(pair_no) OVER (PARTITION BY domain))
+SELECT domain, row_number() OVER (PARTITION BY domain ORDER BY ma) - 1 AS block_no, n_lines, sha256(body) AS block_hash FROM first""")
 def common_blocks(read):
-    """Blocks shared by the sample pages of a source; checked in the tests against plain Python on the same rows."""
+    """Blocks shared by the sample pages of a source. The SQL follows the same longest-first matching by recursion."""
     docs = _shop_docs(read)
     found = B.discover(_sample(read), docs.select("domain"))
     return found.select("domain", F.posexplode("blocks").alias("block_no", "block")).select(

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopflow.functions import text
-from shopflow.functions.columns import let
+from shopflow.functions.columns import let, once
 from shopflow.schemas import CURRENCIES, EXTRACTED, EXTRACTED_KEYS, LANGUAGES, PRODUCT_STATES
 
 SYSTEM_TEMPLATE = ("Extract one product of an antiques shop from the page text below as a JSON object that follows the "
@@ -16,7 +16,7 @@ SYSTEM_TEMPLATE = ("Extract one product of an antiques shop from the page text b
 USER_TEMPLATE = "Current time: %s\n\nPage text:\n%s"
 
 # Words and signs read by the rule-based extractor.
-_AMOUNT = r"([0-9]{1,3}(?:[., ][0-9]{3})*(?:[.,][0-9]{1,2})?|[0-9]+(?:[.,][0-9]{1,2})?)"
+_AMOUNT = r"([0-9]{1,3}(?:[., ][0-9]{3})+(?:[.,][0-9]{1,2})?(?![0-9])|[0-9]+(?:[.,][0-9]{1,2})?(?![0-9]))"
 _SIGN = r"(EUR|GBP|USD|AUD|CAD|NZD|[€£$])"
 _NUMBER_WORDS = r"(?iu)\b(?:art(?:ikel)?\.?\s*-?\s*nr|lot(?:\s*-?\s*nr)?|sku|item\s+no|ref)\b\.?\s*[:#]?\s*([A-Za-z0-9][\w-]*)"
 _STATES = [
@@ -167,14 +167,14 @@ def _record(v: Column) -> Column:
 
 def with_extracted(df: DataFrame, reply: str = "reply") -> DataFrame:
     """Adds ``extracted`` (null when invalid) and ``errors``, one entry per failed check, from a reply text."""
-    body = df.withColumn("_body", text.salvage_json(F.col(reply)))
-    parsed = body.withColumn("_v", F.try_parse_json("_body"))
+    body = once(df, _body=text.salvage_json(F.col(reply)))
+    parsed = once(body, _v=F.try_parse_json("_body"))
     v = F.col("_v")
     empty = ~F.coalesce(F.schema_of_variant(v).startswith("OBJECT<") & (F.size(F.json_object_keys("_body")) > 0),
                         F.lit(False))
     errors = F.when(empty, F.array(F.lit("no data"))).otherwise(F.array_compact(F.array(*_checks(v, F.col("_body")))))
-    return (parsed.withColumn("errors", errors)
-            .withColumn("extracted", F.when(F.size("errors") == 0, _record(v))).drop("_v", "_body"))
+    checked = once(parsed, errors=errors)
+    return once(checked, extracted=F.when(F.size("errors") == 0, _record(v))).drop("_v", "_body")
 
 
 def validate_extracted(df: DataFrame, reply: str = "reply") -> tuple[DataFrame, DataFrame]:
@@ -193,8 +193,9 @@ def extract_products(df: DataFrame, extractor: Callable[[pd.Series], pd.Series]
     rule-based extractor is used, which stays in the JVM.
     """
     if extractor is None:
-        return with_extracted(df.withColumn("reply", rule_reply(F.col(content), F.col("url"))))
-    return with_extracted(df.withColumn("reply", F.pandas_udf(extractor, "string")(content)))
+        return with_extracted(once(df, reply=rule_reply(F.col(content), F.col("url"))))
+    return with_extracted(once(df.withColumn("_reply", F.pandas_udf(extractor, "string")(content)), reply=F.col("_reply"))
+                          .drop("_reply"))
 
 
 def looks_like_product(content: Column, url: Column) -> Column:

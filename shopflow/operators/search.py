@@ -15,6 +15,10 @@ from shopflow.schemas import PRODUCT_KEY
 K1, B = 1.2, 0.75
 
 
+def _is(term: str):
+    return lambda word: word == term
+
+
 def score(df: DataFrame, query: str, tokens: Column | None = None) -> DataFrame:
     """Adds ``score``: BM25 of the query words over all rows of ``df``; 0 without a hit.
 
@@ -23,7 +27,7 @@ def score(df: DataFrame, query: str, tokens: Column | None = None) -> DataFrame:
     terms = query_words(query)
     tokens = product_words() if tokens is None else tokens
     counted = df.withColumn("_t", tokens).withColumn("_len", F.size("_t")).withColumns(
-        {f"_tf{i}": F.size(F.filter("_t", lambda w, t=t: w == t)) for i, t in enumerate(terms)}).drop("_t")
+        {f"_tf{i}": F.size(F.filter("_t", _is(t))) for i, t in enumerate(terms)}).drop("_t")
     stats = counted.select(F.struct(
         F.count(F.lit(1)).cast("double").alias("n"), F.avg("_len").alias("mean"),
         *[F.count_if(F.col(f"_tf{i}") > 0).cast("double").alias(f"df{i}") for i in range(len(terms))])).scalar()
@@ -148,7 +152,7 @@ def _nearest_points(points: DataFrame, wanted: DataFrame, k: int, cells: int | N
     n = points.count()
     if n == 0:
         return points.select(F.col("id").alias("rep"), F.col("id").alias("other_rep"), F.lit(0.0).alias("similarity"))
-    pivots = _pivots(points, cells or int(max(1, min(MAX_CELLS, n ** 0.5 / 2))))
+    pivots = _pivots(points, cells or max(1, min(MAX_CELLS, 4 * n // cell_rows)))
 
     def assign(batches):
         for pdf in batches:
@@ -174,9 +178,9 @@ def _nearest_points(points: DataFrame, wanted: DataFrame, k: int, cells: int | N
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"rep": left["id"][:0], "other_rep": left["id"][:0], "similarity": []})
-        right = right.sort_values("id", kind="stable")
-        ids, data = right["id"].to_numpy(), _matrix(right["vector"])
+            return pd.DataFrame({"rep": [], "other_rep": [], "similarity": []})
+        right = right.sort_values("point", kind="stable")
+        ids, data = right["point"].to_numpy(), _matrix(right["place"])
         out = []
         for at in range(0, len(left), 512):
             part = left.iloc[at:at + 512]
@@ -194,10 +198,11 @@ def _nearest_points(points: DataFrame, wanted: DataFrame, k: int, cells: int | N
             shares[row["cell"]] = -(-row["m"] // cell_rows)
         left = (routed.withColumn("share", F.pmod(F.xxhash64("id", F.lit(7)), per_cell(shares)).cast("int"))
                 .withColumn("piece", F.explode(F.sequence(F.lit(0), per_cell(pieces) - 1))))
-        right = stored.withColumn("share", F.explode(F.sequence(F.lit(0), per_cell(shares) - 1)))
-        unit = ["cell", "piece", "share"]
-        return (left.select(*unit, "id", "vector").groupBy(*unit)
-                .cogroup(right.select(*unit, "id", "vector").groupBy(*unit)).applyInPandas(search, result))
+        right = stored.withColumn("share", F.explode(F.sequence(F.lit(0), per_cell(shares) - 1))).select(
+            F.col("cell").alias("in_cell"), F.col("piece").alias("in_piece"), F.col("share").alias("in_share"),
+            F.col("id").alias("point"), F.col("vector").alias("place"))
+        return (left.select("cell", "piece", "share", "id", "vector").groupBy("cell", "piece", "share")
+                .cogroup(right.groupBy("in_cell", "in_piece", "in_share")).applyInPandas(search, result))
 
     order = [F.round("similarity", 12).desc(), F.col("other_rep")]
     home = cut(top_per_key(visit(asked.select("id", "vector", "cell")), ["rep"], order, k))

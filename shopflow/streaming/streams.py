@@ -105,7 +105,7 @@ def progress_stream(outcomes: DataFrame) -> DataFrame:
 def windowed_progress(outcomes: DataFrame, width: str = "10 minutes", late: str = "10 minutes",
                       ts: str = "observed_at") -> DataFrame:
     """Counters per domain and time window; rows later than ``late`` are dropped."""
-    windowed = outcomes.withWatermark(ts, late).withColumn("window", F.window(ts, width))
+    windowed = outcomes.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).withColumn("window", F.window(ts, width))
     return run_stats(windowed, ("domain", "window"))
 
 
