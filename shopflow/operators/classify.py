@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 FEATURES = 1 << 14
 
@@ -48,7 +48,7 @@ def classify_urls(df: DataFrame, model: PipelineModel | None = None,
     if make_predictor is not None:
         from pyspark.ml.functions import predict_batch_udf
 
-        score = predict_batch_udf(make_predictor, return_type="double", batch_size=batch_size)
+        score = predict_batch_udf(make_predictor, return_type=T.DoubleType(), batch_size=batch_size)
         scored = df.withColumn("_p", score("url"))
     else:
         scored = model.transform(df).withColumn("_p", F.get(vector_to_array("probability"), 1))

@@ -40,20 +40,25 @@ def _literal(value, dtype, depth=0) -> Column:
     return F.lit(value).cast(dtype)
 
 
-def with_ranges(df: DataFrame, keys: list[str], order: list[str], ranges: int | None = None) -> DataFrame:
-    """Adds ``_range``: the number of a contiguous range of (keys, order), about equal in rows.
+def _range_bounds(df: DataFrame, keys: list[str], order: list[str], ranges: int | None) -> list[Column]:
+    """Lower bounds of contiguous ranges of (keys, order), about equal in rows; the first range has none.
 
-    The bounds come from a range partitioning of the key and order columns alone and number at most ``ranges``.
-    Any bounds are right, they only decide the balance, so the result does not depend on them.
+    They come from a range partitioning of the key and order columns alone and number fewer than ``ranges``.
     """
     ranges = ranges or min(1024, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cols = [F.col(c) for c in [*keys, *order]]
     bounds_df = (df.select(*cols).repartitionByRange(ranges, *cols)
                  .groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(*cols)).alias("low")))
     dtype = bounds_df.schema["low"].dataType
-    lows = [_literal(r["low"], dtype) for r in bounds_df.orderBy("p").collect()][1:]
-    if not lows:
-        return df.withColumn(_RANGE, F.lit(0))
+    return [_literal(r["low"], dtype) for r in bounds_df.orderBy("p").collect()][1:]
+
+
+def with_ranges(df: DataFrame, keys: list[str], order: list[str], lows: list[Column]) -> DataFrame:
+    """Adds ``_range``, the number of the range a row lies in.
+
+    Any bounds are right, they only decide the balance, so the result does not depend on them.
+    """
+    cols = [F.col(c) for c in [*keys, *order]]
     width = math.isqrt(len(lows) - 1) + 1
     groups = [lows[i:i + width] for i in range(0, len(lows), width)]
     here = F.struct(*cols)
@@ -70,9 +75,10 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "r
 
     Keys must not be null and ``order`` must be unique within a key.
     """
-    if keys and not has_large_group(df, keys, max_group):
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    ranged = with_ranges(df, keys, order, ranges)
+    lows = [] if keys and not has_large_group(df, keys, max_group) else _range_bounds(df, keys, order, ranges)
+    if not lows:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)).cast("long"))
+    ranged = with_ranges(df, keys, order, lows)
     group = [_RANGE, *keys]
     counts = ranged.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
@@ -87,9 +93,10 @@ def previous_row(df: DataFrame, keys: list[str], order: list[str], columns: list
                  max_group: int = MAX_GROUP, ranges: int | None = None) -> DataFrame:
     """Adds a struct with ``columns`` of the row before, in ``order`` within the keys; null on the first row."""
     value = F.struct(*columns)
-    if not has_large_group(df, keys, max_group):
+    lows = _range_bounds(df, keys, order, ranges) if has_large_group(df, keys, max_group) else []
+    if not lows:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
-    ranged = with_ranges(df, keys, order, ranges)
+    ranged = with_ranges(df, keys, order, lows)
     group = [_RANGE, *keys]
     ends = ranged.groupBy(*group).agg(F.max_by(value, F.struct(*order)).alias("_end"))
     carried = ends.select(*group, F.lag("_end").over(Window.partitionBy(*keys).orderBy(_RANGE)).alias("_carry"))

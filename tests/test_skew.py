@@ -27,7 +27,7 @@ def test_numbering_without_keys(rows):
 
 def test_no_group_is_whole_key(rows):
     """A hot key is spread over many groups."""
-    ranged = K.with_ranges(rows, ["k"], ["i"], 16)
+    ranged = K.with_ranges(rows, ["k"], ["i"], K._range_bounds(rows, ["k"], ["i"], 16))
     biggest = ranged.where("k = 'hot'").groupBy("_range").count().agg(F.max("count")).first()[0]
     assert biggest < 500
 
