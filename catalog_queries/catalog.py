@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog_queries.registry import query
 from catalog_queries.tables import EVENTS_SQL, ISO, PRODUCTS_SQL, observations, products
-from shopflow.functions import text as T, urls as U
+from shopflow.functions import urls as U
 from shopflow.operators import catalogue as C, search
 from shopflow.plans import jobs
 
@@ -75,13 +75,13 @@ sc AS (SELECT doc_id, ln(1 + (n - da + 0.5) / (da + 0.5)) * a * 2.2 / (a + 1.2 *
 
 @query(f"WITH {BM25_SQL} SELECT doc_id, round(score, 6) AS score FROM sc WHERE score > 0")
 def relevance(read):
-    scored = search.score(read("documents").select("doc_id", "text"), "ment thention", T.words(F.col("text")))
+    scored = search.score(read.spread("documents").select("doc_id", "text"), "ment thention", F.col("text"))
     return scored.where("score > 0").select("doc_id", F.round("score", 6).alias("score"))
 
 
 @query(f"WITH {BM25_SQL} SELECT doc_id, round(score, 6) AS score FROM sc WHERE score > 0 ORDER BY round(score, 6) DESC, doc_id DESC LIMIT 21")
 def relevance_page(read):
-    scored = search.score(read("documents").select("doc_id", "text"), "ment thention", T.words(F.col("text"))).where("score > 0")
+    scored = search.score(read.spread("documents").select("doc_id", "text"), "ment thention", F.col("text")).where("score > 0")
     return C.page(scored, F.round("score", 6), ["doc_id"], "desc").select("doc_id", F.round("score", 6).alias("score"))
 
 

@@ -52,7 +52,7 @@ SELECT src_url, dst_url, CASE WHEN regexp_replace(regexp_extract(src_url, '//([^
   regexp_replace(regexp_extract(dst_url, '//([^/?#:]*)', 1), '^www\.', '') THEN 'internal' ELSE 'external' END AS kind,
   CAST(ord AS BIGINT) AS ord FROM norm""")
 def link_edges(read):
-    return P.extract_links(read("pages")).withColumn("ord", F.col("ord").cast("long"))
+    return P.extract_links(read.spread("pages")).withColumn("ord", F.col("ord").cast("long"))
 
 
 def _graph(read):

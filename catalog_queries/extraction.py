@@ -50,7 +50,7 @@ def extract_products(read):
     page = F.concat(F.lit("# "), p, F.lit(" old chair\nLot Nr: A-"), p, F.lit("\nPrice: EUR "), (k % 9000 + 1).cast("string"), F.lit(",50\n"),
                     F.when(k % 3 == 0, F.lit("sold")).when(k % 3 == 1, F.lit("reserviert")).otherwise(F.lit("in stock")), F.lit("\n"),
                     F.regexp_replace("text", r"(?iu)\b(sold|verkauft|vendu|vendido|reserved|reserviert)\b", ""))
-    rows = read("documents").select(k, page.alias("clean"), F.concat(F.lit("https://a.example/p/"), p).alias("url"))
+    rows = read.spread("documents").select(k, page.alias("clean"), F.concat(F.lit("https://a.example/p/"), p).alias("url"))
     done = E.to_payload(E.extract_products(rows))
     return done.select(F.regexp_extract("url", "([0-9]+)$", 1).cast("long").alias("doc_id"), F.col("title.text").alias("title"),
                        F.col("price.amount").alias("amount"), "state", F.col("shops_product_id").alias("number"))

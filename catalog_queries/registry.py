@@ -4,6 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopflow.runtime import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -31,6 +33,10 @@ class Reader:
     def __call__(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{table}.parquet")
 
+    def spread(self, table: str) -> DataFrame:
+        """The table on all cores, for costly text work."""
+        return spread(self(table))
+
     def stream(self, table: str) -> DataFrame:
         """The table's file as a stream with the schema of the stored file."""
         return (self.spark.readStream.schema(self(table).schema).option("pathGlobFilter", f"{table}.parquet")

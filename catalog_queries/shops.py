@@ -207,7 +207,7 @@ def country_range(read):
 def scrape_job(read):
     """Outcome counts of a scrape over all documents as pages; a third of them unchanged."""
     k = F.col("doc_id")
-    docs = read("documents").select(
+    docs = read.spread("documents").select(
         k, F.col("source").alias("domain"), k.cast("string").alias("url"),
         F.concat(F.lit("# Old chair no. "), k.cast("string"), F.lit("\nPrice: EUR "), (k % 500 + 1).cast("string"), F.lit(",00\n"), "text").alias("markdown"))
     pages = docs.select("domain", "url", "markdown", F.lit(True).alias("success"), F.lit(None).cast("string").alias("error"))

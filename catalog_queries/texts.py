@@ -13,14 +13,14 @@ BLANK = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\
 
 @query("SELECT doc_id, sha256(text) AS hash FROM documents")
 def content_hash(read):
-    return read("documents").select("doc_id", T.content_hash(F.col("text")).alias("hash"))
+    return read.spread("documents").select("doc_id", T.content_hash(F.col("text")).alias("hash"))
 
 
 @query("""SELECT doc_id, length(text) >= 500 AS long_enough, sha256(substr(text, 1, 5000)) AS dedupe_key,
   sha256(substr(text, 1, 10000)) AS extractor_input, length(text) > 20000 AS too_long FROM documents""")
 def text_gates(read):
     c = F.col("text")
-    return read("documents").select(
+    return read.spread("documents").select(
         "doc_id", T.long_enough(c).alias("long_enough"), T.dedupe_key(c).alias("dedupe_key"),
         F.sha2(T.extractor_input(c), 256).alias("extractor_input"), T.too_long(c).alias("too_long"))
 
@@ -32,7 +32,7 @@ GROUP BY doc_id""", name="line_split")
 def line_split(read):
     """Lines with two kinds of line ends."""
     mixed = F.replace("text", F.lit(". "), F.lit(".\r\n"))
-    return read("documents").select("doc_id", F.size(T.lines(mixed)).cast("long").alias("lines_seen")).where("lines_seen > 0")
+    return read.spread("documents").select("doc_id", F.size(T.lines(mixed)).cast("long").alias("lines_seen")).where("lines_seen > 0")
 
 
 def _marked_lines(read):
@@ -40,7 +40,7 @@ def _marked_lines(read):
     marked = F.transform(lines, lambda l, i: (
         F.when(i % 11 == 3, F.concat(F.lit("Price: "), l)).when(i % 11 == 5, F.concat(l, F.lit(" 12 €")))
         .when(i % 11 == 7, F.concat(F.lit("# "), l)).when(i % 11 == 9, F.concat(F.lit("VERFÜGBARKEIT "), l)).otherwise(l)))
-    return read("documents").select("doc_id", F.posexplode(marked).alias("line_no", "line"))
+    return read.spread("documents").select("doc_id", F.posexplode(marked).alias("line_no", "line"))
 
 
 @query(rf"""WITH {LINES_SQL}, m AS (SELECT doc_id, line_no, CASE line_no % 11 WHEN 3 THEN 'Price: ' || line WHEN 5 THEN line || ' 12 €'
@@ -60,7 +60,7 @@ def valid_blocks(read):
     """Blocks of two lines."""
     lines = T.lines(F.col("text"))
     blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lines) - 1) / 2).cast("int")), lambda i: F.slice(lines, i * 2 + 1, F.lit(2)))
-    rows = read("documents").where(F.size(lines) > 0).select("doc_id", F.posexplode(blocks).alias("block_no", "block"))
+    rows = read.spread("documents").where(F.size(lines) > 0).select("doc_id", F.posexplode(blocks).alias("block_no", "block"))
     return rows.select("doc_id", F.col("block_no").cast("long").alias("block_no"),
                        T.word_count(F.col("block")).cast("long").alias("words"), T.is_valid_block(F.col("block")).alias("valid"))
 
@@ -84,7 +84,7 @@ def noise_removal(read):
                 .otherwise(line))
 
     marked = F.array_join(F.transform(T.lines(F.col("text")), mark), "\n")
-    return read("documents").select("doc_id", F.sha2(T.remove_noise(marked), 256).alias("clean_hash"))
+    return read.spread("documents").select("doc_id", F.sha2(T.remove_noise(marked), 256).alias("clean_hash"))
 
 
 @query(rf"""WITH {LINES_SQL}, s AS (SELECT *, trim(line) AS bare, max(CASE WHEN line_no = 1 THEN trim(line) END) OVER d AS b1,
@@ -100,7 +100,7 @@ FROM k JOIN documents USING (doc_id) WHERE n >= 5""")
 def block_removal(read):
     """Each document loses its second line and the pair of its fourth and fifth line, wherever they occur."""
     bare = T.stripped_lines(F.col("text"))
-    rows = read("documents").withColumn("bare", bare).where(F.size("bare") >= 5)
+    rows = read.spread("documents").withColumn("bare", bare).where(F.size("bare") >= 5)
     blocks = F.array(F.slice("bare", 2, 1), F.slice("bare", 4, 2))
     clean = T.remove_blocks(F.col("text"), blocks)
     return rows.withColumn("clean", clean).select("doc_id", F.sha2("clean", 256).alias("clean_hash"),
@@ -122,7 +122,7 @@ pairs AS (SELECT a.domain, CASE WHEN a.doc_no = 1 THEN b.doc_no - 2 ELSE 2 END A
 
 
 def _shop_docs(read):
-    return read("documents").select(
+    return read.spread("documents").select(
         F.col("source").alias("domain"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("url"),
         F.concat(F.lit("Welcome to our house of fine old things\n"), "text",
                  F.lit("\nAll offers are subject to change\nOpening hours every day from nine")).alias("markdown"),
@@ -213,7 +213,7 @@ def clean_documents(read):
 
 @query(None)
 def html_to_markdown(read):
-    return P.html_to_markdown(read("pages")).select("page_id", F.length("markdown").alias("chars"), F.sha2("markdown", 256).alias("hash"))
+    return P.html_to_markdown(read.spread("pages")).select("page_id", F.length("markdown").alias("chars"), F.sha2("markdown", 256).alias("hash"))
 
 
 @query("""SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN true WHEN doc_id % 3 = 0 THEN coalesce(text <> prev, true) ELSE false END AS changed,

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from shopflow.functions.columns import let, ratio
 
 # Line ends and blanks of Unicode text.
 LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\x{2028}\x{2029}]"
+RARE_BREAKS = [chr(i) for i in (11, 12, 13, 28, 29, 30, 0x85, 0x2028, 0x2029)]
 BLANKS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
                            0x2029, 0x202F, 0x205F, 0x3000]))
 BLANK_RUN = r"(?U)[\s\x1C-\x1F]+"
@@ -39,7 +42,9 @@ def strip(c: Column) -> Column:
 
 def lines(c: Column) -> Column:
     """All lines without their ends; no empty line after a final line end."""
-    return let(F.split(c, LINE_BREAK, -1),
+    rare = reduce(Column.__or__, [c.contains(ch) for ch in RARE_BREAKS])
+    split = F.when(rare, F.split(c, LINE_BREAK, -1)).otherwise(F.split(c, "\n", -1))
+    return let(split,
                lambda ls: F.when(F.element_at(ls, -1) == "", F.slice(ls, F.lit(1), F.size(ls) - 1)).otherwise(ls))
 
 
@@ -170,6 +175,27 @@ def words(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
 
 
+def word_text(c: Column) -> Column:
+    """The words of :func:`words` in one string, one blank between them."""
+    return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "))
+
+
+def words_in(norm: Column) -> Column:
+    """Number of words of a :func:`word_text`."""
+    return F.when(norm == "", 0).otherwise(F.octet_length(norm) - F.octet_length(F.replace(norm, F.lit(" "), F.lit(""))) + 1)
+
+
+def spaced_words(norm: Column) -> Column:
+    """A :func:`word_text` with blanks of its own around every word."""
+    return F.concat(F.lit(" "), F.replace(norm, F.lit(" "), F.lit("  ")), F.lit(" "))
+
+
+def times_spaced(spaced: Column, word: str) -> Column:
+    """How often a word occurs in :func:`spaced_words`; byte searches only."""
+    gone = F.replace(spaced, F.lit(f" {word} "), F.lit(""))
+    return ((F.octet_length(spaced) - F.octet_length(gone)) / (len(word.encode()) + 2)).cast("int")
+
+
 def _first_object(c: Column) -> Column:
     """First substring with balanced braces, or null. The fold visits closing braces, not characters."""
     def scan(tail: Column) -> Column:

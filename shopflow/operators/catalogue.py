@@ -39,8 +39,12 @@ def query_words(query: str) -> list[str]:
     return sorted({w for w in "".join(c if c.isalnum() else " " for c in query.lower()).split()})
 
 
+def product_text() -> Column:
+    return F.concat_ws(" ", F.col("title.text"), F.col("description.text"))
+
+
 def product_words() -> Column:
-    return text.words(F.concat_ws(" ", F.col("title.text"), F.col("description.text")))
+    return text.words(product_text())
 
 
 @dataclass

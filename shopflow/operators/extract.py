@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,11 +20,11 @@ USER_TEMPLATE = "Current time: %s\n\nPage text:\n%s"
 _AMOUNT = r"([0-9]{1,3}(?:[., ][0-9]{3})+(?:[.,][0-9]{1,2})?(?![0-9])|[0-9]+(?:[.,][0-9]{1,2})?(?![0-9]))"
 _SIGN = r"(EUR|GBP|USD|AUD|CAD|NZD|[€£$])"
 _NUMBER_WORDS = r"(?iu)\b(?:art(?:ikel)?\.?\s*-?\s*nr|lot(?:\s*-?\s*nr)?|sku|item\s+no|ref)\b\.?\s*[:#]?\s*([A-Za-z0-9][\w-]*)"
-_STATES = [
-    ("SOLD", r"(?iu)\b(?:sold|verkauft|vendu|vendido)\b"),
-    ("RESERVED", r"(?iu)\b(?:reserved|reserviert|réservé|reservado)\b"),
-    ("AVAILABLE", r"(?iu)\b(?:available|in stock|verfügbar|auf lager|vorrätig|disponible)\b"),
-]
+_STATES = {
+    "SOLD": ["sold", "verkauft", "vendu", "vendido"],
+    "RESERVED": ["reserved", "reserviert", "réservé", "reservado"],
+    "AVAILABLE": ["available", "in stock", "verfügbar", "auf lager", "vorrätig", "disponible"],
+}
 _FUNCTION_WORDS = {
     "de": ["und", "der", "die", "das", "ein", "mit", "nicht", "für"],
     "en": ["the", "and", "of", "with", "for", "is", "that", "by"],
@@ -47,39 +48,60 @@ def _cents(number: Column) -> Column:
     return F.try_to_number(F.concat(whole, part), F.lit("9" * 18)).cast("long")
 
 
-def _language(c: Column) -> Column:
-    def best(ws: Column) -> Column:
-        scored = F.array(*[F.struct(F.size(F.filter(ws, lambda w: w.isin(words))).alias("n"), F.lit(code).alias("code"))
-                           for code, words in _FUNCTION_WORDS.items()])
-        return F.array_max(scored)["code"]
+def _language(hits: Column) -> Column:
+    """Language with the most function words among the hits; the later one in the alphabet on a tie."""
+    return F.array_max(F.array(*[
+        F.struct(F.size(F.filter(hits, _one_of(words))).alias("n"), F.lit(code).alias("code"))
+        for code, words in _FUNCTION_WORDS.items()]))["code"]
+
+
+def _one_of(words: list[str]):
+    return lambda w: w.isin(words)
+
 
-    return let(text.words(c), best)
+def _state(hits: Column, words: Column) -> Column:
+    found = F.lit("UNKNOWN")
+    for name, phrases in reversed(_STATES.items()):
+        single = F.exists(hits, _one_of([p for p in phrases if " " not in p]))
+        hit = reduce(Column.__or__, [words.contains(f" {p} ") for p in phrases if " " in p], single)
+        found = F.when(hit, name).otherwise(found)
+    return found
 
 
 def rule_reply(content: Column, url: Column) -> Column:
     """JSON reply of the rule-based extractor: first header as title, written price, state words, image links."""
     before = F.regexp_extract(content, _SIGN + r"\s*" + _AMOUNT, 0)
     after = F.regexp_extract(content, _AMOUNT + r"\s*" + _SIGN, 0)
-    written = F.when(before != "", before).otherwise(after)
-    sign = F.regexp_extract(written, _SIGN, 1)
-    currency = F.when(sign == "€", "EUR").when(sign == "£", "GBP").when(sign == "$", "USD").otherwise(sign)
-    amount = _cents(F.regexp_extract(written, _AMOUNT, 1))
-    title = text.strip(F.regexp_extract(content, r"(?m)^#{1,6}[ \t]*(\S.*)$", 1))
-    number = F.regexp_extract(content, _NUMBER_WORDS, 1)
-    own_number = F.when(number != "", number).otherwise(F.regexp_extract(url, r"([^/?#]+)/?(?:[?#].*)?$", 1))
-    state = F.lit("UNKNOWN")
-    for name, pattern in reversed(_STATES):
-        state = F.when(content.rlike(pattern), name).otherwise(state)
-    language = _language(content)
-    has_price = (written != "") & amount.isNotNull()
-    return F.to_json(F.struct(
-        ((title != "") & (has_price | (number != ""))).alias("is_product"),
-        own_number.alias("shopsProductId"),
-        F.when(title != "", F.struct(title.alias("text"), language.alias("language"))).alias("title"),
-        F.when(has_price, F.struct(amount.alias("amount"), currency.alias("currency"))).alias("price"),
-        state.alias("state"),
-        F.array_distinct(F.regexp_extract_all(content, F.lit(r"(?i)(https?://[^\s()\"'<>]+\.(?:jpe?g|png))"), 1))
-        .alias("images")))
+    written = let(before, lambda w: F.when(w != "", w).otherwise(after))
+
+    def price(w: Column) -> Column:
+        sign = F.regexp_extract(w, _SIGN, 1)
+        currency = F.when(sign == "€", "EUR").when(sign == "£", "GBP").when(sign == "$", "USD").otherwise(sign)
+        amount = _cents(F.regexp_extract(w, _AMOUNT, 1))
+        return F.when((w != "") & amount.isNotNull(), F.struct(amount.alias("amount"), currency.alias("currency")))
+
+    facts = F.struct(
+        F.concat(F.lit(" "), text.word_text(content), F.lit(" ")).alias("words"),
+        text.strip(F.regexp_extract(content, r"(?m)^#{1,6}[ \t]*(\S.*)$", 1)).alias("title"),
+        F.regexp_extract(content, _NUMBER_WORDS, 1).alias("number"), let(written, price).alias("price"))
+
+    telling = sorted({w for words in [*_FUNCTION_WORDS.values(), *_STATES.values()] for w in words if " " not in w})
+
+    def reply(f: Column) -> Column:
+        return let(F.filter(F.split(f["words"], " "), _one_of(telling)), lambda hits: with_hits(f, hits))
+
+    def with_hits(f: Column, hits: Column) -> Column:
+        own_number = F.when(f["number"] != "", f["number"]).otherwise(
+            F.regexp_extract(url, r"([^/?#]+)/?(?:[?#].*)?$", 1))
+        return F.to_json(F.struct(
+            ((f["title"] != "") & (f["price"].isNotNull() | (f["number"] != ""))).alias("is_product"),
+            own_number.alias("shopsProductId"),
+            F.when(f["title"] != "", F.struct(f["title"].alias("text"), _language(hits).alias("language"))).alias("title"),
+            f["price"].alias("price"), _state(hits, f["words"]).alias("state"),
+            F.array_distinct(F.regexp_extract_all(content, F.lit(r"(?i)(https?://[^\s()\"'<>]+\.(?:jpe?g|png))"), 1))
+            .alias("images")))
+
+    return let(facts, reply)
 
 
 def _kind(v: Column, path: str) -> Column:

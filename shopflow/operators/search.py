@@ -7,7 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopflow.functions import text
-from shopflow.operators.catalogue import product_words, query_words
+from shopflow.functions.columns import once
+from shopflow.operators.catalogue import product_text, product_words, query_words
 from shopflow.operators.skew import salted_join, top_per_key
 from shopflow.runtime import cut
 from shopflow.schemas import PRODUCT_KEY
@@ -15,19 +16,17 @@ from shopflow.schemas import PRODUCT_KEY
 K1, B = 1.2, 0.75
 
 
-def _is(term: str):
-    return lambda word: word == term
-
-
-def score(df: DataFrame, query: str, tokens: Column | None = None) -> DataFrame:
+def score(df: DataFrame, query: str, content: Column | None = None) -> DataFrame:
     """Adds ``score``: BM25 of the query words over all rows of ``df``; 0 without a hit.
 
     One aggregate over the table gives row count, mean length and document frequencies; nothing is shuffled by word.
+    Words are counted by byte searches in the normalised text, without building word lists.
     """
     terms = query_words(query)
-    tokens = product_words() if tokens is None else tokens
-    counted = df.withColumn("_t", tokens).withColumn("_len", F.size("_t")).withColumns(
-        {f"_tf{i}": F.size(F.filter("_t", _is(t))) for i, t in enumerate(terms)}).drop("_t")
+    content = product_text() if content is None else content
+    spaced = once(once(df, _norm=text.word_text(content)), _words=text.spaced_words(F.col("_norm")))
+    counted = once(spaced, _len=text.words_in(F.col("_norm")), **{
+        f"_tf{i}": text.times_spaced(F.col("_words"), t) for i, t in enumerate(terms)}).drop("_norm", "_words")
     stats = counted.select(F.struct(
         F.count(F.lit(1)).cast("double").alias("n"), F.avg("_len").alias("mean"),
         *[F.count_if(F.col(f"_tf{i}") > 0).cast("double").alias(f"df{i}") for i in range(len(terms))])).scalar()

@@ -7,9 +7,9 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopflow.functions import states, urls as U
+from shopflow.functions import states, text, urls as U
 from shopflow.operators import boilerplate, catalogue, classify, crawl, extract, pages as P, register, scrape, search, shops as S
-from shopflow.runtime import cut
+from shopflow.runtime import cut, spread
 from shopflow.schemas import DEFAULT_COUNTRY, PAGE_SIZE, PRODUCT_KEY
 from shopflow.sources import messages, store
 
@@ -129,9 +129,7 @@ def search_shops(shops: DataFrame, wanted: catalogue.ShopFilter, sort: str = "na
     if sort == "score":
         if not wanted.name_query:
             raise ValueError("sorting by score needs a text")
-        from shopflow.functions import text
-
-        found = search.score(shops, wanted.name_query, text.words(F.col("name")))
+        found = search.score(shops, wanted.name_query, F.col("name"))
     return catalogue.page(found.where(wanted.to_column()), catalogue.sort_column(sort, "shop"), ["shop_id"], order, size,
                           after, with_total=True)
 
@@ -141,12 +139,10 @@ def boilerplate_shrink(pages: DataFrame) -> DataFrame:
 
     ``pages`` is (domain, url, html).
     """
-    marked = cut(P.html_to_markdown(pages).select("domain", "url", "markdown").withColumn("success", F.lit(True)))
+    marked = cut(P.html_to_markdown(spread(pages)).select("domain", "url", "markdown").withColumn("success", F.lit(True)))
     typed = marked.select("domain", "url", F.lit("product").alias("type"))
     empty = marked.select("domain").limit(0)
     blocks = boilerplate.discover_boilerplate(typed, marked, empty, "1970-01-01T00:00:00Z")
     cleaned = boilerplate.clean_pages(marked, cut(blocks), cut=False)
-    from shopflow.functions import text
-
     return cleaned.select("domain", "url", F.length("markdown").alias("raw_chars"), F.length("clean").alias("clean_chars"),
                           text.deletion_rate(F.col("markdown"), F.col("clean")).alias("kept"))
