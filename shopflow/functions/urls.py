@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -111,11 +112,12 @@ def scheme_allowed(href: Column) -> Column:
 
 def has_extension(url: Column, extensions: list[str] = EXCLUDED_EXTENSIONS) -> Column:
     """True when the text after the last dot of the path is one of ``extensions``."""
-    wanted = [e.lower().lstrip(".") for e in extensions]
+    wanted = [re.escape(e.lower().lstrip(".")) for e in extensions]
     if not wanted:
         return F.lit(False)
-    path = F.regexp_extract(url, _URI, 3)
-    return F.coalesce(F.lower(F.regexp_extract(path, r"\.([^.]*)$", 1)).isin(wanted) & path.contains("."), F.lit(False))
+    scheme = "[a-z][a-z0-9+.-]*:"
+    before = rf"(?:(?:{scheme})?//[^/?#]*/|(?!{scheme}|//))[^?#]*"
+    return F.coalesce(url.rlike(rf"(?i)^{before}\.(?:{'|'.join(wanted)})(?:;[^/?#]*)?(?:[?#].*)?$"), F.lit(False))
 
 
 def wildcard_pattern(pattern: str) -> str:
@@ -135,10 +137,19 @@ def wildcard_pattern(pattern: str) -> str:
 
 
 def matches_wildcard(url: Column, patterns: list[str] = EXCLUDED_PATTERNS) -> Column:
-    """True when the whole URL, in lower case, matches a wildcard pattern."""
+    """True when the whole URL, in lower case, matches a wildcard pattern.
+
+    Patterns of the kind ``*text*`` become plain searches; the others share one regular expression.
+    """
     if not patterns:
         return F.lit(False)
-    return F.coalesce(F.lower(url).rlike("(?s)^(?:" + "|".join(map(wildcard_pattern, patterns)) + ")$"), F.lit(False))
+    low = F.lower(url)
+    plain = [m.group(1) for p in patterns if (m := re.fullmatch(r"\*([^*?\[]+)\*", p.lower()))]
+    rest = [p for p in patterns if not re.fullmatch(r"\*([^*?\[]+)\*", p.lower())]
+    tests = [low.contains(t) for t in plain]
+    if rest:
+        tests.append(low.rlike("(?s)^(?:" + "|".join(map(wildcard_pattern, rest)) + ")$"))
+    return F.coalesce(reduce(Column.__or__, tests), F.lit(False))
 
 
 def crawlable(url: Column, extensions: list[str] = EXCLUDED_EXTENSIONS,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shopflow.functions import urls
 from shopflow.operators.skew import number_rows, salted_join
-from shopflow.runtime import cut
+from shopflow.runtime import bucketed, cut
 
 MAX_DEPTH = 100
 MAX_PAGES = 999_999
@@ -58,17 +58,18 @@ def bfs(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_depth: int = M
     stored or failed is a result but is not expanded. The first parent is the one that comes first in walk order:
     parents in the order of their level, links in page order. A domain ends at ``max_pages`` successful pages.
 
-    The graph is partitioned once by (source, salt) and kept in the checkpoint folder; each level then moves only the
+    The graph is written once to the shared folder, bucketed by (source, salt): each level then moves only the
     frontier, its links and the visited keys. Levels are checkpointed, so a lost executor does not restart the walk.
     """
-    spark = seeds.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     status = pages.groupBy(F.col("url").alias("dst_url")).agg(F.max("success").alias("success"))
     gated = gate_links(edges, **gates).where("allowed").select("src_url", "dst_url", "ord")
     salt = F.pmod(F.xxhash64("dst_url"), F.lit(_SALTS)).cast("int")
-    graph = cut(salted_join(gated, status, ["dst_url"], ["src_url"])
-                .withColumn("salt", salt).repartition(parts, "src_url", "salt"))
+    linked = salted_join(gated, status, ["dst_url"], ["src_url"]).withColumn("salt", salt)
+    with bucketed(linked, ["src_url", "salt"], "graph", partitions) as graph:
+        return _walk(seeds, graph, status, max_depth, max_pages)
 
+
+def _walk(seeds: DataFrame, graph: DataFrame, status: DataFrame, max_depth: int, max_pages: int) -> DataFrame:
     start = seeds.select("domain", "url").distinct().withColumns({
         "depth": F.lit(0), "parent_url": F.lit(None).cast("string"), "walk": F.lit("")})
     frontier = (start.join(status.withColumnRenamed("dst_url", "url"), "url", "left")
@@ -90,7 +91,7 @@ def bfs(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_depth: int = M
         open_pages = bounded.where(F.col("success") & ~F.col("closed")) if closed else bounded.where("success")
         spread = open_pages.select("domain", F.col("url").alias("src_url"), "walk",
                                    F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
-        links = spread.join(graph, ["src_url", "salt"])
+        links = links_of(spread, graph)
         walk = F.concat("walk", F.lpad(F.hex("ord"), 8, "0"))
         first = F.min(F.struct(walk.alias("walk"), F.col("src_url").alias("parent_url"),
                                F.coalesce("success", F.lit(False)).alias("success")))
@@ -98,7 +99,12 @@ def bfs(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_depth: int = M
         frontier = (links.groupBy("domain", F.col("dst_url").alias("url")).agg(first.alias("f"))
                     .join(visited, ["domain", "url"], "left_anti")
                     .select("domain", "url", F.lit(depth + 1).alias("depth"), "f.parent_url", "f.success", "f.walk"))
-    return reduce(DataFrame.unionByName, levels) if levels else frontier.select(*_LEVEL)
+    return reduce(DataFrame.unionByName, levels) if levels else level.select(*_LEVEL)
+
+
+def links_of(frontier: DataFrame, graph: DataFrame) -> DataFrame:
+    """Links of the frontier pages; the bucketed graph stays where it is."""
+    return frontier.join(graph, ["src_url", "salt"])
 
 
 def processed(results: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def bucketed(df: DataFrame, keys: list[str], name: str, buckets: int | None = None):
+    """The rows as a table in the shared folder, bucketed and sorted by ``keys``, for joins that do not shuffle it.
+
+    The table leaves the catalogue at the end of the block; cut what was computed from it before.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", scratch_path(spark, name)).saveAsTable(table))
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for costly row-wise work on a scan of few splits; large inputs have enough and stay as they are.
 

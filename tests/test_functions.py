@@ -143,12 +143,18 @@ def test_urls(spark):
 
 def test_exclusions(spark):
     assert column(spark, ["http://a/x.JPG?y", "http://a.b/x", "http://a/x.tar.gz", "http://a/p.html#x.jpg"], U.has_extension) == [True, False, True, False]
+    from urllib.parse import urlparse
+
+    shapes = ["http://a.jpg", "http://a.jpg/", "http://a/x.jpg;v=1", "//h.jpg", "//h/x.jpg", "/x.jpg", "x.jpg", "http://a/b.jpg/c", "http://a/http://b.jpg", "http://a/x.tar.GZ#f.txt", "http://a/.js", "", "http://a?x.jpg"]
+    for shape, got in zip(shapes, column(spark, shapes, U.has_extension)):
+        path = urlparse(shape).path
+        assert got == ("." in path and path.rsplit(".", 1)[-1].lower() in U.EXCLUDED_EXTENSIONS), shape
     assert column(spark, ["http://x/Cart/1", "http://x/a", "http://x/WishList"], U.matches_wildcard) == [True, False, True]
     import fnmatch
 
     rng = random.Random(4)
     urls = ["".join(rng.choices("ab.?[]*+", k=rng.randint(0, 5))) for _ in range(150)]
-    for pattern in ["a*", "?b", "[ab]*", "[!a]*b", "*.", "*+*", "[", "a[", "*[.]*"]:
+    for pattern in ["a*", "?b", "[ab]*", "[!a]*b", "*.", "*+*", "*a*", "[", "a[", "*[.]*"]:
         assert column(spark, urls, lambda c: U.matches_wildcard(c, [pattern])) == [fnmatch.fnmatch(u, pattern) for u in urls], pattern
     assert column(spark, ["tel:1", "mailto:a", "", "/x", "HTTP://x", "https://x", None], U.scheme_allowed) == [
         False, False, False, True, True, True, False]

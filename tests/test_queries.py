@@ -76,5 +76,20 @@ def test_bucketed_change_detection_needs_no_shuffle(spark):
         spark.sql("DROP TABLE IF EXISTS t_urls")
 
 
+def test_walk_does_not_shuffle_the_graph(spark):
+    from shopflow.operators.crawl import links_of
+    from shopflow.runtime import bucketed
+
+    graph = spark.range(100).select(F.col("id").cast("string").alias("src_url"), (F.col("id") % 3).alias("salt"), F.lit("x").alias("dst_url"))
+    frontier = spark.range(5).select(F.col("id").cast("string").alias("src_url"), (F.col("id") % 3).alias("salt"))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        with bucketed(graph, ["src_url", "salt"], "g") as stored:
+            joined = links_of(frontier, stored)
+            assert physical(joined).count("Exchange") == 1 and joined.count() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
 def test_paging_keeps_only_one_page_per_task(spark):
     assert "TakeOrderedAndProject" in physical(queries()["keyset_page"](spark, SF))
