@@ -37,7 +37,7 @@ def shops(read: Reader) -> DataFrame:
         F.date_format(F.min("l_shipdate"), ISO).alias("lo"), F.date_format(F.max("l_shipdate"), ISO).alias("hi"))
     k = F.col("s_suppkey")
     done_hi, done_lo = F.concat(F.lit("DONE#"), "hi"), F.concat(F.lit("DONE#"), "lo")
-    return (read("supplier").join(F.broadcast(read("nation")), F.col("s_nationkey") == F.col("n_nationkey"))
+    return (read("supplier").join(read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .join(ship, k == F.col("l_suppkey")).select(
         F.concat(F.lit("shop"), k.cast("string"), F.lit(".example.com")).alias("domain"), k,
         F.concat(F.lit("COUNTRY#"), "n_name").alias("shop_country"), F.col("s_name").alias("shop_name"),
