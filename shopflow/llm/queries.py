@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopflow.llm import curriculum, hilbert, quality, simhash
+from shopflow.llm import curriculum, hilbert, quality, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,3 +44,9 @@ def op7_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op10_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.dedup(documents(spark, sf_dir))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
