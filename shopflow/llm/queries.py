@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopflow.llm import curriculum, hilbert, quality, simhash, substring
+from shopflow.llm import bpe, curriculum, hilbert, quality, simhash, substring, token_files, topk
+from shopflow.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -50,3 +51,28 @@ def op9_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.dedup(documents(spark, sf_dir))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op4_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: the rows whose id is divisible by 20."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(documents(spark, sf_dir), word_tokenizer(), ["doc_id"], digests=True)
+
+
+@query
+def op6_zstd_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(documents(spark, sf_dir), path, word_tokenizer())
+    return token_files.read(spark, path, ids=False)
