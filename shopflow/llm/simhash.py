@@ -147,10 +147,13 @@ def links(nodes: DataFrame, most: int = MOST_BITS, longest: int = LONGEST_RUN, p
     errors = error_patterns()
     parts = parts or int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def spread_keys(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = batch.column(0).to_numpy()
-        keys, rows = joint_keys(fps, errors)
-        return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(fps[rows])], names=["key", "fp"])
+    def spread_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = batch.column(0).to_numpy()
+            for at in range(0, len(whole), 256):  # a fingerprint has up to a hundred keys
+                fps = whole[at:at + 256]
+                keys, rows = joint_keys(fps, errors)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(fps[rows])], names=["key", "fp"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(u, v, key=None):
@@ -192,7 +195,7 @@ def links(nodes: DataFrame, most: int = MOST_BITS, longest: int = LONGEST_RUN, p
         if len(u):
             yield rows(u, v)
 
-    keyed = by_batch(nodes.select("fp"), spread_keys, "key int, fp long")
+    keyed = nodes.select("fp").mapInArrow(spread_keys, "key int, fp long")
     met = stored(keyed.repartition(parts, "key").sortWithinPartitions("key", "fp").mapInArrow(meet, "u long, v long, key int"), "simhash-links")
     long_runs = met.where("key is not null")
     sizes = stored(long_runs.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / longest).cast("int").alias("blocks")), "simhash-runs")
