@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopflow.llm import bpe, curriculum, hilbert, quality, simhash, substring, token_files, topk
+from shopflow.llm import bpe, curriculum, hilbert, quality, simhash, substring, token_files, topk, toxicity
 from shopflow.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,12 @@ def op6_zstd_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write(documents(spark, sf_dir), path, word_tokenizer())
     return token_files.read(spark, path, ids=False)
+
+
+@query
+def op2_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose key's checksum modulo 4 is 2 are held out from training."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(toxicity.remainder(F.col("doc_id"), 4) != 2)
+    scored = toxicity.score(docs, toxicity.train(docs, labels), ["doc_id"])
+    return scored.select("doc_id", (toxicity.remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
