@@ -3,15 +3,17 @@
 The kernel compares two units (words, or runs of single letters) by the character triples they share as subsequences; a
 triple weighs DECAY to the power of the span it takes, up to SPAN characters, so gaps and inserted characters lower the
 likeness but do not end it. Landmarks give a finite map (Nyström), in which a linear machine is trained on the units of
-labelled sentences: a sentence is as toxic as its most toxic unit, so a unit that many toxic and no clean documents
-contain speaks for the sentences it stands in, and all units of clean documents speak against. Since the kernel is a
+labelled sentences: a unit that toxic documents contain far more often than chance allows speaks for the sentences it
+stands in, and the units of clean sentences speak against. Since the kernel is a
 sum over triples, the trained machine folds into one weight per triple, which makes scoring a unit a short sum.
 
-A document's score is a logistic function of its three most toxic sentences.
+A document's score is a logistic function of the margins of its most toxic distinct units, so one doubtful word weighs less than
+two plain insults.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +34,9 @@ LANDMARKS = 192
 SAMPLE = 4000  # documents of each class the machine is trained on
 UNITS = 12_000  # clean units it is trained on
 WITNESS = 15.0  # least log likelihood ratio of a unit that speaks for toxicity
-FLOOR = -1.5  # of a sentence that a document lacks
+TOPS = 5
+TOP_NAMES = [f"top{i}" for i in range(TOPS)]
+FLOOR = -1.5  # least margin, and that of a unit that a document lacks
 SENTENCES = re.compile(rb"[.!?\n]+")
 SPELT = re.compile(r"(?:(?<=\s)|^)(?:\S[^\S\n]+){2,}\S(?=\s|$)")
 EDGES = b".,;:!?()[]{}\"'`<>"
@@ -86,11 +90,11 @@ def to_unit(word: bytes) -> str:
 
 @dataclass
 class Machine:
-    """Weight per triple and bias; ``scale`` holds the logistic weights of the three most toxic sentences and their bias."""
+    """Weight per triple and bias; ``scale`` holds the logistic weights of the most toxic units and their bias."""
 
     weights: np.ndarray
     bias: float
-    scale: tuple[float, float, float, float]
+    scale: tuple[float, ...]
 
     def margins(self, units: list[str]) -> np.ndarray:
         out = np.full(len(units), -np.inf)
@@ -102,24 +106,25 @@ class Machine:
     def known(self) -> Remembered:
         return Remembered(lambda word: float(self.margins([to_unit(word)])[0]))
 
-    def top_sentences(self, texts: list[str | None], known: Remembered) -> np.ndarray:
-        """The three greatest sentence margins of each text, FLOOR where it has fewer sentences."""
+    def top_units(self, texts: list[str | None], known: Remembered) -> np.ndarray:
+        """The greatest margins among the distinct units of each text, FLOOR where it has fewer."""
         lowered = [(t or "").lower() for t in texts]
-        raw = [t.encode() for t in lowered]
-        new = [w for w in set().union(*[t.split() for t in (SENTENCES.sub(b" ", r) for r in raw)]) if w not in known and w not in known.old]
+        words = [set(t.encode().split()) for t in lowered]
+        new = [w for w in set().union(*words) if w not in known and w not in known.old]
         known.update(zip(new, self.margins([to_unit(w) for w in new]).tolist()))
-        out = np.full((len(texts), 3), FLOOR)
-        for row, (text, r) in enumerate(zip(lowered, raw)):
-            best = [max(map(known.__getitem__, words)) for s in SENTENCES.split(r) if (words := s.split())]
-            spelt = ["".join(m.group().split()) for m in SPELT.finditer(text)]
-            best += [max(known[x.encode()] for x in [run]) for run in spelt]
-            best.sort(reverse=True)
-            out[row, :len(best[:3])] = np.maximum(best[:3], FLOOR)
+        out = np.full((len(texts), TOPS), FLOOR)
+        for row, (text, own) in enumerate(zip(lowered, words)):
+            own.update("".join(m.group().split()).encode() for m in SPELT.finditer(text))
+            best = {}
+            for w in heapq.nlargest(3 * TOPS, own, key=known.__getitem__):
+                best.setdefault(to_unit(w), known[w])
+            top = sorted(best.values(), reverse=True)[:TOPS]
+            out[row, :len(top)] = np.maximum(top, FLOOR)
         known.renew()
         return out
 
     def scores(self, tops: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(tops @ np.array(self.scale[:3]) + self.scale[3], -60, 60)))
+        return 1 / (1 + np.exp(-np.clip(tops @ np.array(self.scale[:-1]) + self.scale[-1], -60, 60)))
 
 
 def kernel(units: list[str], landmarks: list[str]) -> np.ndarray:
@@ -195,11 +200,11 @@ def _tops(docs: DataFrame, machine: Machine, keep: list[str]) -> DataFrame:
         model = Machine(*shipped.value)
         known = model.known()
         for batch in batches:
-            tops = model.top_sentences(batch.column(batch.num_columns - 1).to_pylist(), known)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(tops[:, i]) for i in range(3)], pa.array(model.scores(tops))],
-                                             names=[*keep, "top1", "top2", "top3", "score"])
+            tops = model.top_units(batch.column(batch.num_columns - 1).to_pylist(), known)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(tops[:, i]) for i in range(TOPS)], pa.array(model.scores(tops))],
+                                             names=[*keep, *TOP_NAMES, "score"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:-1]] + ["top1 double", "top2 double", "top3 double", "score double"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:-1]] + [f"{n} double" for n in [*TOP_NAMES, "score"]])
     return docs.mapInArrow(run, schema)
 
 
@@ -226,7 +231,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         F.count_if(F.col("label") == 1).alias("bad"), F.count_if(F.col("label") == 0).alias("good"))
     seen = stored(seen, "toxic-units")
     counts = {r.label: r["count"] for r in texts.groupBy("label").count().collect()}
-    none = Machine(np.zeros(ALPHABET ** 3, np.float32), -1.0, (0.0, 0.0, 0.0, -60.0))
+    none = Machine(np.zeros(ALPHABET ** 3, np.float32), -1.0, (0.0,) * TOPS + (-60.0,))
     if len(counts) < 2:
         return none
     # witnesses stand in toxic documents far more often than chance allows (log likelihood ratio)
@@ -244,7 +249,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     for last in (False, True):
         negative = sorted(set(clean) - set(positive))
         table, bias = fit_units(positive, negative, weight, marks)
-        machine = Machine(table, bias, (1.0, 0.0, 0.0, 0.0))
+        machine = Machine(table, bias, (1.0,) + (0.0,) * TOPS)
         if not last:  # the clean units that this machine gets most wrong join the training, and what is like the witnesses
             shipped = docs.sparkSession.sparkContext.broadcast((table, bias))
 
@@ -258,8 +263,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             clean += [r.unit for r in marked_units["clean"].limit(units // 2).collect()]
             like = [r.unit for r in marked_units["like"].where("margin > 0.5").limit(units // 4).collect() if r.unit not in set(positive)]
             positive, weight = positive + like, np.concatenate([weight, np.ones(len(like))])
-    rows = _tops(texts.select("label", "text"), machine, ["label"]).select("label", "top1", "top2", "top3").toArrow()
-    x = np.column_stack([rows.column(c).to_numpy() for c in ("top1", "top2", "top3")] + [np.ones(rows.num_rows)])
+    rows = _tops(texts.select("label", "text"), machine, ["label"]).select("label", *TOP_NAMES).toArrow()
+    x = np.column_stack([rows.column(c).to_numpy() for c in TOP_NAMES] + [np.ones(rows.num_rows)])
     y = np.where(rows.column("label").to_numpy() == 1, 1.0, -1.0)
     total = marked.groupBy("label").count().collect()
     share = {r.label: r["count"] / counts[r.label] for r in total}  # the sample holds the classes in other shares than the labels
@@ -271,7 +276,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 def score(docs: DataFrame, machine: Machine, keep: list[str], text: str = "text", threshold: float = 0.3) -> DataFrame:
     """``keep``, score (0 to 1) and predicted (1 from ``threshold``) for every document, from its whole text alone.
 
-    Null and empty texts score as a text without sentences. Repeated rows score alike; an empty table gives no row.
+    Null and empty texts score as a text without units. Repeated rows score alike; an empty table gives no row.
     """
     made = _tops(docs.select(*[docs[c].alias(c) for c in keep], docs[text].cast("string").alias("_text")), machine, keep)
     return made.select(*keep, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
