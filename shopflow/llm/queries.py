@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopflow.llm import bpe, curriculum, hilbert, quality, simhash, substring, token_files, topk, toxicity
+from shopflow.llm import bpe, brown, curriculum, hilbert, quality, simhash, substring, token_files, topk, toxicity
 from shopflow.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,14 @@ def op2_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(toxicity.remainder(F.col("doc_id"), 4) != 2)
     scored = toxicity.score(docs, toxicity.train(docs, labels), ["doc_id"])
     return scored.select("doc_id", (toxicity.remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_brown_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose key's checksum modulo 7 is 2 are held out from training."""
+    docs = documents(spark, sf_dir)
+    held_out = toxicity.remainder(F.col("doc_id"), 7) == 2
+    model, counts = brown.train(docs.where(~held_out).select("text"))
+    scored = brown.score(docs, model, counts, ["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score",
+                         "score", brown.perplexity(F.col("score"), F.col("n_tokens")).alias("perplexity"))
