@@ -34,7 +34,7 @@ def inverse_demand(u: Column, knots: tuple[tuple[float, float], ...]) -> Column:
         done += area
     for upto, value in reversed(pieces):
         time = F.when(u * total <= upto, value).otherwise(time)
-    return F.least(F.greatest(time, F.lit(0.0)), F.lit(1.0))
+    return F.when(u.isNotNull(), F.least(F.greatest(time, F.lit(0.0)), F.lit(1.0)))
 
 
 def targets(sources: DataFrame, spark: SparkSession, share: float = 1.5, most: float = 2.0,
@@ -105,3 +105,16 @@ def curriculum(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights:
 def in_order(mix: DataFrame) -> DataFrame:
     """The mix range-sorted by training position; documents that are not taken come last."""
     return mix.orderBy(F.col("position").asc_nulls_last(), *[F.col(c) for c in mix.columns if c != "position"])
+
+
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The mix itself: whole documents, as often as they are taken, range-sorted by training position; columns of ``docs``.
+
+    A document that is cut at its source's target counts if at least half of it lies within.
+    """
+    marked = docs.withColumn("_k", F.coalesce(docs[key].cast("string"), F.lit(""))).withColumn("_t64", F.xxhash64(text_of(docs, text)))
+    mix = curriculum(marked, keep=("_k", "_t64"), text=text, **options).where("copies > 0")
+    times = F.explode(F.when(F.col("copies") > 1, F.array("position", "again")).otherwise(F.array("position"))).alias("_at")
+    sequence = stored(mix.select("_k", "_t64", times), "mix-sequence")
+    rows = marked.dropDuplicates(["_k", "_t64"]).join(sequence, ["_k", "_t64"])
+    return rows.orderBy("_at", "_k", "_t64").select(*docs.columns)

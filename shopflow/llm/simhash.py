@@ -236,6 +236,17 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def classified(docs: DataFrame, key: str, text: str, width: int, most: int, longest: int) -> tuple[DataFrame, DataFrame]:
+    """The documents as (_key, t64, fp) and the fingerprints as (fp, root, component_id)."""
+    marked = docs.select(docs[key].alias("_key"), F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))).alias("t64"), docs[text].alias("_t"))
+    rows = stored(fingerprints(marked, ["_key", "t64"], "_t", width), "simhash-rows")
+    nodes = stored(rows.groupBy("fp").agg(F.min("_key").alias("first")), "simhash-nodes")
+    roots = components(links(nodes, most, longest))
+    rooted = stored(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first"), "simhash-roots")
+    named = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-names")
+    return rows, stored(rooted.join(named, "root").select("fp", "root", "component_id"), "simhash-classes")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, most: int = MOST_BITS,
                     longest: int = LONGEST_RUN) -> DataFrame:
     """(key, fingerprint, component_id) for every document: the smallest key reachable over links of ``most`` bits or fewer.
@@ -244,10 +255,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     repeated rows. Null keys are linked but never name a component unless all its keys are null (then null). An empty
     table gives no row; other columns are not read.
     """
-    rows = stored(fingerprints(docs.select(docs[key].alias("_key"), docs[text].alias("_t")), ["_key"], "_t", width), "simhash-rows")
-    nodes = stored(rows.groupBy("fp").agg(F.min("_key").alias("first")), "simhash-nodes")
-    roots = components(links(nodes, most, longest))
-    rooted = stored(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first"), "simhash-roots")
-    named = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-names")
-    classes = stored(rooted.join(named, "root").select("fp", "component_id"), "simhash-classes")
+    rows, classes = classified(docs, key, text, width, most, longest)
     return rows.join(classes, "fp").select(F.col("_key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, most: int = MOST_BITS) -> DataFrame:
+    """One document of each component, all columns: the one with the least key (rows without a key come last), then text hash."""
+    rows, classes = classified(docs, key, text, width, most, LONGEST_RUN)
+    first = rows.join(classes, "fp").groupBy("root").agg(F.min(F.struct(F.col("_key").isNull().alias("n"), "_key", "t64")).alias("m"))
+    first = stored(first.select(F.col("m.n").alias("_n"), F.coalesce(F.col("m._key").cast("string"), F.lit("")).alias("_k"), F.col("m.t64").alias("_t64")), "simhash-kept")
+    keyed = docs.select("*", docs[key].isNull().alias("_n"), F.coalesce(docs[key].cast("string"), F.lit("")).alias("_k"),
+                        F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))).alias("_t64"))
+    return keyed.join(first, ["_n", "_k", "_t64"], "left_semi").dropDuplicates(["_n", "_k", "_t64"]).select(*docs.columns)
