@@ -10,30 +10,29 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import unicodedata
+import re
 from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 NO_RANK = 1 << 60
 SHORT_WORD = 256
 CACHE = 150_000  # distinct words a worker remembers
 
 
-def byte_letters() -> list[str]:
-    """The printable letter of each byte: itself if printable in Latin-1, else the next free one from code point 256 on."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    free = iter(range(256, 512))
-    return [chr(b if b in printable else next(free)) for b in range(256)]
-
-
 class Vocabulary:
-    """Encoder and decoder of a tokenizer file with NFC, blank and case normalisation, a split pattern, byte letters and word ends."""
+    """Encoder and decoder of a tokenizer file with byte letters and word ends.
+
+    How a text is normalised and cut into pieces is left to the library, whose character tables are of its own Unicode version;
+    the merges of a piece are made here.
+    """
 
     def __init__(self, definition: str) -> None:
+        library = Tokenizer.from_str(definition)
+        self.normalise, self.pieces = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         spec = json.loads(definition)
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
@@ -43,20 +42,11 @@ class Vocabulary:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in special.items()}
         self.special = special
-        self.at_special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
-        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        # \s stands for Unicode white space, without the four separators that Python's \s adds
-        self.pieces = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}"))
-        self.letters = byte_letters()
-
-    def normalise(self, text: str) -> str:
-        text = unicodedata.normalize("NFC", text)
-        # letter by letter: the form of a letter does not depend on its place in the word
-        return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
+        self.at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
     def word(self, word: str) -> list[int]:
-        """The ids of one piece."""
-        letters = [self.letters[b] for b in word.encode()]
+        """The ids of one piece, given as byte letters."""
+        letters = list(word)
         letters[-1] += self.end
         parts = [self.ids[x] for x in letters if x in self.ids]
         return self._scan(parts) if len(parts) <= SHORT_WORD else self._heap(parts)
@@ -103,7 +93,7 @@ class Vocabulary:
             if part in self.special:
                 out.append(self.special[part])
             elif part:
-                for piece in self.pieces.findall(self.normalise(part)):
+                for piece, _ in self.pieces(self.normalise(part)):
                     out += self.word(piece)
         return out
 

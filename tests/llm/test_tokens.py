@@ -26,6 +26,11 @@ LIBRARY = Tokenizer.from_file(PATH)
 OWN = bpe.Vocabulary(bpe.read_definition(PATH))
 
 
+@pytest.mark.parametrize("text", [":\U0003d000", "a\u0558b", "Σας ΟΔΟΣ", "İx", "e\u0301\u0323", "\u00a0a\u2003b", "\x1ca"])
+def test_odd_characters(text):
+    assert OWN.encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=40) | st.text(alphabet="aAbC's'revellm \n\tÀéΣς١½!?<|endoftext|>́\x1c\x85", max_size=60))
 def test_ids_equal_the_library(text):
