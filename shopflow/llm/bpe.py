@@ -20,7 +20,27 @@ from tokenizers import Tokenizer
 
 NO_RANK = 1 << 60
 SHORT_WORD = 256
-CACHE = 150_000  # distinct words a worker remembers
+CACHE = 250_000  # distinct words a worker remembers
+
+
+class Remembered(dict):
+    """Values by chunk; two generations bound its size."""
+
+    def __init__(self, make, limit: int = CACHE) -> None:
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def renew(self) -> None:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
 
 
 class Vocabulary:
@@ -42,6 +62,7 @@ class Vocabulary:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in special.items()}
         self.special = special
+        self.known_pieces = Remembered(self.word, CACHE // 5)
         self.at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
     def word(self, word: str) -> list[int]:
@@ -88,13 +109,15 @@ class Vocabulary:
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """The ids of text without ASCII blanks; no piece spans a blank, so texts may be encoded chunk by chunk."""
+        if chunk.isascii() and chunk.isalpha():  # one piece that only needs lower case
+            return self.word(chunk.lower())
         out: list[int] = []
         for part in self.at_special.split(chunk) if self.at_special else [chunk]:
             if part in self.special:
                 out.append(self.special[part])
             elif part:
                 for piece, _ in self.pieces(self.normalise(part)):
-                    out += self.word(piece)
+                    out += self.known_pieces[piece]
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -105,26 +128,6 @@ class Vocabulary:
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
 
-class Remembered(dict):
-    """Values by chunk; two generations bound its size."""
-
-    def __init__(self, make, limit: int = CACHE) -> None:
-        super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        self[key] = value
-        return value
-
-    def renew(self) -> None:
-        if len(self) > self.limit:
-            self.old = dict(self)
-            self.clear()
-
-
 def read_definition(path: str) -> str:
     """A tokenizer file on the driver; tasks get its content, which is as large as the vocabulary, by broadcast."""
     with open(path, encoding="utf-8") as f:
@@ -157,15 +160,19 @@ def encode(docs: DataFrame, path: str, keep: list[str] | None = None, text: str
             if digests:
                 counts, hashes, decoded = [], [], []
                 for t in texts:
-                    found = [known[c] for c in (t or "").encode().split()]
-                    counts.append(sum([x[0] for x in found]))
-                    hashes.append(hashlib.sha256(b" ".join([x[1] for x in found if x[0]])).hexdigest())
-                    decoded.append(hashlib.sha256(b" ".join([x[2] for x in found if x[0]])).hexdigest())
+                    # of each chunk: number of ids, ids, decoded text; chunks of no id leave no space between others
+                    n, ids, tokens = zip(*map(known.__getitem__, (t or "").encode().split()), (0, b"", b""))
+                    if 0 in n[:-1]:
+                        ids, tokens = (*filter(None, ids), b""), (*filter(None, tokens), b"")
+                    counts.append(sum(n))
+                    hashes.append(hashlib.sha256(b" ".join(ids[:-1])).hexdigest())
+                    decoded.append(hashlib.sha256(b" ".join(tokens[:-1])).hexdigest())
                 columns = [pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
             else:
                 rows = [array("i", b"".join([known[c] for c in (t or "").encode().split()])) for t in texts]
                 columns = [pa.array([len(r) for r in rows], pa.int64()), pa.array(rows, pa.list_(pa.int32()))]
             known.renew()
+            vocabulary.known_pieces.renew()
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*keep, *made])
 
     kinds = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string", "decoded_sha256": "string"}
