@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -31,6 +33,14 @@ def by_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None
     return df.mapInArrow(run, schema)
 
 
+def kept_in_worker(name: str, make: Callable[[], object]):
+    """An object that the tasks of one Python worker share; for caches of bounded size whose content follows from ``name``."""
+    place = sys.modules.setdefault("_shopflow_kept", types.ModuleType("_shopflow_kept")).__dict__
+    if name not in place:
+        place[name] = make()
+    return place[name]
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(df[column].cast("string"), F.lit(""))

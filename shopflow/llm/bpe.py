@@ -18,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from shopflow.llm.base import kept_in_worker
+
 NO_RANK = 1 << 60
 SHORT_WORD = 256
-CACHE = 250_000  # distinct words a worker remembers
+CACHE = 200_000  # distinct words a worker remembers
 
 
 class Remembered(dict):
@@ -62,7 +64,7 @@ class Vocabulary:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in special.items()}
         self.special = special
-        self.known_pieces = Remembered(self.word, CACHE // 5)
+        self.known_pieces = Remembered(self.word, 3 * CACHE // 2)
         self.at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
     def word(self, word: str) -> list[int]:
@@ -109,8 +111,10 @@ class Vocabulary:
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """The ids of text without ASCII blanks; no piece spans a blank, so texts may be encoded chunk by chunk."""
-        if chunk.isascii() and chunk.isalpha():  # one piece that only needs lower case
-            return self.word(chunk.lower())
+        self.known_pieces.renew()
+        core = chunk.rstrip(".,")
+        if core.isascii() and core.isalpha():  # a piece that only needs lower case, and one of marks
+            return [*self.known_pieces[core.lower()], *(self.known_pieces[chunk[len(core):]] if len(core) < len(chunk) else ())]
         out: list[int] = []
         for part in self.at_special.split(chunk) if self.at_special else [chunk]:
             if part in self.special:
@@ -145,7 +149,9 @@ def encode(docs: DataFrame, path: str, keep: list[str] | None = None, text: str
     definition = docs.sparkSession.sparkContext.broadcast(read_definition(path))
     marked = docs.select(*[docs[c].alias(c) for c in keep], docs[text].cast("string").alias("_text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    spec_hash = hashlib.sha256(definition.value.encode()).hexdigest()
+
+    def chunks_known() -> Remembered:
         vocabulary = Vocabulary(definition.value)
 
         def made_of(chunk: bytes):
@@ -154,7 +160,10 @@ def encode(docs: DataFrame, path: str, keep: list[str] | None = None, text: str
                 return len(ids), " ".join(map(str, ids)).encode(), vocabulary.decode(ids).encode()
             return array("i", ids).tobytes()
 
-        known = Remembered(made_of)
+        return Remembered(made_of)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = kept_in_worker(f"bpe-{digests}-{spec_hash}", chunks_known)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             if digests:
@@ -172,7 +181,6 @@ def encode(docs: DataFrame, path: str, keep: list[str] | None = None, text: str
                 rows = [array("i", b"".join([known[c] for c in (t or "").encode().split()])) for t in texts]
                 columns = [pa.array([len(r) for r in rows], pa.int64()), pa.array(rows, pa.list_(pa.int32()))]
             known.renew()
-            vocabulary.known_pieces.renew()
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*keep, *made])
 
     kinds = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string", "decoded_sha256": "string"}

@@ -19,8 +19,8 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from shopflow.llm.base import stored
-from shopflow.llm.bpe import Remembered, read_definition
+from shopflow.llm.base import kept_in_worker, stored
+from shopflow.llm.bpe import CACHE, Remembered, read_definition
 
 BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 4096
@@ -42,24 +42,53 @@ def tokenizer(definition: str):
 
 
 class Encoder:
-    """Serialized ids of texts. No token spans an ASCII blank, so each distinct chunk between blanks is encoded once."""
+    """Serialized ids of texts.
+
+    No token spans an ASCII blank, so each distinct chunk between blanks is encoded once; nor does one span letters and the
+    full stops or commas behind them, so these are told apart where the letters are Latin.
+    """
 
     def __init__(self, definition: str, kind: str) -> None:
-        self.tokenizer, self.kind = tokenizer(definition), kind
+        self.tokenizer, self.kind, self.width = tokenizer(definition), kind, int(kind[-1])
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special and not t.normalized]
+        self.mark = min(special, default=None)
+        self.mark_id = self.tokenizer.token_to_id(self.mark) if special else None
         self.known = Remembered(lambda c: self.many([c])[0])
+        self.cores = Remembered(lambda c: self.many([c])[0], 2 * CACHE)
 
     def many(self, chunks: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        return [np.array(x.ids, self.kind).tobytes() for x in found]
+        """Ids of each chunk. Chunks go to the library a few thousand at once, with a special token between them."""
+        out: list[bytes] = []
+        for at in range(0, len(chunks), 4096):
+            part = [c.decode() for c in chunks[at:at + 4096]]
+            if self.mark is None or any("<" in c for c in part):
+                out += [np.array(x.ids, self.kind).tobytes() for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                continue
+            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            raw, cuts = ids.astype(self.kind).tobytes(), np.flatnonzero(ids == self.mark_id) * self.width
+            out += [raw[a:b] for a, b in zip([0, *(cuts + self.width).tolist()], [*cuts.tolist(), len(raw)])]
+        return out
+
+    def _core(self, chunk: bytes) -> tuple[bytes, bytes]:
+        """(letters in lower case, marks behind them); the whole chunk and nothing where that is not safe."""
+        core = chunk.rstrip(b".,")
+        if core.isalpha() or (core and (text := core.decode()).isalpha() and max(text) < "\u0130"):
+            return core.decode().lower().encode(), chunk[len(core):]
+        return chunk, b""
 
     def texts(self, texts: list[str | None], end: int) -> Iterator[bytes]:
-        split = [(t or "").encode().split() for t in texts]
-        new = [c for c in set().union(*split) if c not in self.known and c not in self.known.old]
-        self.known.update(zip(new, self.many(new)))
         last = np.array([end], self.kind).tobytes()
-        for chunks in split:
-            yield b"".join([*map(self.known.__getitem__, chunks), last])
-        self.known.renew()
+        for at in range(0, len(texts), 256):
+            split = [(t or "").encode().split() for t in texts[at:at + 256]]
+            new = {c: self._core(c) for c in set().union(*split) if c not in self.known and c not in self.known.old}
+            asked = sorted({c for pair in new.values() for c in pair if c and c not in self.cores and c not in self.cores.old}, key=lambda c: b"<" in c)
+            self.cores.update(zip(asked, self.many(asked)))
+            for chunk, (core, marks) in new.items():
+                self.known[chunk] = self.cores[core] + self.cores[marks] if marks else self.cores[core]
+            for chunks in split:
+                yield b"".join([*map(self.known.__getitem__, chunks), last])
+            self.known.renew()
+            self.cores.renew()
 
 
 def compression_dict(data: bytes) -> zstandard.ZstdCompressionDict | None:
@@ -98,6 +127,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end: int = 2, key: st
     dictionary = train_dictionary(docs, definition, kind, end, text, key)
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(digest, bytearray(dictionary), kind)], "dict_hash string, dictionary binary, kind string").coalesce(1).write.parquet(f"{path}/dictionary")
+    spec_hash = hashlib.sha256(definition.encode()).hexdigest()
     shipped = spark.sparkContext.broadcast((definition, dictionary))  # vocabulary and dictionary have fixed sizes
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
@@ -105,7 +135,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end: int = 2, key: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spec, trained = shipped.value
-        encoder = Encoder(spec, kind)
+        encoder = kept_in_worker(f"encoder-{kind}-{spec_hash}", lambda: Encoder(spec, kind))
         packer = zstandard.ZstdCompressor(level=level, dict_data=compression_dict(trained))
         part, block, start = TaskContext.get().partitionId(), 0, 0
         entries, frames, size = [], [], 0
