@@ -176,6 +176,7 @@ def encode(docs: DataFrame, path: str, keep: list[str] | None = None, text: str
                     counts.append(sum(n))
                     hashes.append(hashlib.sha256(b" ".join(ids[:-1])).hexdigest())
                     decoded.append(hashlib.sha256(b" ".join(tokens[:-1])).hexdigest())
+                    known.renew()
                 columns = [pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
             else:
                 rows = [array("i", b"".join([known[c] for c in (t or "").encode().split()])) for t in texts]
