@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from catalog_queries.registry import query
 from shopflow.functions import urls as U
@@ -158,13 +158,13 @@ def _urls(read):
   CASE WHEN l.url IS NOT NULL THEN l.type ELSE c.type END AS type, CASE WHEN l.url IS NOT NULL THEN l.hash ELSE c.hash END AS hash
 FROM current c FULL JOIN last l ON c.domain = l.domain AND c.url = l.url""")
 def url_upsert(read):
-    return store.upsert_urls(*_urls(read))[0]
+    return store.upsert_urls(*_urls(read))
 
 
 @query(f"""WITH {URLS_SQL} SELECT coalesce(c.domain, l.domain) AS domain, coalesce(c.url, l.url) AS url, coalesce(l.hash, c.hash) AS hash
 FROM current c FULL JOIN last l ON c.domain = l.domain AND c.url = l.url""")
 def url_upsert_keep_hash(read):
-    return store.upsert_urls(*_urls(read), keep_hash=True)[0].select("domain", "url", "hash")
+    return store.upsert_urls(*_urls(read), keep_hash=True).select("domain", "url", "hash")
 
 
 @query("SELECT user_id, event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
@@ -188,33 +188,34 @@ def classify_urls(read):
     return classify.classify_urls(labelled.drop("is_product"), model).select("page_id", "is_product", F.round("confidence", 6).alias("confidence"), "type")
 
 
-@query(None)
+@query(rf"""WITH p AS (SELECT regexp_extract(lower(url), '^[a-z]+://([^/?#:]*)', 1) AS domain, {NORM} AS url, min(page_id) AS page FROM pages GROUP BY 1, 2),
+c AS (SELECT domain, url, row_number() OVER w AS depth, lag(url) OVER w AS prev FROM p WINDOW w AS (PARTITION BY domain ORDER BY page))
+SELECT DISTINCT domain, 'https://' || domain AS url, 0 AS depth, NULL AS parent_url, true AS success FROM p
+UNION ALL SELECT domain, url, depth, coalesce(prev, 'https://' || domain), true FROM c""")
 def crawl_job(read):
-    """Walk from the front page of every host over the links that the page nav bars name."""
-    pages = read("pages")
-    host = U.host(F.col("url"))
-    home = F.concat(F.lit("https://"), host)
-    hosts = pages.select(host.alias("domain")).distinct()
+    """Walk all given pages of every host: its front page leads to the first page, every page to the next one."""
+    host, url = U.host(F.col("url")), U.normalize_url(F.col("url"))
+    own = read("pages").groupBy(host.alias("domain"), url.alias("url")).agg(F.min("page_id").alias("page"))
+    home = F.concat(F.lit("https://"), F.col("domain"))
+    hosts = own.select("domain").distinct()
+    chain = own.unionByName(hosts.select("domain", home.alias("url"), F.lit(-1).cast("long").alias("page")))
+    following = F.lead("url").over(Window.partitionBy("domain").orderBy("page"))
+    link = F.coalesce(F.concat(F.lit('<a href="'), following, F.lit('">next</a>')), F.lit(""))
+    stored = chain.select("url", link.alias("html"), F.lit(True).alias("success"), (F.col("page") % 2 == 0).alias("is_product"))
     bodies = hosts.select(F.to_json(F.struct("domain")).alias("body"))
     shops = hosts.select("domain", *[F.lit(None).cast("string").alias(c) for c in (
         "core_domain_name", "shop_name", "shop_image", "shop_type", "shop_country", "last_crawled_start", "last_crawled_end",
         "last_scraped_start", "last_scraped_end")])
-    # The front page of a host is the first of its pages; its links lead to the others through a table of contents.
-    listed = pages.select(host.alias("domain"), home.alias("home"), "url", "html", "page_id")
-    contents = listed.groupBy("domain", "home").agg(F.count(F.lit(1)).alias("n"))
-    stored = (listed.select("url", "html", F.lit(True).alias("success"), (F.col("page_id") % 2 == 0).alias("is_product"))
-              .unionByName(contents.select(F.col("home").alias("url"), F.lit('<a href="/The">x</a>').alias("html"),
-                                           F.lit(True).alias("success"), F.lit(False).alias("is_product"))))
     table = shops.select("domain", F.lit("").alias("url"), F.lit(None).cast("string").alias("type"),
                          F.lit(None).cast("string").alias("hash")).limit(0)
-    out = jobs.crawl_shops(shops, bodies, stored, table, "2026-01-01T00:00:00Z", max_depth=3)
-    return out["results"].select("domain", "url", "depth", "parent_url", "success")
+    out = jobs.crawl_shops(shops, bodies, stored, table, "2026-01-01T00:00:00Z", extensions=[], patterns=[])
+    return out["results"].select("domain", "url", F.col("depth").cast("long").alias("depth"), "parent_url", "success")
 
 
 @query(None)
 def boilerplate_shrink(read):
     """Which pages shrink by how much after the removal of blocks shared within their host."""
-    return jobs.boilerplate_shrink(read("pages").select(U.host(F.col("url")).alias("domain"), "url", "html"))
+    return jobs.boilerplate_shrink(read.spread("pages").select(U.host(F.col("url")).alias("domain"), "url", "html"))
 
 
 @query("""WITH c AS (SELECT DISTINCT source AS domain FROM documents WHERE doc_id % 4 <> 0)

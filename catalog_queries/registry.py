@@ -4,8 +4,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopflow.runtime import spread
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -34,8 +32,8 @@ class Reader:
         return self.spark.read.parquet(f"{self.dir}/{table}.parquet")
 
     def spread(self, table: str) -> DataFrame:
-        """The table on all cores, for costly text work."""
-        return spread(self(table))
+        """The table in as many parts as there are cores, for costly text work: its file has one row group, which Spark cannot split."""
+        return self(table).repartition(self.spark.sparkContext.defaultParallelism)
 
     def stream(self, table: str) -> DataFrame:
         """The table's file as a stream with the schema of the stored file."""

@@ -203,17 +203,38 @@ def country_range(read):
     return S.country_of_ip(shops_, ranges).select("domain", "shop_country")
 
 
-@query(None)
+def _model(texts):
+    """Stands for a model: reads the number in the first line; fails, answers nonsense or finds no product by its remainder.
+
+    A footer that should have been removed makes the reply invalid.
+    """
+    def reply(text: str) -> str:
+        number = int(text.split("\n", 1)[0].rsplit(" ", 1)[1])
+        if number % 11 == 2:
+            raise ValueError("LengthFinishReasonError: reply cut off")
+        if number % 11 == 4:
+            raise RuntimeError("model unavailable")
+        state = "GONE" if number % 11 == 5 or "Delivery is free" in text else "SOLD"
+        return (f'{{"is_product": {"false" if number % 11 == 6 else "true"}, "shopsProductId": "{number}", '
+                f'"title": {{"text": "Old chair", "language": "en"}}, "price": {{"amount": {number}, "currency": "EUR"}}, "state": "{state}", "images": []}}')
+
+    return texts.map(reply)
+
+
+@query("""SELECT source AS domain, CAST(doc_id AS VARCHAR) AS url, CASE WHEN doc_id % 7 = 1 THEN 'fetch_failed' WHEN doc_id % 3 = 0 THEN 'unchanged'
+  WHEN doc_id % 11 = 2 THEN 'token_limit' WHEN doc_id % 11 = 4 THEN 'system_error' WHEN doc_id % 11 = 5 THEN 'validation_error'
+  WHEN doc_id % 11 = 6 THEN 'non_product' ELSE 'success' END AS outcome FROM documents""")
 def scrape_job(read):
-    """Outcome counts of a scrape over all documents as pages; a third of them unchanged."""
+    """Outcomes of a scrape of all documents as pages that share a footer; some are gone or unchanged, the model fails on some."""
     k = F.col("doc_id")
     docs = read.spread("documents").select(
         k, F.col("source").alias("domain"), k.cast("string").alias("url"),
-        F.concat(F.lit("# Old chair no. "), k.cast("string"), F.lit("\nPrice: EUR "), (k % 500 + 1).cast("string"), F.lit(",00\n"), "text").alias("markdown"))
-    pages = docs.select("domain", "url", "markdown", F.lit(True).alias("success"), F.lit(None).cast("string").alias("error"))
+        F.concat(F.lit("# Old chair no. "), k.cast("string"), F.lit("\n"), "text", F.lit("\nDelivery is free for all orders\nVisit us in the old mill")).alias("markdown"))
+    pages = docs.where(k % 7 != 1).select("domain", "url", "markdown", F.lit(True).alias("success"), F.lit(None).cast("string").alias("error"))
     table = docs.select("domain", "url", F.lit("product").alias("type"), F.when(k % 3 == 0, F.sha2("markdown", 256)).alias("hash"))
     shops_ = docs.select("domain").distinct().withColumns({c: F.lit(None).cast("string") for c in (
         "last_scraped_start", "last_scraped_end")})
-    blocks = docs.select("domain").distinct().withColumn("blocks", F.array().cast("array<array<string>>"))
+    footer = F.array(F.array(F.lit("Delivery is free for all orders"), F.lit("Visit us in the old mill")))
     requests = shops_.select("domain", F.lit(None).cast("string").alias("next"))
-    return jobs.scrape_shops(shops_, requests, table, pages, blocks, "2026-01-01T00:00:00Z")["report"]
+    out = jobs.scrape_shops(shops_, requests, table, pages, shops_.select("domain", footer.alias("blocks")), "2026-01-01T00:00:00Z", extractor=_model)
+    return out["outcomes"].select("domain", "url", "outcome")

@@ -16,13 +16,13 @@ def content_hash(read):
     return read.spread("documents").select("doc_id", T.content_hash(F.col("text")).alias("hash"))
 
 
-@query("""SELECT doc_id, length(text) >= 500 AS long_enough, sha256(substr(text, 1, 5000)) AS dedupe_key,
+@query("""SELECT doc_id, length(text) >= 500 AS long_enough, sha256(text) AS dedupe_key,
   sha256(substr(text, 1, 10000)) AS extractor_input, length(text) > 20000 AS too_long FROM documents""")
 def text_gates(read):
     c = F.col("text")
     return read.spread("documents").select(
         "doc_id", T.long_enough(c).alias("long_enough"), T.dedupe_key(c).alias("dedupe_key"),
-        F.sha2(T.extractor_input(c), 256).alias("extractor_input"), T.too_long(c).alias("too_long"))
+        F.sha2(T.extractor_input(c, 10_000), 256).alias("extractor_input"), T.too_long(c).alias("too_long"))
 
 
 @query(r"""SELECT doc_id, count(*) AS lines_seen FROM (
@@ -111,9 +111,8 @@ SAMPLE_SQL = """
 docs AS (SELECT source AS domain, lpad(CAST(doc_id AS VARCHAR), 12, '0') AS url,
   'Welcome to our house of fine old things' || chr(10) || text || chr(10) || 'All offers are subject to change' || chr(10) || 'Opening hours every day from nine' AS markdown
   FROM documents),
-scan AS (SELECT * FROM docs QUALIFY row_number() OVER (PARTITION BY domain ORDER BY url) <= 15),
-fresh AS (SELECT * FROM scan WHERE length(markdown) >= 500
-  QUALIFY row_number() OVER (PARTITION BY domain, sha256(substr(markdown, 1, 5000)) ORDER BY url) = 1),
+fresh AS (SELECT * FROM docs WHERE length(markdown) >= 500
+  QUALIFY row_number() OVER (PARTITION BY domain, sha256(markdown) ORDER BY url) = 1),
 sample AS (SELECT domain, row_number() OVER (PARTITION BY domain ORDER BY url) AS doc_no, url, markdown FROM fresh
   QUALIFY doc_no <= 3),
 pairs AS (SELECT a.domain, CASE WHEN a.doc_no = 1 THEN b.doc_no - 2 ELSE 2 END AS pair_no, a.doc_no AS doc_a, b.doc_no AS doc_b,
@@ -176,7 +175,7 @@ boxes AS (
 )"""
 
 
-@query(rf"""WITH RECURSIVE {SAMPLE_SQL}, {RUNS_SQL},
+BLOCKS_SQL = rf"""{SAMPLE_SQL}, {RUNS_SQL},
 found AS (SELECT m.domain, m.pair_no, m.ma, la.i, la.line,
    NOT (line LIKE '#%' OR regexp_matches(lower(line), '(^|[^\p{{L}}\p{{M}}\p{{N}}_])(price|inventory|sku|item|lot|verfügbarkeit|vorrätig|availability|stock|zustand)($|[^\p{{L}}\p{{M}}\p{{N}}_])')
      OR regexp_matches(line, '[$€£]\s*[0-9]|[0-9]\s*[$€£]')) AS safe
@@ -184,7 +183,10 @@ found AS (SELECT m.domain, m.pair_no, m.ma, la.i, la.line,
 block AS (SELECT domain, pair_no, ma, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY i) AS body FROM found WHERE safe GROUP BY domain, pair_no, ma
    HAVING len(list_filter(regexp_split_to_array(string_agg(line, ' ' ORDER BY i), '{BLANK}+'), lambda x: x <> '')) > 3),
 once AS (SELECT domain, pair_no, min(ma) AS ma, n_lines, body FROM block GROUP BY domain, pair_no, n_lines, body),
-first AS (SELECT * FROM once QUALIFY pair_no = min(pair_no) OVER (PARTITION BY domain))
+first AS (SELECT * FROM once QUALIFY pair_no = min(pair_no) OVER (PARTITION BY domain))"""
+
+
+@query(f"""WITH RECURSIVE {BLOCKS_SQL}
 SELECT domain, row_number() OVER (PARTITION BY domain ORDER BY ma) - 1 AS block_no, n_lines, sha256(body) AS block_hash FROM first""")
 def common_blocks(read):
     """Blocks shared by the sample pages of a source. The SQL follows the same longest-first matching by recursion."""
@@ -195,14 +197,26 @@ def common_blocks(read):
         F.sha2(F.array_join("block", "\n"), 256).alias("block_hash"))
 
 
-@query(None)
+@query(f"""WITH RECURSIVE {BLOCKS_SQL}, d AS (SELECT DISTINCT domain FROM docs)
+SELECT d.domain, count(f.ma) OVER (PARTITION BY d.domain) AS blocks_found, coalesce(sum(n_lines) OVER (PARTITION BY d.domain), 0) AS total_lines,
+  CASE WHEN f.ma IS NOT NULL THEN row_number() OVER (PARTITION BY d.domain ORDER BY f.ma) - 1 END AS block_no, substr(body, 1, 100) || '...' AS preview, n_lines
+FROM d LEFT JOIN first f ON f.domain = d.domain""")
 def block_summary(read):
     docs = _shop_docs(read)
     found = cut(B.discover(_sample(read), docs.select("domain")))
-    return B.discovery_summary(found).join(B.preview_blocks(found), "domain", "left")
-
-
-@query(None)
+    made = B.discovery_summary(found).join(B.preview_blocks(found), "domain", "left")
+    return made.select("domain", "preview", *[F.col(c).cast("long").alias(c) for c in ("blocks_found", "total_lines", "block_no", "n_lines")])
+
+
+@query(f"""WITH RECURSIVE {BLOCKS_SQL},
+split AS (SELECT domain, url, markdown, string_split(markdown, chr(10)) AS ls, list_transform(string_split(markdown, chr(10)), lambda x: trim(x)) AS bare FROM docs),
+spot AS (SELECT s.domain, s.url, i, n_lines FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM split) s JOIN first f ON f.domain = s.domain
+  AND array_to_string(list_slice(bare, i, i + n_lines - 1), chr(10)) = body),
+gone AS (SELECT DISTINCT domain, url, i + unnest(range(n_lines)) AS i FROM spot),
+kept AS (SELECT s.domain, s.url, string_agg(s.ls[s.i], chr(10) ORDER BY s.i) AS clean FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM split) s
+  LEFT JOIN gone g ON g.domain = s.domain AND g.url = s.url AND g.i = s.i WHERE g.i IS NULL GROUP BY s.domain, s.url)
+SELECT s.domain, s.url, length(markdown) > 20000 AS too_long, length(coalesce(clean, '')) AS clean_chars, sha256(coalesce(clean, '')) AS clean_hash
+FROM split s LEFT JOIN kept k ON k.domain = s.domain AND k.url = s.url""")
 def clean_documents(read):
     """Noise and shared blocks out of every document."""
     docs = _shop_docs(read)

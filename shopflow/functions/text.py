@@ -30,8 +30,6 @@ UNSAFE = r"(?iuU)^#|\b(?:" + "|".join(CRITICAL_WORDS) + r")\b|[$€£]\s*\d|\d\s
 
 # Text gates.
 MIN_CHARS = 500
-DEDUPE_CHARS = 5000
-EXTRACT_CHARS = 10000
 WARN_CHARS = 20000
 PREVIEW_CHARS = 100
 
@@ -149,12 +147,13 @@ def long_enough(c: Column) -> Column:
 
 
 def dedupe_key(c: Column) -> Column:
-    """Key under which two sample documents count as repeats: their first characters, hashed."""
-    return F.sha2(F.substring(c, 1, DEDUPE_CHARS), 256)
+    """Key under which two sample documents count as repeats: the hash of the whole text."""
+    return F.sha2(c, 256)
 
 
-def extractor_input(c: Column) -> Column:
-    return F.substring(c, 1, EXTRACT_CHARS)
+def extractor_input(c: Column, limit: int | None = None) -> Column:
+    """What an extractor that takes at most ``limit`` characters gets; the whole text without a limit."""
+    return c if limit is None else F.substring(c, 1, limit)
 
 
 def too_long(c: Column) -> Column:

@@ -5,34 +5,29 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shopflow.functions import text
 from shopflow.operators.shops import product_urls
 from shopflow.operators.skew import salted_join, top_per_key
 
 SAMPLE_DOCS = 3
-SCAN_URLS = 15
 
 
-def sample_docs(urls: DataFrame, pages: DataFrame, n: int = SAMPLE_DOCS, scan: int = SCAN_URLS,
-                accept: Column | None = None) -> DataFrame:
+def sample_docs(urls: DataFrame, pages: DataFrame, n: int = SAMPLE_DOCS, accept: Column | None = None) -> DataFrame:
     """The first ``n`` usable documents per domain: (domain, doc_no, url, markdown), numbered from 1.
 
-    Of the first ``scan`` URLs of a domain: stored, at least 500 characters, no repeat of an earlier one, and
-    accepted by the extractor (``accept`` over the page columns; everything when left out).
+    Over all URLs of a domain: stored, at least 500 characters, no repeat of an earlier one, and accepted by the extractor
+    (``accept`` over the page columns; everything when left out). Ranking filters keep at most n rows per domain and task.
     """
-    wanted = top_per_key(urls.select("domain", "url").distinct(), ["domain"], [F.col("url")], scan)
-    docs = (pages.join(wanted, ["domain", "url"])
+    docs = (pages.join(urls.select("domain", "url").distinct(), ["domain", "url"])
             .where(F.coalesce(F.col("success"), F.lit(True)) & text.long_enough(F.col("markdown")))
             .withColumn("_key", text.dedupe_key(F.col("markdown"))))
     fresh = top_per_key(docs, ["domain", "_key"], [F.col("url")])
     if accept is not None:
         fresh = fresh.where(accept)
-    first = (fresh.groupBy("domain").agg(F.slice(F.array_sort(F.collect_list(F.struct("url", "markdown"))), 1, n)
-                                         .alias("docs")))
-    return (first.select("domain", F.posexplode("docs").alias("_i", "d"))
-            .select("domain", (F.col("_i") + 1).alias("doc_no"), "d.url", "d.markdown"))
+    ranked = fresh.withColumn("doc_no", F.row_number().over(Window.partitionBy("domain").orderBy("url")))
+    return ranked.where(F.col("doc_no") <= n).select("domain", "doc_no", "url", "markdown")
 
 
 def doc_pairs(docs: DataFrame, n: int = SAMPLE_DOCS) -> DataFrame:
@@ -84,15 +79,12 @@ def attach_blocks(pages: DataFrame, blocks: DataFrame) -> DataFrame:
     return salted_join(pages, blocks.select("domain", "blocks"), ["domain"], ["url"])
 
 
-def clean_pages(pages: DataFrame, blocks: DataFrame, overlap: str = "union", cut: bool = True) -> DataFrame:
-    """Noise sections out, shared blocks out, then the extractor's limit: adds ``too_long`` and ``clean``."""
+def clean_pages(pages: DataFrame, blocks: DataFrame, overlap: str = "union") -> DataFrame:
+    """Noise sections out, shared blocks out, whole texts: adds ``too_long`` (before blocks go) and ``clean``."""
     noise_free = pages.withColumn("_text", text.remove_noise(F.col("markdown")))
-    cleaned = (attach_blocks(noise_free, blocks)
-               .withColumn("too_long", text.too_long(F.col("_text")))
-               .withColumn("clean", text.remove_blocks(F.col("_text"), F.col("blocks"), overlap)))
-    if cut:
-        cleaned = cleaned.withColumn("clean", text.extractor_input(F.col("clean")))
-    return cleaned.drop("_text", "blocks")
+    return (attach_blocks(noise_free, blocks)
+            .withColumn("too_long", text.too_long(F.col("_text")))
+            .withColumn("clean", text.remove_blocks(F.col("_text"), F.col("blocks"), overlap)).drop("_text", "blocks"))
 
 
 def preview_blocks(blocks: DataFrame) -> DataFrame:
@@ -112,5 +104,4 @@ def discover_boilerplate(urls: DataFrame, pages: DataFrame, stored: DataFrame, c
                          accept: Column | None = None) -> DataFrame:
     """Block rows for the domains with product URLs that were never checked."""
     todo = product_urls(urls).join(stored.select("domain"), "domain", "left_anti")
-    docs = sample_docs(todo, pages, accept=accept)
-    return discover(docs, todo).withColumn("checked_at", F.lit(checked_at).cast("timestamp"))
+    return discover(sample_docs(todo, pages, accept=accept), todo).withColumn("checked_at", F.lit(checked_at).try_cast("timestamp"))

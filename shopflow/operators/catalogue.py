@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopflow.functions import text, urls
-from shopflow.operators.skew import MAX_GROUP, previous_row, salted_join, top_per_key
+from shopflow.operators.skew import number_rows, previous_row, salted_join, top_per_key
 from shopflow.schemas import (
     CURRENCIES, LANGUAGES, MAX_WATCHED_PER_USER, PAGE_SIZE, PRODUCT_KEY, PRODUCT_SORTS, SHOP_SORTS, SUMMARY_COLUMNS,
 )
@@ -241,13 +241,13 @@ def new_price_type(df: DataFrame):
 
 
 def derive_events(observations: DataFrame, keys: list[str] = PRODUCT_KEY, ts: str = "observed_at",
-                  tie: tuple[str, ...] = (), max_group: int = MAX_GROUP, ranges: int | None = None) -> DataFrame:
+                  tie: tuple[str, ...] = (), ranges: int | None = None) -> DataFrame:
     """Events from consecutive observations (keys, ``ts``, price, state) of each product.
 
     The first observation gives CREATED, later ones price and state events where something changed.
     """
     seen = previous_row(observations.withColumn("_seen", F.lit(True)), keys, [ts, *tie], ["_seen", "price", "state"],
-                        "prev", max_group, ranges)
+                        "prev", ranges)
     return events_between(seen, keys, F.col("prev").isNull(), F.col("prev.price"), F.col("price"),
                           F.col("prev.state"), F.col("state"), ts)
 
@@ -255,10 +255,12 @@ def derive_events(observations: DataFrame, keys: list[str] = PRODUCT_KEY, ts: st
 def enrich_with_shop(products: DataFrame, shops: DataFrame) -> DataFrame:
     """Adds shop_id and shop_name by the host of the product URL, or ``error``.
 
-    ``shops`` is (shop_id, shop_name, domains). The host counts with and without ``www.``.
+    ``shops`` is (shop_id, shop_name, domains). The host counts with and without ``www.``; of two
+    shops that claim it the smaller id owns it.
     """
-    domains = shops.select("shop_id", "shop_name", F.explode("domains").alias("_host")).withColumn(
-        "_host", urls.normalize_domain(F.col("_host"))).dropDuplicates(["_host"])
+    listed = shops.select("shop_id", "shop_name", F.explode("domains").alias("_host"))
+    domains = listed.groupBy(urls.normalize_domain(F.col("_host")).alias("_host")).agg(
+        F.min(F.struct("shop_id", "shop_name")).alias("s")).select("_host", "s.*")
     found = F.regexp_replace(urls.host(F.col("url")), r"^www\.", "")
     hosted = products.drop("shop_id", "shop_name").withColumn("_host", F.when(found.contains("."), found))
     return (salted_join(hosted, domains, ["_host"], ["url"])
@@ -272,13 +274,22 @@ def overflow(amount: Column) -> Column:
     return F.coalesce(amount > F.lit(MAX_AMOUNT).cast("decimal(20,0)"), F.lit(False))
 
 
-def put_results(incoming: DataFrame, catalogue: DataFrame, compare: list[str]) -> DataFrame:
-    """Adds ``outcome`` to enriched products: failed, created, updated, or skipped when nothing changed."""
-    old = catalogue.select(*PRODUCT_KEY, F.struct(*compare).alias("_old"))
-    joined = incoming.join(old, PRODUCT_KEY, "left")
-    same = reduce(Column.__and__, [F.col(f"_old.{c}").eqNullSafe(F.col(c)) for c in compare])
-    return joined.withColumn("outcome", F.when(F.col("error").isNotNull(), "failed").when(F.col("_old").isNull(), "created")
-                             .when(same, "skipped").otherwise("updated")).drop("_old")
+def put_results(incoming: DataFrame, catalogue: DataFrame, compare: list[str], order: list[str] | None = None) -> DataFrame:
+    """Adds ``outcome`` to enriched products: failed, created, updated, or skipped when nothing changed; ``before``, the state
+    and price a row meets; ``put_no``, its place among the puts of its product.
+
+    A row meets the put of its product before it in ``order`` (then by content), the first one meets the catalogue.
+    """
+    kept = list(dict.fromkeys([*compare, "price", "state"]))
+    tie = F.xxhash64(*[c for c in incoming.columns if c not in PRODUCT_KEY])
+    good = number_rows(incoming.where("error IS NULL").withColumn("_tie", tie), PRODUCT_KEY, [*(order or []), "_tie"], "put_no").drop("_tie")
+    seen = previous_row(good, PRODUCT_KEY, ["put_no"], kept, "_put")
+    old = catalogue.select(*PRODUCT_KEY, F.struct(*kept).alias("_stored"))
+    joined = seen.join(old, PRODUCT_KEY, "left").withColumn("before", F.coalesce("_put", "_stored")).drop("_put", "_stored")
+    same = reduce(Column.__and__, [F.col(f"before.{c}").eqNullSafe(F.col(c)) for c in compare])
+    judged = joined.withColumn("outcome", F.when(F.col("before").isNull(), "created").when(same, "skipped").otherwise("updated"))
+    failed = incoming.where("error IS NOT NULL").withColumn("outcome", F.lit("failed"))
+    return judged.unionByName(failed, allowMissingColumns=True)
 
 
 def put_summary(results: DataFrame, batch: str = "batch_no") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,8 +11,6 @@ from shopflow.functions import urls
 from shopflow.operators.skew import number_rows, salted_join
 from shopflow.runtime import bucketed, cut
 
-MAX_DEPTH = 100
-MAX_PAGES = 999_999
 _SALTS = 8
 _LEVEL = ["domain", "url", "depth", "parent_url", "success"]
 
@@ -50,13 +49,14 @@ def _within_budget(level: DataFrame, spent: DataFrame, max_pages: int, **options
             .withColumn("closed", F.coalesce("_full", F.lit(False))).drop("_last", "_full"))
 
 
-def bfs(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_depth: int = MAX_DEPTH,
-        max_pages: int = MAX_PAGES, partitions: int | None = None, **gates) -> DataFrame:
+def bfs(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_depth: int | None = None,
+        max_pages: int | None = None, partitions: int | None = None, **gates) -> DataFrame:
     """Every page reachable from the seeds, visited once per seed domain, with depth and first parent.
 
     ``seeds`` (domain, url), ``edges`` (src_url, dst_url, kind, ord), ``pages`` (url, success). A page that is not
     stored or failed is a result but is not expanded. The first parent is the one that comes first in walk order:
-    parents in the order of their level, links in page order. A domain ends at ``max_pages`` successful pages.
+    parents in the order of their level, links in page order. The walk ends when no page is left, and earlier only at
+    a given depth or, per domain, at ``max_pages`` successful pages.
 
     The graph is written once to the shared folder, bucketed by (source, salt): each level then moves only the
     frontier, its links and the visited keys. Levels are checkpointed, so a lost executor does not restart the walk.
@@ -64,24 +64,24 @@ def bfs(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_depth: int = M
     status = pages.groupBy(F.col("url").alias("dst_url")).agg(F.max("success").alias("success"))
     gated = gate_links(edges, **gates).where("allowed").select("src_url", "dst_url", "ord")
     salt = F.pmod(F.xxhash64("dst_url"), F.lit(_SALTS)).cast("int")
-    linked = salted_join(gated, status, ["dst_url"], ["src_url"]).withColumn("salt", salt)
+    linked = gated.join(status, "dst_url", "left").withColumn("salt", salt)
     with bucketed(linked, ["src_url", "salt"], "graph", partitions) as graph:
         return _walk(seeds, graph, status, max_depth, max_pages)
 
 
-def _walk(seeds: DataFrame, graph: DataFrame, status: DataFrame, max_depth: int, max_pages: int) -> DataFrame:
+def _walk(seeds: DataFrame, graph: DataFrame, status: DataFrame, max_depth: int | None, max_pages: int | None) -> DataFrame:
     start = seeds.select("domain", "url").distinct().withColumns({
         "depth": F.lit(0), "parent_url": F.lit(None).cast("string"), "walk": F.lit("")})
     frontier = (start.join(status.withColumnRenamed("dst_url", "url"), "url", "left")
                 .select(*_LEVEL[:4], F.coalesce("success", F.lit(False)).alias("success"), "walk"))
     levels: list[DataFrame] = []
-    for depth in range(max_depth + 1):
+    for depth in count():
         spent = (reduce(DataFrame.unionByName, levels).groupBy("domain").agg(F.count_if("success").alias("spent"))
                  if levels else start.select("domain", F.lit(0).alias("spent")).distinct())
         level = cut(frontier)
         if level.isEmpty():
             break
-        bounded = _within_budget(level, spent, max_pages)
+        bounded = level if max_pages is None else _within_budget(level, spent, max_pages)
         closed = "closed" in bounded.columns
         if closed:
             bounded = cut(bounded)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shopflow.functions import text
 from shopflow.functions.columns import let, once
+from shopflow.runtime import cut
 from shopflow.schemas import CURRENCIES, EXTRACTED, EXTRACTED_KEYS, LANGUAGES, PRODUCT_STATES
 
 SYSTEM_TEMPLATE = ("Extract one product of an antiques shop from the page text below as a JSON object that follows the "
@@ -45,7 +46,7 @@ def _cents(number: Column) -> Column:
     """Minor units of a written amount; the last separator with one or two digits behind it is the decimal one."""
     whole = F.regexp_replace(F.regexp_replace(number, r"[.,][0-9]{1,2}$", ""), r"[., ]", "")
     part = F.rpad(F.regexp_extract(number, r"[.,]([0-9]{1,2})$", 1), 2, "0")
-    return F.try_to_number(F.concat(whole, part), F.lit("9" * 18)).cast("long")
+    return F.concat(whole, part).try_cast("decimal(38,0)")
 
 
 def _language(hits: Column) -> Column:
@@ -78,7 +79,7 @@ def rule_reply(content: Column, url: Column) -> Column:
         sign = F.regexp_extract(w, _SIGN, 1)
         currency = F.when(sign == "€", "EUR").when(sign == "£", "GBP").when(sign == "$", "USD").otherwise(sign)
         amount = _cents(F.regexp_extract(w, _AMOUNT, 1))
-        return F.when((w != "") & amount.isNotNull(), F.struct(amount.alias("amount"), currency.alias("currency")))
+        return F.when(w != "", F.struct(amount.alias("amount"), currency.alias("currency")))
 
     facts = F.struct(
         F.concat(F.lit(" "), text.word_text(content), F.lit(" ")).alias("words"),
@@ -141,7 +142,8 @@ def _checks(v: Column, body: Column) -> list[Column]:
         wrong = ~_kind(v, f"$.{name}").startswith("OBJECT")
         inside = ~F.coalesce(wrong, F.lit(True))
         amount = _get(v, f"$.{name}.amount", "double")
-        whole = (amount >= 0) & (amount == F.floor(amount))
+        fits = _get(v, f"$.{name}.amount", "bigint").isNotNull()
+        whole = fits & (amount >= 0) & (amount == F.floor(amount))
         return [
             bad(~absent & wrong, f"{name}: not an object"),
             F.when(inside & ~F.coalesce(whole, F.lit(False)), f"{name}.amount: not a non-negative integer"),
@@ -207,17 +209,35 @@ def validate_extracted(df: DataFrame, reply: str = "reply") -> tuple[DataFrame,
             bad.withColumn("error", F.explode("errors")).drop("errors"))
 
 
+def _guarded(extractor: Callable[[pd.Series], pd.Series]) -> Callable[[pd.Series], pd.DataFrame]:
+    """The extractor with failures as values: a batch that raises is tried again text by text."""
+    def one(text: str) -> tuple[str | None, str | None]:
+        try:
+            return extractor(pd.Series([text])).iloc[0], None
+        except Exception as e:
+            return None, f"{type(e).__name__}: {e}"
+
+    def run(texts: pd.Series) -> pd.DataFrame:
+        try:
+            return pd.DataFrame({"reply": list(extractor(texts)), "error": None})
+        except Exception:
+            return pd.DataFrame([one(t) for t in texts], columns=["reply", "error"])
+
+    return run
+
+
 def extract_products(df: DataFrame, extractor: Callable[[pd.Series], pd.Series] | None = None,
                      content: str = "clean") -> DataFrame:
-    """Adds ``reply``, ``extracted`` and ``errors``.
+    """Adds ``reply``, ``extract_error``, ``extracted`` and ``errors``.
 
-    ``extractor`` maps a batch of texts (say, prompts to a model) to a batch of reply texts. Without one the
-    rule-based extractor is used, which stays in the JVM.
+    ``extractor`` maps a batch of texts (say, prompts to a model) to a batch of reply texts. Its replies are written once,
+    so neither a second output nor a lost executor asks it again; a text on which it raises has the error as
+    ``extract_error`` and no reply. Without an extractor the rule-based one is used, which stays in the JVM.
     """
     if extractor is None:
-        return with_extracted(once(df, reply=rule_reply(F.col(content), F.col("url"))))
-    return with_extracted(once(df.withColumn("_reply", F.pandas_udf(extractor, "string")(content)), reply=F.col("_reply"))
-                          .drop("_reply"))
+        return with_extracted(once(df, reply=rule_reply(F.col(content), F.col("url"))).withColumn("extract_error", F.lit(None).cast("string")))
+    asked = df.withColumn("_r", F.pandas_udf(_guarded(extractor), "reply string, error string")(F.col(content)))
+    return with_extracted(cut(asked.select(*df.columns, F.col("_r.reply").alias("reply"), F.col("_r.error").alias("extract_error"))))
 
 
 def looks_like_product(content: Column, url: Column) -> Column:

@@ -9,11 +9,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_GROUP = 5_000_000
+from shopflow.runtime import cut
+
 _RANGE = "_range"
 
 
@@ -28,57 +27,19 @@ def dedupe_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return top_per_key(df, keys, [F.col(c).desc() for c in order])
 
 
-def has_large_group(df: DataFrame, keys: list[str], limit: int = MAX_GROUP) -> bool:
-    """Whether a key has more than ``limit`` rows; counts are combined before the shuffle."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return bool(counts.where(F.col("n") > limit).limit(1).count())
-
-
-def _literal(value, dtype, depth=0) -> Column:
-    if hasattr(value, "asDict"):
-        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in dtype.fields])
-    return F.lit(value).cast(dtype)
-
-
-def _range_bounds(df: DataFrame, keys: list[str], order: list[str], ranges: int | None) -> list[Column]:
-    """Lower bounds of contiguous ranges of (keys, order), about equal in rows; the first range has none.
-
-    They come from a range partitioning of the key and order columns alone and number fewer than ``ranges``.
-    """
-    ranges = ranges or min(1024, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def in_ranges(df: DataFrame, keys: list[str], order: list[str], ranges: int | None = None) -> DataFrame:
+    """Adds ``_range``: contiguous ranges of (keys, order), about equal in rows and written once, whatever the keys' sizes."""
+    ranges = ranges or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) for c in [*keys, *order]]
-    bounds_df = (df.select(*cols).repartitionByRange(ranges, *cols)
-                 .groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(*cols)).alias("low")))
-    dtype = bounds_df.schema["low"].dataType
-    return [_literal(r["low"], dtype) for r in bounds_df.orderBy("p").collect()][1:]
-
+    return cut(df.repartitionByRange(ranges, *cols).withColumn(_RANGE, F.spark_partition_id()))
 
-def with_ranges(df: DataFrame, keys: list[str], order: list[str], lows: list[Column]) -> DataFrame:
-    """Adds ``_range``, the number of the range a row lies in.
 
-    Any bounds are right, they only decide the balance, so the result does not depend on them.
-    """
-    cols = [F.col(c) for c in [*keys, *order]]
-    width = math.isqrt(len(lows) - 1) + 1
-    groups = [lows[i:i + width] for i in range(0, len(lows), width)]
-    here = F.struct(*cols)
-    coarse = F.size(F.filter(F.array(*[g[0] for g in groups]), lambda b: b <= here))
-    fine = F.size(F.filter(F.get(F.array(*[F.array(*g) for g in groups]), F.col("_coarse") - 1), lambda b: b <= here))
-    return (df.withColumn("_coarse", coarse)
-            .withColumn(_RANGE, F.when(F.col("_coarse") == 0, 0).otherwise((F.col("_coarse") - 1) * width + fine))
-            .drop("_coarse"))
-
-
-def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "row_no",
-                max_group: int = MAX_GROUP, ranges: int | None = None) -> DataFrame:
+def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "row_no", ranges: int | None = None) -> DataFrame:
     """Consecutive numbers from 1 within each key (or over all rows without keys), in ``order``.
 
     Keys must not be null and ``order`` must be unique within a key.
     """
-    lows = [] if keys and not has_large_group(df, keys, max_group) else _range_bounds(df, keys, order, ranges)
-    if not lows:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)).cast("long"))
-    ranged = with_ranges(df, keys, order, lows)
+    ranged = in_ranges(df, keys, order, ranges)
     group = [_RANGE, *keys]
     counts = ranged.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
@@ -90,13 +51,10 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "r
 
 
 def previous_row(df: DataFrame, keys: list[str], order: list[str], columns: list[str], name: str = "prev",
-                 max_group: int = MAX_GROUP, ranges: int | None = None) -> DataFrame:
+                 ranges: int | None = None) -> DataFrame:
     """Adds a struct with ``columns`` of the row before, in ``order`` within the keys; null on the first row."""
     value = F.struct(*columns)
-    lows = _range_bounds(df, keys, order, ranges) if has_large_group(df, keys, max_group) else []
-    if not lows:
-        return df.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
-    ranged = with_ranges(df, keys, order, lows)
+    ranged = in_ranges(df, keys, order, ranges)
     group = [_RANGE, *keys]
     ends = ranged.groupBy(*group).agg(F.max_by(value, F.struct(*order)).alias("_end"))
     carried = ends.select(*group, F.lag("_end").over(Window.partitionBy(*keys).orderBy(_RANGE)).alias("_carry"))

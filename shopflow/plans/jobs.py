@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shopflow.functions import states, text, urls as U
 from shopflow.operators import boilerplate, catalogue, classify, crawl, extract, pages as P, register, scrape, search, shops as S
-from shopflow.runtime import cut, spread
+from shopflow.operators.skew import dedupe_last
+from shopflow.runtime import cut
 from shopflow.schemas import DEFAULT_COUNTRY, PAGE_SIZE, PRODUCT_KEY
 from shopflow.sources import messages, store
 
@@ -29,7 +30,7 @@ def orchestrate(shops: DataFrame, operation: str, country: str | None = DEFAULT_
 
 
 def crawl_shops(shops: DataFrame, bodies: DataFrame, pages: DataFrame, url_table: DataFrame, ts: str,
-                model=None, max_depth: int = crawl.MAX_DEPTH, max_pages: int = crawl.MAX_PAGES,
+                model=None, max_depth: int | None = None, max_pages: int | None = None,
                 keep_hash: bool = False, **gates) -> dict[str, DataFrame]:
     """Walk the stored pages of the shops named by work messages and store their classified URLs.
 
@@ -47,7 +48,7 @@ def crawl_shops(shops: DataFrame, bodies: DataFrame, pages: DataFrame, url_table
         typed = fetched.join(stored.groupBy("url").agg(F.max("is_product").alias("is_product")), "url").withColumn(
             "type", F.when(F.col("is_product"), F.lit("product")))
     rows = typed.select("domain", "url", "type", F.lit(None).cast("string").alias("hash"), F.lit(0).alias("ord"))
-    table, _ = store.upsert_urls(url_table, rows, "ord", keep_hash)
+    table = store.upsert_urls(url_table, rows, "ord", keep_hash)
     counts = crawl.processed(walked)
     started = store.mark_started(shops, named, "crawl", ts)
     return {"results": walked, "urls": table, "processed": counts, "rejects": rejects,
@@ -59,13 +60,18 @@ def scrape_shops(shops: DataFrame, requests: DataFrame, url_table: DataFrame, pa
                  batch_size: int = store.PUBLISH_BATCH, include_estimates: bool = False) -> dict[str, DataFrame]:
     """Scrape the product URLs of the requested domains (domain, next): outcomes, products, new hashes, states.
 
-    The hash check runs before cleaning and extraction; the extracted pages are written once and feed all outputs.
+    The hash check runs before cleaning and extraction; checked and extracted pages are written once and feed all outputs.
+    Requested domains without stored blocks are sampled for some first (pages that read like products); ``new_blocks``
+    holds what was found. ``extractor`` maps a batch of texts to replies; a text it fails on is one failed page.
     """
     wanted = scrape.scrape_urls(url_table, requests)
-    checked = P.with_change(store.fetch(wanted, pages), url_table, content)
+    checked = cut(P.with_change(store.fetch(wanted, pages), url_table, content))
     due = checked.where(F.col("success") & F.col("changed"))
-    extracted = cut(extract.extract_products(boilerplate.clean_pages(due, blocks), extractor)
-                    .withColumn("extract_error", F.lit(None).cast("string"))
+    product = extract.looks_like_product(F.col("markdown"), F.col("url"))
+    found = cut(boilerplate.discover_boilerplate(wanted.withColumn("type", F.lit("product")), checked.where("success").select("domain", "url", "markdown", "success"),
+                                                 blocks, ts, accept=product))
+    known = blocks.select("domain", "blocks").unionByName(found.select("domain", "blocks"))
+    extracted = cut(extract.extract_products(boilerplate.clean_pages(due, known), extractor)
                     .select("domain", "url", "hash", "success", "changed", "extract_error", "errors", "extracted"))
     skipped = checked.where(~(F.col("success") & F.col("changed"))).select("domain", "url", "hash", "success", "changed")
     outcomes = scrape.route_outcomes(extracted.unionByName(skipped, allowMissingColumns=True))
@@ -77,7 +83,8 @@ def scrape_shops(shops: DataFrame, requests: DataFrame, url_table: DataFrame, pa
     started = store.mark_started(shops, requests.where(F.col("next").isNull()), "scrape", ts)
     counts = stats.select("domain", F.col("processed_urls").alias("processed"))
     return {"outcomes": outcomes, "products": good, "batches": store.publish(good, batch_size), "urls": hashes,
-            "stats": stats, "report": scrape.rates(stats), "shops": store.mark_done(started, counts, "scrape", ts)}
+            "stats": stats, "report": scrape.rates(stats), "new_blocks": found,
+            "shops": store.mark_done(started, counts, "scrape", ts)}
 
 
 def register_shops(changes: DataFrame, shops: DataFrame) -> dict[str, DataFrame]:
@@ -87,9 +94,10 @@ def register_shops(changes: DataFrame, shops: DataFrame) -> dict[str, DataFrame]
 
 
 def put_products(products: DataFrame, shops: DataFrame, current: DataFrame, ts: Column,
-                 compare: tuple[str, ...] = ("state", "price"), **options) -> dict[str, DataFrame]:
+                 compare: tuple[str, ...] = ("state", "price"), order: list[str] | None = None) -> dict[str, DataFrame]:
     """Bulk create or update: enrichment, overflow check, comparison with the catalogue, events.
 
+    Several puts of one product take effect one after another in ``order``; the catalogue keeps the last.
     ``products`` carries ``amount`` as decimal(20,0) and ``currency``; the catalogue holds integer amounts.
     """
     enriched = catalogue.enrich_with_shop(products, shops)
@@ -97,16 +105,15 @@ def put_products(products: DataFrame, shops: DataFrame, current: DataFrame, ts:
         catalogue.overflow(F.col("amount")), F.lit("MONETARY_AMOUNT_OVERFLOW"))))
         .withColumn("price", F.when(F.col("error").isNull() & F.col("amount").isNotNull(), F.struct(
             F.col("amount").cast("long").alias("amount"), F.col("currency")))).drop("amount", "currency"))
-    results = catalogue.put_results(priced, current, list(compare))
+    results = cut(catalogue.put_results(priced, current, list(compare), order))
     written = results.where(F.col("outcome").isin("created", "updated"))
-    old = current.select(*PRODUCT_KEY, F.col("price").alias("_old_price"), F.col("state").alias("_old_state"))
-    seen = written.join(old, PRODUCT_KEY, "left").withColumn("_ts", ts)
-    events = catalogue.events_between(seen, PRODUCT_KEY, F.col("outcome") == "created", F.col("_old_price"),
-                                      F.col("price"), F.col("_old_state"), F.col("state"), "_ts")
+    events = catalogue.events_between(written.withColumn("_ts", ts), PRODUCT_KEY, F.col("outcome") == "created", F.col("before.price"),
+                                      F.col("price"), F.col("before.state"), F.col("state"), "_ts")
     columns = [c for c in current.columns if c in written.columns]
-    table = (current.join(written.select(*PRODUCT_KEY), PRODUCT_KEY, "left_anti")
-             .unionByName(written.select(*columns), allowMissingColumns=True))
-    return {"results": results, "catalogue": table, "events": events}
+    last = dedupe_last(written, PRODUCT_KEY, ["put_no"])
+    table = (current.join(last.select(*PRODUCT_KEY), PRODUCT_KEY, "left_anti")
+             .unionByName(last.select(*columns), allowMissingColumns=True))
+    return {"results": results.drop("before", "put_no"), "catalogue": table, "events": events}
 
 
 def search_products(products: DataFrame, wanted: catalogue.SearchFilter, sort: str = "score", order: str | None = None,
@@ -139,10 +146,10 @@ def boilerplate_shrink(pages: DataFrame) -> DataFrame:
 
     ``pages`` is (domain, url, html).
     """
-    marked = cut(P.html_to_markdown(spread(pages)).select("domain", "url", "markdown").withColumn("success", F.lit(True)))
+    marked = cut(P.html_to_markdown(pages).select("domain", "url", "markdown").withColumn("success", F.lit(True)))
     typed = marked.select("domain", "url", F.lit("product").alias("type"))
     empty = marked.select("domain").limit(0)
     blocks = boilerplate.discover_boilerplate(typed, marked, empty, "1970-01-01T00:00:00Z")
-    cleaned = boilerplate.clean_pages(marked, cut(blocks), cut=False)
+    cleaned = boilerplate.clean_pages(marked, cut(blocks))
     return cleaned.select("domain", "url", F.length("markdown").alias("raw_chars"), F.length("clean").alias("clean_chars"),
                           text.deletion_rate(F.col("markdown"), F.col("clean")).alias("kept"))

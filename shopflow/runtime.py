@@ -45,14 +45,5 @@ def bucketed(df: DataFrame, keys: list[str], name: str, buckets: int | None = No
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly row-wise work on a scan of few splits; large inputs have enough and stay as they are.
-
-    For scans and what is computed from them row by row; a plan with a shuffle would run to be counted.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"

@@ -8,7 +8,6 @@ from shopflow.functions import states
 from shopflow.operators.skew import dedupe_last, with_batch
 from shopflow.schemas import BLOCKS, PAGES, URL_COLUMNS
 
-WRITE_CAP = 1000
 PUBLISH_BATCH = 50
 BLOCK_BUCKETS = 64
 
@@ -59,26 +58,17 @@ def read_blocks(spark: SparkSession, path: str, domains: DataFrame | None = None
     return blocks if domains is None else domains.select("domain").distinct().join(blocks, "domain", "left")
 
 
-def upsert_urls(current: DataFrame, incoming: DataFrame, order: str = "ord", keep_hash: bool = False,
-                cap: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(new URL table, surplus rows).
-
-    Put semantics: the last row per key replaces the stored one as a whole, so a put without a hash erases it unless
-    ``keep_hash``. ``cap`` limits one call to its first rows; the surplus comes back.
+def upsert_urls(current: DataFrame, incoming: DataFrame, order: str = "ord", keep_hash: bool = False) -> DataFrame:
+    """New URL table. Put semantics: the last row per key replaces the stored one as a whole, so a put without a hash
+    erases it unless ``keep_hash``.
     """
-    surplus = incoming.limit(0)
-    if cap is not None:
-        taken = incoming.orderBy(order).limit(cap)
-        surplus = incoming.join(taken.select(order), order, "left_anti")
-        incoming = taken
     last = dedupe_last(incoming, ["domain", "url"], [order]).select(
         "domain", "url", F.struct("type", "hash").alias("put"))
     merged = current.select(*URL_COLUMNS).join(last, ["domain", "url"], "full_outer")
     put = F.col("put").isNotNull()
     new_hash = F.coalesce("put.hash", "hash") if keep_hash else F.col("put.hash")
-    table = merged.select("domain", "url", F.when(put, F.col("put.type")).otherwise(F.col("type")).alias("type"),
+    return merged.select("domain", "url", F.when(put, F.col("put.type")).otherwise(F.col("type")).alias("type"),
                           F.when(put, new_hash).otherwise(F.col("hash")).alias("hash"))
-    return table, surplus
 
 
 def publish(products: DataFrame, batch_size: int = PUBLISH_BATCH, order: list[str] | None = None,

@@ -45,7 +45,11 @@ def test_sampling(spark):
     got = B.sample_docs(many.select("domain", "url"), many).collect()
     assert sorted(r.url for r in got) == ["000", "001", "002"]
     late = B.sample_docs(many.select("domain", "url"), many, accept=F.col("url") > "013").collect()
-    assert [r.url for r in late] == ["014"]  # only the first 15 URLs are looked at
+    assert [r.url for r in late] == ["014", "015", "016"]
+    far = docs_frame(spark, [("t", f"{i:03}", "short" if i < 40 else str(i) * 600, True) for i in range(44)])
+    assert [r.url for r in B.sample_docs(far.select("domain", "url"), far).collect()] == ["040", "041", "042"]
+    tails = docs_frame(spark, [("t", f"{i}", "y" * 6000 + str(i), True) for i in range(3)])
+    assert B.sample_docs(tails.select("domain", "url"), tails).count() == 3
 
 
 def test_discovery_job(spark, tmp_path):

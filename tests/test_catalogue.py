@@ -148,7 +148,7 @@ WANT = {("a", 1, "CREATED"), ("a", 2, "PRICE_DISCOVERED"), ("a", 4, "PRICE_DROPP
 def test_events(spark):
     df = spark.createDataFrame([("s", p, t, a and (a, "EUR"), s) for p, t, a, s in OBS],
                                "shop_id string, shops_product_id string, observed_at int, price struct<amount:bigint,currency:string>, state string")
-    for options in ({}, {"max_group": 1, "ranges": 4}):
+    for options in ({}, {"ranges": 4}):
         events = C.derive_events(df, **options)
         assert {(r.shops_product_id, r.timestamp, r.event_type) for r in events.collect()} == WANT
     rows = {(r.event_type): r for r in C.history(events, shops_product_id="a").collect()}
@@ -174,6 +174,18 @@ def test_put_and_enrich(spark):
     assert s.skipped == 1 and s.unprocessed == [] and s.failed["https://two.de/c"] == "SHOP_NOT_FOUND" and len(s.failed) == 3
 
 
+def test_puts_of_one_product_follow_each_other(spark):
+    shops = spark.createDataFrame([("S2", "Two", ["one.de"]), ("S1", "One", ["one.de"])], "shop_id string, shop_name string, domains array<string>")
+    rows = [("https://one.de/a", "a", "SOLD", 90, 3), ("https://one.de/a", "a", "LISTED", 100, 1), ("https://one.de/a", "a", "LISTED", 90, 2), ("https://one.de/a", "a", "SOLD", 90, 4)]
+    incoming = spark.createDataFrame(rows, "url string, shops_product_id string, state string, amount int, at int").withColumns(
+        {"amount": F.col("amount").cast("decimal(20,0)"), "currency": F.lit("EUR")})
+    current = spark.createDataFrame([], "shop_id string, shops_product_id string, state string, price struct<amount:bigint,currency:string>")
+    out = jobs.put_products(incoming, shops, current, F.lit(T0), order=["at"])
+    assert sorted((r["at"], r.outcome) for r in out["results"].collect()) == [(1, "created"), (2, "updated"), (3, "updated"), (4, "skipped")]
+    assert sorted(r.event_type for r in out["events"].collect()) == ["CREATED", "PRICE_DROPPED", "STATE_SOLD"]
+    assert [(r.shop_id, r.state, r.price.amount) for r in out["catalogue"].collect()] == [("S1", "SOLD", 90)]
+
+
 def test_watch_limit(spark):
     schema = "user_id string, shop_id string, shops_product_id string, created int"
     existing = spark.createDataFrame([("u", "s", f"e{i}", i) for i in range(3)], schema)

@@ -44,6 +44,12 @@ def test_tree_and_cycle(spark):
     assert {(u, d) for _, u, d, _, _ in run(spark, [("d", "root")], cycle, ok, 3)} == {("root", 0), ("p1", 1), ("p2", 2)}
 
 
+def test_long_chain_is_walked_to_its_end(spark):
+    chain = {f"p{i}": [(0, f"p{i + 1}")] for i in range(60)}
+    found = run(spark, [("d", "p0")], chain, {f"p{i}": True for i in range(61)}, None, None)
+    assert {(r[1], r[2]) for r in found} == {(f"p{i}", i) for i in range(61)}
+
+
 def test_random_graphs_with_budget(spark):
     rng = random.Random(7)
     nodes = [f"n{i}" for i in range(40)]

@@ -87,10 +87,10 @@ def test_items(spark):
 def test_upsert(spark):
     cur = spark.createDataFrame([("d", "a", "product", "h1"), ("d", "b", None, "h2")], "domain string, url string, type string, hash string")
     inc = spark.createDataFrame([("d", "a", None, "v1", 1), ("d", "a", "product", "v2", 2), ("d", "c", None, None, 3)], "domain string, url string, type string, hash string, ord int")
-    table, surplus = store.upsert_urls(cur, inc)
-    assert {(r.url, r.type, r.hash) for r in table.collect()} == {("a", "product", "v2"), ("b", None, "h2"), ("c", None, None)} and surplus.count() == 0
-    table, surplus = store.upsert_urls(cur, inc, cap=1)
-    assert {(r.url, r.hash) for r in table.collect()} == {("a", "v1"), ("b", "h2")} and surplus.count() == 2
+    table = store.upsert_urls(cur, inc)
+    assert {(r.url, r.type, r.hash) for r in table.collect()} == {("a", "product", "v2"), ("b", None, "h2"), ("c", None, None)}
+    tied = spark.createDataFrame([("d", f"u{i}", None, None, i // 3) for i in range(9)], inc.schema)
+    assert store.upsert_urls(cur, tied).count() == 11
 
 
 def test_patch(spark):
@@ -117,7 +117,7 @@ def test_core_names(spark):
 def plan(spark, new, known):
     n = spark.createDataFrame([(d, d.split(".")[-2], None, "ODD", None) for d in new], "domain string, core_domain_name string, shop_name string, shop_type string, shop_image string")
     k = spark.createDataFrame([(d, d.split(".")[-2]) for d in known], "domain string, core_domain_name string")
-    return {r.domain: (r.action, r.identifier, r.domains, r.name, r.error) for r in R.registration_plan(n, k, max_group=1, ranges=3).collect()}
+    return {r.domain: (r.action, r.identifier, r.domains, r.name, r.error) for r in R.registration_plan(n, k, ranges=3).collect()}
 
 
 def test_registration(spark):

@@ -15,7 +15,7 @@ def rows(spark):
 
 def test_numbering_of_hot_keys(rows):
     want = rows.withColumn("row_no", F.row_number().over(Window.partitionBy("k").orderBy("a", "i")))
-    for options in ({}, {"max_group": 10, "ranges": 13}, {"max_group": 10, "ranges": 1}):
+    for options in ({}, {"ranges": 13}, {"ranges": 1}):
         got = K.number_rows(rows, ["k"], ["a", "i"], **options)
         assert sorted(map(tuple, got.select("k", "i", "row_no").collect())) == sorted(map(tuple, want.select("k", "i", "row_no").collect()))
 
@@ -27,7 +27,7 @@ def test_numbering_without_keys(rows):
 
 def test_no_group_is_whole_key(rows):
     """A hot key is spread over many groups."""
-    ranged = K.with_ranges(rows, ["k"], ["i"], K._range_bounds(rows, ["k"], ["i"], 16))
+    ranged = K.in_ranges(rows, ["k"], ["i"], 16)
     biggest = ranged.where("k = 'hot'").groupBy("_range").count().agg(F.max("count")).first()[0]
     assert biggest < 500
 
@@ -35,12 +35,12 @@ def test_no_group_is_whole_key(rows):
 def test_previous_row(rows):
     w = Window.partitionBy("k").orderBy("i")
     want = rows.withColumn("prev", F.lag(F.struct("a", "v")).over(w)).select("k", "i", "prev.a", "prev.v")
-    got = K.previous_row(rows, ["k"], ["i"], ["a", "v"], max_group=10, ranges=11).select("k", "i", "prev.a", "prev.v")
+    got = K.previous_row(rows, ["k"], ["i"], ["a", "v"], ranges=11).select("k", "i", "prev.a", "prev.v")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
 def test_batches(rows):
-    sizes = K.with_batch(rows, 7, ["i"], ["k"], max_group=10, ranges=5).groupBy("k", "batch_no").count().collect()
+    sizes = K.with_batch(rows, 7, ["i"], ["k"], ranges=5).groupBy("k", "batch_no").count().collect()
     by_key = {}
     for r in sizes:
         by_key.setdefault(r.k, {})[r.batch_no] = r["count"]
