@@ -31,19 +31,16 @@ def _split(read):
     return new, named.where(F.col("first_page") % 2 == 0)
 
 
-@query(f"""WITH {HOSTS_SQL}, m AS (SELECT n.domain, n.core AS core_domain_name, list(o.domain ORDER BY o.domain) FILTER (WHERE o.domain IS NOT NULL) AS l
-  FROM site n LEFT JOIN site o ON o.core = n.core AND o.domain <> n.domain WHERE n.first_page % 2 = 1 GROUP BY n.domain, n.core)
-SELECT domain, core_domain_name, l[1] AS identifier, CASE WHEN coalesce(len(l), 0) <= 100 THEN coalesce(array_to_string(l, ','), '') END AS existing,
-  coalesce(len(l), 0) > 100 AS too_many FROM m""")
+@query(f"""WITH {HOSTS_SQL} SELECT n.domain, n.core AS core_domain_name, min(o.domain) AS identifier, count(o.domain) AS n_existing
+  FROM site n LEFT JOIN site o ON o.core = n.core AND o.domain <> n.domain WHERE n.first_page % 2 = 1 GROUP BY n.domain, n.core""")
 def same_shop(read):
     new, _ = _split(read)
-    return R.match_existing(new, sites(read)).withColumn("existing", F.array_join("existing", ","))
+    return R.match_existing(new, sites(read))
 
 
-@query(f"""WITH {HOSTS_SQL} SELECT core AS core_domain_name, count(*) AS n_domains,
-  CASE WHEN count(*) <= 100 THEN string_agg(domain, ',' ORDER BY domain) END AS domains FROM site GROUP BY core""")
+@query(f"""WITH {HOSTS_SQL} SELECT core AS core_domain_name, domain, count(*) OVER (PARTITION BY core) AS n_domains FROM site""")
 def domain_sets(read):
-    return R.domain_sets(sites(read)).withColumn("domains", F.array_join("domains", ","))
+    return R.domain_sets(sites(read))
 
 
 PLAN_SQL = f"""{HOSTS_SQL},

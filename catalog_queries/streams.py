@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from catalog_queries.registry import query
@@ -14,8 +16,16 @@ def _paths(read, name):
     return scratch_path(read.spark, name), scratch_path(read.spark, f"{name}-checkpoint")
 
 
-def _with_state_store(read):
-    read.spark.conf.set("spark.sql.streaming.stateStore.providerClass", S.STATE_PROVIDER)
+@contextmanager
+def _state_store(read):
+    """The state store that the stateful streams need; the session's own setting comes back afterwards."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = read.spark.conf.get(key, None)
+    read.spark.conf.set(key, S.STATE_PROVIDER)
+    try:
+        yield
+    finally:
+        read.spark.conf.unset(key) if before is None else read.spark.conf.set(key, before)
 
 
 def _last(read, path, keys):
@@ -66,19 +76,19 @@ def stream_dead_letters(read):
 @query("""SELECT url, hash FROM (SELECT 'u' || user_id AS url, sha256(event_type) AS hash, ts, event_id,
   lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev, event_type FROM events) WHERE prev IS NULL OR prev <> event_type""")
 def stream_changes(read):
-    _with_state_store(read)
     pages = read.stream("events").select(F.lit("d").alias("domain"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"),
                                          F.col("event_type").alias("markdown"), F.col("ts").alias("observed_at"))
     path, checkpoint = _paths(read, "changes")
-    S.run_to_parquet(S.changed_stream(pages), path, checkpoint)
-    return read.spark.read.parquet(path).select("url", "hash")
+    with _state_store(read):
+        S.run_to_parquet(S.changed_stream(pages), path, checkpoint)
+    return read.spark.read.parquet(path).where("not late").select("url", "hash")
 
 
 @query(f"WITH {EVENTS_SQL} SELECT pid AS shops_product_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, event_type, old_amount, new_amount, old_state, new_state FROM derived")
 def stream_events(read):
-    _with_state_store(read)
     path, checkpoint = _paths(read, "events")
-    S.run_to_parquet(S.event_stream(observations(read.stream("events"))), path, checkpoint)
+    with _state_store(read):
+        S.run_to_parquet(S.event_stream(observations(read.stream("events"))), path, checkpoint)
     return read.spark.read.parquet(path).select("shops_product_id", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
                                                 "event_type", "old_amount", "new_amount", "old_state", "new_state")
 

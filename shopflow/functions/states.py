@@ -72,11 +72,6 @@ def operation_column(operation: str, suffix: str = "end") -> str:
     return f"{OPERATIONS[operation]}_{suffix}"
 
 
-def iso_utc(ts: Column) -> Column:
-    """``YYYY-MM-DDTHH:MM:SSZ`` of an instant, fraction dropped; the session time zone must be UTC."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-
 def cutoff(now: datetime | None = None, days: int = 2) -> str:
     """ISO text of ``now - days`` in UTC."""
     now = now or datetime.now(timezone.utc)

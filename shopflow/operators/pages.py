@@ -100,14 +100,6 @@ def extract_links(pages: DataFrame) -> DataFrame:
     return linked.select("src_url", "dst_url", F.when(same, "internal").otherwise("external").alias("kind"), "ord")
 
 
-def exclude_extensions(df: DataFrame, extensions: list[str] = urls.EXCLUDED_EXTENSIONS, url: str = "url") -> DataFrame:
-    return df.where(~urls.has_extension(F.col(url), extensions))
-
-
-def exclude_patterns(df: DataFrame, patterns: list[str] = urls.EXCLUDED_PATTERNS, url: str = "url") -> DataFrame:
-    return df.where(~urls.matches_wildcard(F.col(url), patterns))
-
-
 def http_only(df: DataFrame, href: str = "href") -> DataFrame:
     return df.where(urls.scheme_allowed(F.col(href)))
 

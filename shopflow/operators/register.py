@@ -56,26 +56,23 @@ def _first_domains(shops: DataFrame, n: int, name: str) -> DataFrame:
 
 
 def match_existing(new: DataFrame, shops: DataFrame) -> DataFrame:
-    """Each new shop with the other shops of its core name: ``identifier`` (the first domain) and ``existing``.
+    """Each new shop with the first other domain of its core name as ``identifier`` (null: none) and the number of others.
 
-    A shop may have 100 domains; where more exist ``existing`` is null and ``too_many`` is set.
+    The others themselves are the rows of :func:`domain_sets` with its core name.
     """
-    listed = _first_domains(shops, _LIMIT + 2, "_all")
-    joined = salted_join(new.select("domain", "core_domain_name"), listed, ["core_domain_name"], ["domain"])
-    others = joined.withColumn("_other", F.coalesce(
-        F.filter("_all", lambda d: d != F.col("domain")), F.array().cast("array<string>")))
-    too_many = F.size("_other") > _LIMIT
-    return others.select("domain", "core_domain_name", F.get("_other", 0).alias("identifier"),
-                         F.when(~too_many, F.col("_other")).alias("existing"), too_many.alias("too_many"))
+    sets = domain_sets(shops)
+    first = top_per_key(sets, ["core_domain_name"], [F.col("domain")], 2).groupBy("core_domain_name").agg(
+        F.array_sort(F.collect_list("domain")).alias("_first"), F.max("n_domains").alias("_n"))
+    own = new.select("domain", "core_domain_name").join(sets.select("domain", F.lit(1).alias("_own")), "domain", "left")
+    joined = own.join(first, "core_domain_name", "left")
+    return joined.select("domain", "core_domain_name", F.get(F.filter("_first", lambda d: d != F.col("domain")), F.lit(0)).alias("identifier"),
+                         (F.coalesce("_n", F.lit(0)) - F.coalesce("_own", F.lit(0))).cast("long").alias("n_existing"))
 
 
 def domain_sets(shops: DataFrame) -> DataFrame:
-    """Complete sorted domain list per core name; null where a shop would exceed 100 domains."""
-    counts = shops.select("core_domain_name", "domain").distinct().groupBy("core_domain_name").agg(
-        F.count(F.lit(1)).alias("n_domains"))
-    listed = _first_domains(shops, _LIMIT, "domains")
-    return counts.join(listed, "core_domain_name", "left").withColumn(
-        "domains", F.when(F.col("n_domains") <= _LIMIT, F.col("domains")))
+    """One row per core name and domain, all of them, with the number of domains of the core name."""
+    rows = shops.select("core_domain_name", "domain").distinct()
+    return rows.join(rows.groupBy("core_domain_name").agg(F.count(F.lit(1)).alias("n_domains")), "core_domain_name")
 
 
 def registration_plan(new: DataFrame, shops: DataFrame, **options) -> DataFrame:

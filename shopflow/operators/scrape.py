@@ -11,7 +11,6 @@ from shopflow.operators.skew import salted_join
 
 # The outcomes of a page.
 OUTCOMES = ["fetch_failed", "unchanged", "token_limit", "system_error", "validation_error", "non_product", "success"]
-REPORT_EVERY = 50
 
 
 def resume(urls: DataFrame, cursors: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shopflow.functions import text
 from shopflow.functions.columns import once
@@ -87,8 +89,8 @@ def match_filters(filters: DataFrame, products: DataFrame) -> DataFrame:
 
 # --- similar products -------------------------------------------------------------------------------------------
 
-CELL_ROWS = 4096
-MAX_CELLS = 1024
+QUERY_BLOCK = 512
+POINT_BLOCK = 4096
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -97,132 +99,45 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return m / np.where(norms == 0, 1.0, norms)
 
 
-def _pivots(vectors: DataFrame, cells: int) -> np.ndarray:
-    """At most ``cells`` unit vectors, the ones with the smallest id hash: a bounded list held by every task."""
-    rows = (vectors.orderBy(F.xxhash64("id"), "id").limit(cells).select("vector").collect())
-    return _matrix(pd.Series([r[0] for r in rows]))
-
-
-def similar(vectors: DataFrame, k: int, queries: DataFrame | None = None, cells: int | None = None,
-            cell_rows: int = CELL_ROWS) -> DataFrame:
+def similar(vectors: DataFrame, k: int, queries: DataFrame | None = None, query_block: int = QUERY_BLOCK,
+            point_block: int = POINT_BLOCK) -> DataFrame:
     """The ``k`` nearest vectors by cosine for each query, exact: (id, rank, other_id, similarity).
 
     ``vectors`` and ``queries`` are (id, vector); all vectors are queries by default and none matches itself. Ties go
-    to the smaller id.
-
-    Copies of one vector are searched once: of a group of copies only the k + 1 smallest ids can be among anyone's
-    answers, and all members share one list of k + 1 answers, less themselves.
+    to the smaller id. Points and queries are packed into blocks, each query block meets each point block in a task of
+    bounded memory, and only the k best of a query leave a meeting. Work is linear in the points for a set of queries.
     """
-    own = queries is None
-    members = _grouped(vectors)
-    asked = members if own else _grouped(queries)
-    points = members.where(F.col("id") == F.col("rep")).select("id", "vector")
-    wanted = points if own else asked.where(F.col("id") == F.col("rep")).select("id", "vector")
-    nearest = _nearest_points(points, wanted, k + 1, cells, cell_rows)
-
-    answers = top_per_key(members.select("id", "rep"), ["rep"], [F.col("id")], k + 1).select(
-        F.col("rep").alias("other_rep"), F.col("id").alias("other_id"))
-    order = [F.round("similarity", 12).desc(), F.col("other_id")]
-    best = top_per_key(nearest.join(answers, "other_rep"), ["rep"], order, k + 1)
-    shared = best.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct(
-        (-F.round("similarity", 12)).alias("o"), "other_id", "similarity"))).alias("top"))
-    served = salted_join(asked.select("id", "rep"), shared, ["rep"], ["id"], "inner")
-    others = F.slice(F.filter("top", lambda t: t["other_id"] != F.col("id")), 1, k)
-    return served.select("id", F.posexplode(others).alias("_p", "t")).select(
-        "id", (F.col("_p") + 1).alias("rank"), "t.other_id", "t.similarity")
-
-
-def _grouped(vectors: DataFrame) -> DataFrame:
-    """(id, vector, rep): ``rep`` is the smallest id among the copies of a vector."""
-    reps = vectors.groupBy("vector").agg(F.min("id").alias("rep"))
-    return cut(salted_join(vectors.select("id", "vector"), reps, ["vector"], ["id"]))
-
-
-def _nearest_points(points: DataFrame, wanted: DataFrame, k: int, cells: int | None, cell_rows: int) -> DataFrame:
-    """The ``k`` nearest points, a point itself included: (rep, other_rep, similarity).
-
-    Points live in cells around pivots. A query first searches its own cell, which bounds the distance of its k-th
-    neighbour; by the triangle inequality it then visits only the cells that can hold a nearer point. Cells are cut
-    into pieces of about ``cell_rows`` points, so no task holds more than one piece of points and one of queries,
-    however uneven the cells are.
-    """
-    result_type = points.schema["id"].dataType.simpleString()
-    result = f"rep {result_type}, other_rep {result_type}, similarity double"
-    n = points.count()
-    if n == 0:
-        return points.select(F.col("id").alias("rep"), F.col("id").alias("other_rep"), F.lit(0.0).alias("similarity"))
-    pivots = _pivots(points, cells or max(1, min(MAX_CELLS, 4 * n // cell_rows)))
-
-    def assign(batches):
+    asked = vectors if queries is None else queries
+    kind = vectors.schema["id"].dataType.simpleString()
+    n = max(1, -(-asked.count() // query_block))
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                sims = _matrix(pdf["vector"]) @ pivots.T
-                best = sims.argmax(axis=1)
-                dist = np.sqrt(np.maximum(0.0, 2 - 2 * sims[np.arange(len(pdf)), best]))
-                yield pdf.assign(cell=best.astype("int32"), dist=dist)
-
-    place = f"id {result_type}, vector array<float>, cell int, dist double"
-    placed = cut(points.mapInPandas(assign, place))
-    asked = placed if wanted is points else cut(wanted.mapInPandas(assign, place))
-    radius = np.full(len(pivots), -1.0)
-    pieces = np.ones(len(pivots), dtype=int)
-    for row in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("radius")).collect():
-        radius[row["cell"]] = row["radius"]
-        pieces[row["cell"]] = -(-row["n"] // cell_rows)
-
-    def per_cell(numbers: np.ndarray) -> Column:
-        return F.element_at(F.array(*[F.lit(int(x)) for x in numbers]), F.col("cell") + 1)
-
-    stored = placed.withColumn("piece", F.pmod(F.xxhash64("id"), per_cell(pieces)).cast("int"))
-
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"rep": [], "other_rep": [], "similarity": []})
-        right = right.sort_values("point", kind="stable")
-        ids, data = right["point"].to_numpy(), _matrix(right["place"])
-        out = []
-        for at in range(0, len(left), 512):
-            part = left.iloc[at:at + 512]
-            sims = np.clip(_matrix(part["vector"]) @ data.T, -1.0, 1.0)
-            top = np.argsort(-np.round(sims, 12), axis=1, kind="stable")[:, :k]
-            rows = np.repeat(np.arange(len(part)), top.shape[1])
-            out.append(pd.DataFrame({"rep": part["id"].to_numpy()[rows], "other_rep": ids[top.ravel()],
-                                     "similarity": sims[rows, top.ravel()]}))
-        return pd.concat(out)
-
-    def visit(routed: DataFrame) -> DataFrame:
-        """Search routed queries (id, vector, cell) in every piece of their cells; both sides are split into pieces."""
-        shares = np.ones(len(pivots), dtype=int)
-        for row in routed.groupBy("cell").agg(F.count(F.lit(1)).alias("m")).collect():
-            shares[row["cell"]] = -(-row["m"] // cell_rows)
-        left = (routed.withColumn("share", F.pmod(F.xxhash64("id", F.lit(7)), per_cell(shares)).cast("int"))
-                .withColumn("piece", F.explode(F.sequence(F.lit(0), per_cell(pieces) - 1))))
-        right = stored.withColumn("share", F.explode(F.sequence(F.lit(0), per_cell(shares) - 1))).select(
-            F.col("cell").alias("in_cell"), F.col("piece").alias("in_piece"), F.col("share").alias("in_share"),
-            F.col("id").alias("point"), F.col("vector").alias("place"))
-        return (left.select("cell", "piece", "share", "id", "vector").groupBy("cell", "piece", "share")
-                .cogroup(right.groupBy("in_cell", "in_piece", "in_share")).applyInPandas(search, result))
-
-    order = [F.round("similarity", 12).desc(), F.col("other_rep")]
-    home = cut(top_per_key(visit(asked.select("id", "vector", "cell")), ["rep"], order, k))
-    bound = home.groupBy(F.col("rep").alias("id")).agg(F.min("similarity").alias("worst"), F.count(F.lit(1)).alias("found"))
-
-    def route(batches):
+            for at in range(0, len(pdf), point_block):
+                part = pdf.iloc[at:at + point_block]
+                yield pd.DataFrame({"ids": [part["id"].tolist()], "places": [part["vector"].tolist()]})
+
+    points = cut(vectors.select("id", "vector").mapInPandas(pack, f"ids array<{kind}>, places array<array<float>>"))
+    blocks = asked.select("id", "vector").groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("q")).agg(
+        F.collect_list(F.struct("id", "vector")).alias("asked"))
+    met = points.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(blocks, "q").repartition(F.xxhash64("q", "ids"))
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if not len(pdf):
-                continue
-            sims = np.clip(_matrix(pdf["vector"]) @ pivots.T, -1.0, 1.0)
-            worst = np.where(pdf["found"].fillna(0).to_numpy() >= k, pdf["worst"].fillna(-1.0).to_numpy(), -1.0)
-            reach = np.sqrt(np.maximum(0.0, 2 - 2 * worst))
-            visited = (np.sqrt(2 - 2 * sims) - radius[None, :] <= reach[:, None] + 1e-6) & (radius[None, :] >= 0)
-            visited[np.arange(len(pdf)), pdf["cell"].to_numpy()] = False
-            row, cell = np.nonzero(visited)
-            yield pd.DataFrame({"id": pdf["id"].to_numpy()[row], "vector": pdf["vector"].to_numpy()[row],
-                                "cell": cell.astype("int32")})
-
-    routed = cut(asked.join(bound, "id", "left").select("id", "vector", "cell", "worst", "found").mapInPandas(
-        route, f"id {result_type}, vector array<float>, cell int"))
-    return top_per_key(home.unionByName(visit(routed)), ["rep"], order, k)
+            for ids, places, listed in zip(pdf["ids"], pdf["places"], pdf["asked"]):
+                ids, own = np.array(ids), np.array([x["id"] for x in listed])
+                sims = np.clip(_matrix(pd.Series([x["vector"] for x in listed])) @ _matrix(pd.Series(list(places))).T, -1.0, 1.0)
+                order = np.argsort(ids, kind="stable")
+                ids, sims = ids[order], sims[:, order]
+                sims[own[:, None] == ids[None, :]] = -2.0
+                top = np.argsort(-np.round(sims, 12), axis=1, kind="stable")[:, :k]
+                rows = np.repeat(np.arange(len(own)), top.shape[1])
+                found = pd.DataFrame({"id": own[rows], "other_id": ids[top.ravel()], "similarity": sims[rows, top.ravel()]})
+                yield found[found["similarity"] >= -1.0]
+
+    best = met.select("ids", "places", "asked").mapInPandas(meet, f"id {kind}, other_id {kind}, similarity double")
+    order = Window.partitionBy("id").orderBy(F.round("similarity", 12).desc(), "other_id")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("id", "rank", "other_id", "similarity")
 
 
 def pending(products: DataFrame, vectors: DataFrame, key: str = "id") -> DataFrame:

@@ -20,16 +20,6 @@ PRODUCT_STATES = ["AVAILABLE", "SOLD", "LISTED", "RESERVED", "REMOVED", "UNKNOWN
 LANGUAGES = ["de", "en", "fr", "es"]
 CURRENCIES = ["EUR", "GBP", "USD", "AUD", "CAD", "NZD"]
 SHOP_TYPES = ["AUCTION_HOUSE", "AUCTION_PLATFORM", "COMMERCIAL_DEALER", "MARKETPLACE"]
-EVENT_TYPES = [
-    "CREATED", "PRICE_DISCOVERED", "PRICE_DROPPED", "PRICE_INCREASED", "PRICE_REMOVED", "STATE_AVAILABLE",
-    "STATE_LISTED", "STATE_REMOVED", "STATE_RESERVED", "STATE_SOLD", "STATE_UNKNOWN",
-]
-AUTHENTICITY = ["LATER_COPY", "ORIGINAL", "QUESTIONABLE", "REPRODUCTION", "UNKNOWN"]
-CONDITION = ["EXCELLENT", "FAIR", "GOOD", "GREAT", "POOR", "UNKNOWN"]
-PROVENANCE = ["CLAIMED", "COMPLETE", "NONE", "PARTIAL", "UNKNOWN"]
-RESTORATION = ["MAJOR", "MINOR", "NONE", "UNKNOWN"]
-PROHIBITED_CONTENT = ["NAZI_GERMANY", "NONE", "UNKNOWN"]
-PUT_ERRORS = ["MONETARY_AMOUNT_OVERFLOW", "NO_DOMAIN", "PRODUCT_ENRICHMENT_FAILED", "SHOP_NOT_FOUND"]
 
 # Sort fields a caller may name.
 PRODUCT_SORTS = ["created", "originYear", "price", "score", "updated"]
@@ -52,8 +42,6 @@ CHANGE = (
     f"dynamodb STRUCT<NewImage: {ITEM_MAP}, SequenceNumber: STRING>"
 )
 
-SHOPS = T.StructType([T.StructField(c, T.StringType(), c != "domain") for c in SHOP_COLUMNS])
-URLS = T.StructType([T.StructField(c, T.StringType(), c not in ("domain", "url")) for c in URL_COLUMNS])
 PAGES = "domain STRING, url STRING, html STRING, markdown STRING, success BOOLEAN, error STRING"
 EDGES = "src_url STRING, dst_url STRING, kind STRING, ord INT"
 BLOCKS = "domain STRING, blocks ARRAY<ARRAY<STRING>>, checked_at TIMESTAMP"

@@ -100,7 +100,3 @@ def new_shops_frame(df: DataFrame) -> DataFrame:
         states.validate_state(F.coalesce(column("last_crawled_end"), F.lit(STATE_NEVER))).alias("last_crawled_end"),
         column("last_scraped_start").alias("last_scraped_start"),
         states.validate_state(F.coalesce(column("last_scraped_end"), F.lit(STATE_NEVER))).alias("last_scraped_end"))
-
-
-def url_columns(df: DataFrame) -> DataFrame:
-    return df.select(*URL_COLUMNS)

@@ -51,7 +51,7 @@ def latest_urls(puts: DataFrame, order: str = "ord") -> DataFrame:
 
 
 class _LastHash(StatefulProcessor):
-    """Keeps the last hash per page; rows older than the last one are ignored."""
+    """Keeps the last hash per page; rows older than the last one come out as late."""
 
     def __init__(self, ttl_ms: int | None):
         self.ttl_ms = ttl_ms
@@ -66,12 +66,13 @@ class _LastHash(StatefulProcessor):
         changed = []
         for h, ts in zip(pdf["hash"], pdf["observed_at"]):
             if seen is not None and ts < seen:
+                changed.append((key[0], key[1], h, ts, True))
                 continue
             if h != hash_:
-                changed.append((key[0], key[1], h, ts))
+                changed.append((key[0], key[1], h, ts, False))
             hash_, seen = h, ts
         self.last.update((hash_, seen.to_pydatetime()))
-        yield pd.DataFrame(changed, columns=["domain", "url", "hash", "observed_at"])
+        yield pd.DataFrame(changed, columns=["domain", "url", "hash", "observed_at", "late"])
 
     def close(self) -> None:
         pass
@@ -80,11 +81,11 @@ class _LastHash(StatefulProcessor):
 def changed_stream(pages: DataFrame, content: str = "markdown", ttl_ms: int | None = None) -> DataFrame:
     """Pages (domain, url, content, observed_at) whose hash differs from the last one seen for their URL.
 
-    Only hashes reach the state; needs the RocksDB state store. ``ttl_ms`` forgets pages not seen for that long.
+    A page older than the last one of its URL changes nothing and comes out with ``late`` set. Only hashes reach the state; needs the RocksDB state store. ``ttl_ms`` forgets pages not seen for that long.
     """
     hashed = pages.select("domain", "url", text.content_hash(F.col(content)).alias("hash"), "observed_at")
     return hashed.groupBy("domain", "url").transformWithStateInPandas(
-        statefulProcessor=_LastHash(ttl_ms), outputStructType="domain string, url string, hash string, observed_at timestamp",
+        statefulProcessor=_LastHash(ttl_ms), outputStructType="domain string, url string, hash string, observed_at timestamp, late boolean",
         outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
 
 
@@ -102,11 +103,14 @@ def progress_stream(outcomes: DataFrame) -> DataFrame:
     return run_stats(outcomes)
 
 
-def windowed_progress(outcomes: DataFrame, width: str = "10 minutes", late: str = "10 minutes",
+def windowed_progress(outcomes: DataFrame, width: str = "10 minutes", late: str | None = None,
                       ts: str = "observed_at") -> DataFrame:
-    """Counters per domain and time window; rows later than ``late`` are dropped."""
-    windowed = outcomes.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).withColumn("window", F.window(ts, width))
-    return run_stats(windowed, ("domain", "window"))
+    """Counters per domain and time window. Late rows correct their window, however late; a window's state is forgotten, and
+    rows for it no longer count, only when the caller names ``late``.
+    """
+    timed = outcomes.withColumn(ts, F.col(ts).cast("timestamp"))
+    timed = timed if late is None else timed.withWatermark(ts, late)
+    return run_stats(timed.withColumn("window", F.window(ts, width)), ("domain", "window"))
 
 
 def dead_letter_stream(attempts: DataFrame, max_receive: int = MAX_RECEIVES) -> DataFrame:
@@ -114,6 +118,9 @@ def dead_letter_stream(attempts: DataFrame, max_receive: int = MAX_RECEIVES) ->
     return attempts.groupBy("message_id").agg(F.count(F.lit(1)).alias("receives")).where(F.col("receives") > max_receive)
 
 
+LATE = "LATE_OBSERVATION"
+
+
 class _LastOffer(StatefulProcessor):
     """Keeps the last price and state per product and emits the events of every newer observation."""
 
@@ -132,6 +139,8 @@ class _LastOffer(StatefulProcessor):
                                                     pdf["state"]):
             amount = None if pd.isna(amount) else int(amount)
             if last is not None and (ts, seq) <= (pd.Timestamp(last[3]), last[4]):
+                if (ts, seq) != (pd.Timestamp(last[3]), last[4]):
+                    out.append((*key, LATE, None, amount, None, state, ts))
                 continue
             out += [(*key, kind, old, new, old_state, new_state, ts)
                     for kind, old, new, old_state, new_state in _offer_events(last, amount, currency, state)]
@@ -163,7 +172,7 @@ def _offer_events(last: Row | tuple | None, amount, currency, state):
 def event_stream(observations: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Events of products from a stream of (shop_id, shops_product_id, amount, currency, state, observed_at, seq).
 
-    Observations at or before the last one of their product are ignored; needs the RocksDB state store.
+    An observation before the last one of its product gives a LATE_OBSERVATION row, the same one again gives nothing; needs the RocksDB state store.
     """
     return observations.groupBy("shop_id", "shops_product_id").transformWithStateInPandas(
         statefulProcessor=_LastOffer(ttl_ms), outputStructType=(

@@ -207,8 +207,8 @@ def nearest(vectors, k, queries=None):
     return out
 
 
-@pytest.mark.parametrize("cells,cell_rows", [(1, 4096), (12, 15)])
-def test_similar(spark, cells, cell_rows):
+@pytest.mark.parametrize("queries,points", [(512, 4096), (12, 15)])
+def test_similar(spark, queries, points):
     """Clustered vectors; a third of them are copies of one vector."""
     rng = np.random.default_rng(9)
     centres = rng.normal(size=(5, 8)) * 4
@@ -217,13 +217,13 @@ def test_similar(spark, cells, cell_rows):
         vectors[i] = [1.0, 0.5, 0.0, 0.0, 0.0, 0.0, 0.0, 2.0]
     df = spark.createDataFrame(list(vectors.items()), "id long, vector array<float>")
     got = {}
-    for r in Q.similar(df, 4, cells=cells, cell_rows=cell_rows).orderBy("id", "rank").collect():
+    for r in Q.similar(df.repartition(3), 4, query_block=queries, point_block=points).orderBy("id", "rank").collect():
         got.setdefault(r.id, []).append(r.other_id)
     assert got == nearest(vectors, 4)
-    if cells > 1:
+    if points < 100:
         asked = df.where("id < 10")
         part = {}
-        for r in Q.similar(df, 4, asked, cells, cell_rows).orderBy("id", "rank").collect():
+        for r in Q.similar(df, 4, asked, queries, points).orderBy("id", "rank").collect():
             part.setdefault(r.id, []).append(r.other_id)
         assert part == {i: got[i] for i in range(10)}
 

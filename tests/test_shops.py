@@ -9,11 +9,11 @@ from shopflow.plans import jobs
 from shopflow.sources import items, messages, store
 
 NEVER, DONE, PROG = "NEVER#", "DONE#", "PROGRESS#"
-MATRIX = [("eligible1.com", DONE + "2026-01-15T12:00:00Z", DONE + "2026-01-14T10:00:00Z", "eligible"),
-          ("in-progress.com", DONE + "2026-01-15T12:00:00Z", PROG + "2026-01-15T13:00:00Z", "in_progress"),
-          ("crawl-not-done.com", None, DONE + "2026-01-14T10:00:00Z", "crawl_not_finished"),
-          ("already-scraped.com", DONE + "2026-01-14T10:00:00Z", DONE + "2026-01-15T12:00:00Z", "already_scraped"),
-          ("eligible2.com", DONE + "2026-01-15T14:00:00Z", NEVER, "eligible")]
+MATRIX = [("stale.example", DONE + "2025-06-03T08:30:00Z", DONE + "2025-05-30T22:10:00Z", "eligible"),
+          ("busy.example", DONE + "2025-06-03T08:30:00Z", PROG + "2025-06-03T09:45:00Z", "in_progress"),
+          ("uncrawled.example", None, DONE + "2025-05-30T22:10:00Z", "crawl_not_finished"),
+          ("fresh.example", DONE + "2025-06-01T00:00:00Z", DONE + "2025-06-02T00:00:00Z", "already_scraped"),
+          ("first-time.example", DONE + "2025-06-04T17:00:00Z", NEVER, "eligible")]
 
 
 def shops(spark, rows):
