@@ -13,6 +13,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,6 +22,7 @@ from tokenizers import Tokenizer
 from shopflow.llm.base import kept_in_worker
 
 NO_RANK = 1 << 60
+LOW = (1 << 24) - 1  # bits of an id
 SHORT_WORD = 256
 CACHE = 200_000  # distinct words a worker remembers
 
@@ -60,10 +62,14 @@ class Vocabulary:
         self.ids: dict[str, int] = model["vocab"]
         self.end: str = model["end_of_word_suffix"] or ""
         self.ranks = {(self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(model["merges"])}
+        self.merges = {pair: rank << 24 | made for pair, (rank, made) in self.ranks.items()}
         self.tokens = {i: t for t, i in self.ids.items()}
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in special.items()}
         self.special = special
+        self.digits = {i: str(i).encode() for i in self.tokens}
+        self.letters_of = {i: t.encode() for i, t in self.tokens.items()}
+        self.letter = Remembered(lambda c: self.pieces(c)[0][0])
         self.known_pieces = Remembered(self.word, 3 * CACHE // 2)
         self.at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
@@ -71,23 +77,23 @@ class Vocabulary:
         """The ids of one piece, given as byte letters."""
         letters = list(word)
         letters[-1] += self.end
-        parts = [self.ids[x] for x in letters if x in self.ids]
+        parts = list(map(self.ids.get, letters))
+        if None in parts:
+            parts = [p for p in parts if p is not None]
         return self._scan(parts) if len(parts) <= SHORT_WORD else self._heap(parts)
 
     def _scan(self, parts: list[int]) -> list[int]:
-        ranks = self.ranks
-        near = [ranks.get(p, (NO_RANK, 0)) for p in zip(parts, parts[1:])]
-        while near:
-            least = min(near)
-            if least[0] == NO_RANK:
-                break
+        """``near`` holds for each adjacent pair its rank and, in the low bits, the id of their merge."""
+        get = self.merges.get
+        near = list(map(get, zip(parts, parts[1:]), repeat(NO_RANK)))
+        while near and (least := min(near)) != NO_RANK:
             at = near.index(least)
-            parts[at:at + 2] = [least[1]]
-            del near[at]
+            parts[at] = least & LOW
+            del parts[at + 1], near[at]
             if at < len(near):
-                near[at] = ranks.get((parts[at], parts[at + 1]), (NO_RANK, 0))
+                near[at] = get((parts[at], parts[at + 1]), NO_RANK)
             if at:
-                near[at - 1] = ranks.get((parts[at - 1], parts[at]), (NO_RANK, 0))
+                near[at - 1] = get((parts[at - 1], parts[at]), NO_RANK)
         return parts
 
     def _heap(self, parts: list[int]) -> list[int]:
@@ -111,10 +117,11 @@ class Vocabulary:
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """The ids of text without ASCII blanks; no piece spans a blank, so texts may be encoded chunk by chunk."""
-        self.known_pieces.renew()
         core = chunk.rstrip(".,")
-        if core.isascii() and core.isalpha():  # a piece that only needs lower case, and one of marks
-            return [*self.known_pieces[core.lower()], *(self.known_pieces[chunk[len(core):]] if len(core) < len(chunk) else ())]
+        if core.isalpha() and (core.isascii() or max(core) < "\u0130"):  # Latin letters, a piece that needs lower case; then one of marks
+            piece = core.lower()
+            ids = self.known_pieces[piece if piece.isascii() else "".join(map(self.letter.__getitem__, piece))]
+            return ids if len(core) == len(chunk) else ids + self.known_pieces[chunk[len(core):]]
         out: list[int] = []
         for part in self.at_special.split(chunk) if self.at_special else [chunk]:
             if part in self.special:
@@ -153,14 +160,17 @@ def encode(docs: DataFrame, path: str, keep: list[str] | None = None, text: str
 
     def chunks_known() -> Remembered:
         vocabulary = Vocabulary(definition.value)
+        digits, letters = vocabulary.digits, vocabulary.letters_of
 
         def made_of(chunk: bytes):
             ids = vocabulary.encode_chunk(chunk.decode())
             if digests:
-                return len(ids), " ".join(map(str, ids)).encode(), vocabulary.decode(ids).encode()
+                return len(ids), b" ".join([digits[i] for i in ids]), b" ".join([letters[i] for i in ids])
             return array("i", ids).tobytes()
 
-        return Remembered(made_of)
+        made = Remembered(made_of)
+        made.vocabulary = vocabulary
+        return made
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = kept_in_worker(f"bpe-{digests}-{spec_hash}", chunks_known)
@@ -177,11 +187,13 @@ def encode(docs: DataFrame, path: str, keep: list[str] | None = None, text: str
                     hashes.append(hashlib.sha256(b" ".join(ids[:-1])).hexdigest())
                     decoded.append(hashlib.sha256(b" ".join(tokens[:-1])).hexdigest())
                     known.renew()
+                    known.vocabulary.known_pieces.renew()
                 columns = [pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
             else:
                 rows = [array("i", b"".join([known[c] for c in (t or "").encode().split()])) for t in texts]
                 columns = [pa.array([len(r) for r in rows], pa.int64()), pa.array(rows, pa.list_(pa.int32()))]
             known.renew()
+            known.vocabulary.known_pieces.renew()
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*keep, *made])
 
     kinds = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string", "decoded_sha256": "string"}
