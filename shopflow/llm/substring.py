@@ -7,7 +7,8 @@ anchor are the references of its shard: a suffix automaton over their words, eac
 that contains it, is built in a task. All stretches of the anchor are then streamed through it for their matching
 statistics: where the match reaches the window length, the state says which document had the window first.
 
-An anchor with many distinct stretches is split into shards of bounded size; its stretches stream through each of them.
+An anchor with many distinct stretches is split into shards of bounded size; its stretches stream through each of them, one
+shard's stretches past one shard's automaton at a time.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from shopflow.llm.base import by_batch, stored
 WINDOW = 50
 GRAM = 10
 LONGEST_STRETCH = 64  # windows in a stretch
-SHARD = 1000  # distinct stretches in an automaton
+SHARD = 500  # distinct stretches in an automaton
 LAST = (1 << 63) - 1  # rows without an id come after all others
 
 
@@ -179,8 +180,11 @@ def matches(distinct: DataFrame, window: int, shard: int) -> DataFrame:
     sizes = stored(distinct.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "substring-sizes")
     shards = F.ceil(F.col("n") / shard).cast("int")
     several = distinct.join(sizes, "h").withColumn("home", F.pmod(F.col("sid"), shards).cast("int"))
-    dealt = several.withColumn("shard", F.explode(F.sequence(F.lit(0), shards - 1))).select(
-        "h", "shard", (F.col("home") != F.col("shard")).cast("int").alias("guest"), "sid", "words", "first", (shards == 1).alias("alone"))
+    # a tile (shard, part) streams the stretches of one home past the references of another; both are of bounded size
+    every = F.sequence(F.lit(0), shards - 1)
+    tiles = F.concat(F.transform(every, lambda p: F.struct(F.col("home").alias("shard"), p.alias("part"), F.lit(0).alias("guest"))),
+                     F.transform(F.filter(every, lambda s: s != F.col("home")), lambda s: F.struct(s.alias("shard"), F.col("home").alias("part"), F.lit(1).alias("guest"))))
+    dealt = several.withColumn("tile", F.explode(tiles)).select("h", "tile.shard", "tile.part", "tile.guest", "sid", "words", "first")
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,27 +192,30 @@ def matches(distinct: DataFrame, window: int, shard: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                                                pa.array([r[2] for r in rows], RUNS)], names=["h", "sid", "runs"])
 
-        now, automaton, waiting, done = None, None, [], []
+        now, automaton, waiting, done, finished = None, None, [], [], False
 
         def close():
             """The references are complete: stream them through their own automaton."""
-            if automaton is not None and waiting:
+            nonlocal finished
+            if automaton is not None and not finished:
                 automaton.finish()
+                finished = True
                 done.extend((now[0], sid, runs_of(automaton.earliest(words, window))) for sid, words in waiting)
                 waiting.clear()
 
         for batch in batches:
-            for h, shard_no, guest, sid, words, first in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if (h, shard_no) != now:
+            for h, shard_no, part, guest, sid, words, first in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                if (h, shard_no, part) != now:
                     close()
-                    now, automaton = (h, shard_no), Automaton()
+                    now, automaton, finished = (h, shard_no, part), Automaton(), False
                 words = words.split(" ")
                 if guest:
                     close()
                     done.append((h, sid, runs_of(automaton.earliest(words, window))))
                 else:
                     automaton.add(words, first)
-                    waiting.append((sid, words))
+                    if shard_no == part:
+                        waiting.append((sid, words))
             if len(done) > 1000:
                 yield out(done)
                 done.clear()
@@ -217,7 +224,7 @@ def matches(distinct: DataFrame, window: int, shard: int) -> DataFrame:
             yield out(done)
 
     schema = "h long, sid long, runs array<struct<from:int,to:int,first:long>>"
-    found = (dealt.drop("alone").repartition(parts, "h", "shard").sortWithinPartitions("h", "shard", "guest").mapInArrow(run, schema))
+    found = dealt.repartition(parts, "h", "shard", "part").sortWithinPartitions("h", "shard", "part", "guest").mapInArrow(run, schema)
     # a stretch alone at its anchor has all its windows from its first document
     n = F.size(F.split("words", " ")) - (window - 1)
     single = distinct.join(sizes, "h", "left_anti").select("h", "sid", F.array(F.struct(F.lit(0).alias("from"), n.cast("int").alias("to"), F.col("first"))).alias("runs"))

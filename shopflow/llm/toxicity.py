@@ -107,7 +107,10 @@ class Machine:
         return Remembered(lambda word: float(self.margins([to_unit(word)])[0]))
 
     def top_units(self, texts: list[str | None], known: Remembered) -> np.ndarray:
-        """The greatest margins among the distinct units of each text, FLOOR where it has fewer."""
+        """The greatest margins among the distinct units of each text, FLOOR where it has fewer; a few hundred texts at a time."""
+        return np.concatenate([np.empty((0, TOPS)), *[self._tops(texts[at:at + 256], known) for at in range(0, len(texts), 256)]])
+
+    def _tops(self, texts: list[str | None], known: Remembered) -> np.ndarray:
         lowered = [(t or "").lower() for t in texts]
         words = [set(t.encode().split()) for t in lowered]
         new = [w for w in set().union(*words) if w not in known and w not in known.old]
