@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -18,6 +20,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
             folder = tempfile.mkdtemp(prefix="shopflow-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
