@@ -259,11 +259,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return rows.join(classes, "fp").select(F.col("_key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def first_rows(docs: DataFrame, key: str, text: str, first: DataFrame) -> DataFrame:
+    """The rows that ``first`` (_n, _k, _t64: key is null, key, text hash) names, one each, all columns."""
+    keyed = docs.select("*", docs[key].isNull().alias("_n"), F.coalesce(docs[key].cast("string"), F.lit("")).alias("_k"),
+                        F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))).alias("_t64"))
+    return keyed.join(first, ["_n", "_k", "_t64"], "left_semi").dropDuplicates(["_n", "_k", "_t64"]).select(*docs.columns)
+
+
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, most: int = MOST_BITS) -> DataFrame:
     """One document of each component, all columns: the one with the least key (rows without a key come last), then text hash."""
     rows, classes = classified(docs, key, text, width, most, LONGEST_RUN)
     first = rows.join(classes, "fp").groupBy("root").agg(F.min(F.struct(F.col("_key").isNull().alias("n"), "_key", "t64")).alias("m"))
     first = stored(first.select(F.col("m.n").alias("_n"), F.coalesce(F.col("m._key").cast("string"), F.lit("")).alias("_k"), F.col("m.t64").alias("_t64")), "simhash-kept")
-    keyed = docs.select("*", docs[key].isNull().alias("_n"), F.coalesce(docs[key].cast("string"), F.lit("")).alias("_k"),
-                        F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit(""))).alias("_t64"))
-    return keyed.join(first, ["_n", "_k", "_t64"], "left_semi").dropDuplicates(["_n", "_k", "_t64"]).select(*docs.columns)
+    return first_rows(docs, key, text, first)
