@@ -5,11 +5,15 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_held = threading.local()  # .scopes: the paths written in each open scope
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors. A cluster names it in ``spark.checkpoint.dir``."""
@@ -50,3 +54,45 @@ def bucketed(df: DataFrame, keys: list[str], name: str, buckets: int | None = No
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store that Spark can write to."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scope(spark: SparkSession):
+    """Deletes at its end the tables that were written inside, but for those written with ``keep``: they pass to the scope around it.
+
+    What leaves the block must read kept tables and inputs only.
+    """
+    scopes = _held.__dict__.setdefault("scopes", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            remove(spark, path)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: computed once, lineage cut, size known to the join planner.
+
+    The shuffle files of the computation go as soon as the table stands. With ``keep`` the table outlives the innermost scope.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    scopes = _held.__dict__.setdefault("scopes", [])
+    if len(scopes) > keep:
+        scopes[-1 - keep].append(path)
+    before = spark.conf.get(CLEANUP, None)
+    if before is not None:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
