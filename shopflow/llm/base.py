@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -9,17 +10,24 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shopflow.runtime import scratch_path
+from shopflow.runtime import scope, written
 
 #: A word: a maximal run of characters other than the six ASCII blanks. ``bytes.split()`` splits at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: computed once, lineage cut, size known to the join planner."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: The rows as a Parquet table in the shared folder, deleted with the innermost scope unless ``keep`` is set.
+stored = written
+
+
+def scoped(operator: Callable) -> Callable:
+    """An operator whose first argument is a DataFrame and whose result reads inputs and tables stored with ``keep`` only."""
+    @functools.wraps(operator)
+    def run(df: DataFrame, *args, **options):
+        with scope(df.sparkSession):
+            return operator(df, *args, **options)
+
+    return run
 
 
 def by_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:

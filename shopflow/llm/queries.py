@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopflow.llm import bpe, brown, curriculum, hilbert, quality, simhash, substring, token_files, topk, toxicity
+from shopflow.llm import bpe, brown, codes, curriculum, divergence, hilbert, packing, quality, simhash, substring, token_files, topk, toxicity
 from shopflow.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,21 @@ def op8_brown_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = brown.score(docs, model, counts, ["doc_id"])
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score",
                          "score", brown.perplexity(F.col("score"), F.col("n_tokens")).alias("perplexity"))
+
+
+@query
+def op11_translate_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+@query
+def op12_resident_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+@query
+def op13_configuration_lp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), ids=False)

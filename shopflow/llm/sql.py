@@ -1,7 +1,7 @@
 """DuckDB SQL of the queries that SQL can express.
 
-Not among them: op1 (quantiles are sketches), op2 and op8 (trained models), op5 and op6 (tokenizers, frames), op9 and the
-pipeline (XXH64). Their tests compare with brute force.
+Not among them: op1 (quantiles are sketches), op2 and op8 (trained models), op5, op6 and op13 (tokenizers, frames, packing), op9
+and the pipeline (XXH64). Their tests compare with brute force.
 """
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -78,4 +78,49 @@ n AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
 SELECT doc_id, len(w) AS n_words, coalesce(n.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON kept.r = d.r LEFT JOIN n ON n.r = d.r"""
 
-ORACLES = {"op3_quality": QUALITY, "op4_branch_and_bound": TOP_K, "op7_curriculum": MIX, "op10_suffix_automata": SUBSTRING}
+DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS c FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(c) AS n FROM k GROUP BY lang),
+gc AS (SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN gc USING (lang, source) GROUP BY ALL),
+p AS (SELECT lang, source, term, coalesce(gc.c, 0) AS c, CAST(1 + 1000000000 * (coalesce(gc.c, 0) + 1)::HUGEINT // (g.n + v.v) AS BIGINT) AS p,
+  CAST(1 + 1000000000 * (k.c + 1)::HUGEINT // (v.n + v.v) AS BIGINT) AS q FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN gc USING (lang, source, term)),
+f AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+term AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pair
+UNION ALL
+SELECT lang, source, 'term', item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM term QUALIFY rank <= 200"""
+
+
+def _assigned(name: str, books: str) -> str:
+    """Each part with its nearest entry of ``books`` (p, e, v) and the squared distance."""
+    return f"""{name} AS (SELECT r, p, x, unnest(min_by({{'e': e, 'd': d}}, d * 256 + e, 1)) AS a FROM (SELECT part.r, part.p, part.x, b.e,
+  CAST(list_sum(list_transform(range(1, len(part.x) + 1), lambda i: (part.x[i] - b.v[i]) * (part.x[i] - b.v[i]))) AS BIGINT) AS d
+  FROM part JOIN {books} b ON b.p = part.p) GROUP BY r, p, x)"""
+
+
+def _updated(name: str, assigned: str, books: str) -> str:
+    return f"""{name} AS (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM {books} b LEFT JOIN (
+  SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS v FROM (SELECT p, a.e AS e, i, sum(x[i]) AS s, count(*) AS n
+  FROM {assigned}, range(1, 1 + (SELECT max(len(x)) FROM part)) t(i) GROUP BY ALL) GROUP BY p, e) m ON m.p = b.p AND m.e = b.e)"""
+
+
+LLOYD = f"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS (SELECT r, p, list_slice(v, p * len(v) // 16 + 1, (p + 1) * len(v) // 16) AS x FROM v, range(16) t(p)),
+first AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v QUALIFY e < 64),
+b0 AS (SELECT p, e, x AS v FROM part JOIN first USING (r)),
+{_assigned('a1', 'b0')}, {_updated('b1', 'a1', 'b0')}, {_assigned('a2', 'b1')}, {_updated('b2', 'a2', 'b1')}, {_assigned('a3', 'b2')},
+sha AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS h FROM b2),
+c AS (SELECT r, string_agg(lpad(lower(to_hex(a.e)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(a.d) AS BIGINT) AS error FROM a3 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT h FROM sha) AS codebooks_sha256 FROM c JOIN v USING (r)"""
+
+ORACLES = {"op3_quality": QUALITY, "op4_branch_and_bound": TOP_K, "op7_curriculum": MIX, "op10_suffix_automata": SUBSTRING,
+           "op11_translate_divergence": DIVERGENCE, "op12_resident_lloyd": LLOYD}
