@@ -162,9 +162,9 @@ stats AS (SELECT domain, count(*) AS total_urls, count(*) AS processed_urls, cou
   count(*) FILTER (WHERE outcome = 'system_error') AS system_errors, count(*) FILTER (WHERE outcome = 'non_product') AS filtered_non_products FROM o GROUP BY domain)"""
 
 
-def _outcomes(events):
+def _outcomes(events, *more):
     return events.select(F.concat(F.lit("shop"), (F.col("user_id") % 10).cast("string")).alias("domain"), outcome_column().alias("outcome"),
-                         F.col("ts").alias("observed_at"))
+                         F.col("ts").alias("observed_at"), *more)
 
 
 @query(f"WITH {STATS_SQL} SELECT *, CAST(0 AS BIGINT) AS token_limit_errors, CAST(0 AS BIGINT) AS fetch_failed FROM stats")

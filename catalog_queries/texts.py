@@ -147,13 +147,15 @@ def doc_pairs(read):
 
 
 RUNS_SQL = r"""
-la AS (SELECT domain, pair_no, i, trim(ls[i + 1]) AS line FROM (SELECT *, unnest(range(len(ls))) AS i FROM (
-   SELECT domain, pair_no, string_split(text_a, chr(10)) AS ls FROM pairs))),
-lb AS (SELECT domain, pair_no, j, trim(ls[j + 1]) AS line FROM (SELECT *, unnest(range(len(ls))) AS j FROM (
-   SELECT domain, pair_no, string_split(text_b, chr(10)) AS ls FROM pairs))),
-eq AS (SELECT la.domain, la.pair_no, i, j, i - j AS diag,
-   i - row_number() OVER (PARTITION BY la.domain, la.pair_no, i - j ORDER BY i) AS island
-   FROM la JOIN lb ON la.domain = lb.domain AND la.pair_no = lb.pair_no AND la.line = lb.line),
+la AS (SELECT *, row_number() OVER (PARTITION BY domain, pair_no, line ORDER BY i) AS down, row_number() OVER (PARTITION BY domain, pair_no, line ORDER BY i DESC) AS up
+   FROM (SELECT domain, pair_no, i, trim(ls[i + 1]) AS line FROM (SELECT *, unnest(range(len(ls))) AS i FROM (
+   SELECT domain, pair_no, string_split(text_a, chr(10)) AS ls FROM pairs)))),
+lb AS (SELECT *, row_number() OVER (PARTITION BY domain, pair_no, line ORDER BY j) AS down, row_number() OVER (PARTITION BY domain, pair_no, line ORDER BY j DESC) AS up
+   FROM (SELECT domain, pair_no, j, trim(ls[j + 1]) AS line FROM (SELECT *, unnest(range(len(ls))) AS j FROM (
+   SELECT domain, pair_no, string_split(text_b, chr(10)) AS ls FROM pairs)))),
+met AS (SELECT la.domain, la.pair_no, i, j FROM la JOIN lb ON la.domain = lb.domain AND la.pair_no = lb.pair_no AND la.line = lb.line AND la.down = lb.down
+   UNION SELECT la.domain, la.pair_no, i, j FROM la JOIN lb ON la.domain = lb.domain AND la.pair_no = lb.pair_no AND la.line = lb.line AND la.up = lb.up),
+eq AS (SELECT *, i - j AS diag, i - row_number() OVER (PARTITION BY domain, pair_no, i - j ORDER BY i) AS island FROM met),
 runs AS (SELECT domain, pair_no, min(i) AS a, min(j) AS b, count(*) AS n FROM eq GROUP BY domain, pair_no, diag, island),
 boxes AS (
   SELECT domain, pair_no, CAST(0 AS BIGINT) AS alo, (SELECT count(*) FROM la WHERE la.domain = p.domain AND la.pair_no = p.pair_no) AS ahi,
@@ -189,7 +191,8 @@ first AS (SELECT * FROM once QUALIFY pair_no = min(pair_no) OVER (PARTITION BY d
 @query(f"""WITH RECURSIVE {BLOCKS_SQL}
 SELECT domain, row_number() OVER (PARTITION BY domain ORDER BY ma) - 1 AS block_no, n_lines, sha256(body) AS block_hash FROM first""")
 def common_blocks(read):
-    """Blocks shared by the sample pages of a source. The SQL follows the same longest-first matching by recursion."""
+    """Blocks shared by the sample pages of a source; a line that a page repeats meets by its number from the top and from the
+    bottom. The SQL follows the same longest-first matching by recursion."""
     docs = _shop_docs(read)
     found = B.discover(_sample(read), docs.select("domain"))
     return found.select("domain", F.posexplode("blocks").alias("block_no", "block")).select(

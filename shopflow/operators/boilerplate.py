@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shopflow.functions import text
+from shopflow.functions.columns import let
 from shopflow.operators.shops import product_urls
 from shopflow.operators.skew import salted_join, top_per_key
+from shopflow.runtime import cut
 
 SAMPLE_DOCS = 3
 
@@ -43,23 +42,75 @@ def doc_pairs(docs: DataFrame, n: int = SAMPLE_DOCS) -> DataFrame:
                     F.col("p.a.markdown").alias("text_a"), F.col("p.b.markdown").alias("text_b")))
 
 
-def matching_runs(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Maximal runs of equal lines in order, longest first and without crossing: (start in a, length)."""
-    def one(x, y):
-        found = difflib.SequenceMatcher(None, list(x), list(y), autojunk=False).get_matching_blocks()
-        return [{"a": m.a, "n": m.size} for m in found if m.size]
+PAIR = ["domain", "pair_no"]
+
+
+def met_lines(pairs: DataFrame) -> DataFrame:
+    """(domain, pair_no, i, j): equal stripped lines of the two pages of a pair.
+
+    A line that a page repeats meets by its number from the top and by its number from the bottom, as headers and footers
+    do. So a line has two partners at most, however often it occurs, and one shuffle by line serves both pages.
+    """
+    def side(name: str, column: str) -> Column:
+        return F.transform(text.stripped_lines(F.col(column)), lambda line, i: F.struct(F.lit(name).alias("side"), i.alias("at"), line.alias("line")))
+
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = pairs.select(*PAIR, F.explode(F.concat(side("a", "text_a"), side("b", "text_b"))).alias("l")).select(*PAIR, "l.*")
+    same = Window.partitionBy(*PAIR, "line", "side")
+    numbered = rows.repartition(parts, *PAIR, "line").select(
+        *PAIR, "line", "side", "at", F.row_number().over(same.orderBy("at")).alias("down"), F.row_number().over(same.orderBy(F.col("at").desc())).alias("up"))
+    both = numbered.select(*PAIR, "line", "side", "at", F.explode(F.array(F.struct(F.lit("down").alias("way"), F.col("down").alias("n")),
+                                                                         F.struct(F.lit("up").alias("way"), F.col("up").alias("n")))).alias("w"))
+    place = {s: F.max(F.when(F.col("side") == s, F.col("at"))) for s in ("a", "b")}
+    met = both.groupBy(*PAIR, "line", "w").agg(place["a"].alias("i"), place["b"].alias("j")).where("i is not null and j is not null")
+    return met.select(*PAIR, "i", "j").distinct()
+
+
+def run_islands(met: DataFrame) -> DataFrame:
+    """(domain, pair_no, a, b, n): the maximal runs along diagonals, from their first lines."""
+    diagonal = Window.partitionBy(*PAIR, "_diag").orderBy("i")
+    islands = met.withColumn("_diag", F.col("i") - F.col("j")).withColumn("_island", F.col("i") - F.row_number().over(diagonal))
+    return islands.groupBy(*PAIR, "_diag", "_island").agg(F.min("i").alias("a"), F.min("j").alias("b"), F.count(F.lit(1)).cast("int").alias("n")).drop("_diag", "_island")
+
+
+def longest_first(runs: Column) -> Column:
+    """The runs (a, b, n) of one pair in order of choice: the longest (then the one that begins first in a, then in b), of all
+    others what does not cross it, and so on until nothing is left."""
+    kind = "array<struct<a:int,b:int,n:int>>"
+
+    def run(a: Column, b: Column, n: Column) -> Column:
+        return F.struct(a.cast("int").alias("a"), b.cast("int").alias("b"), n.cast("int").alias("n"))
+
+    def step(acc: Column, _: Column) -> Column:
+        best = F.array_max(F.transform(acc["left"], lambda r: F.struct(r["n"].alias("n"), (-r["a"]).alias("a"), (-r["b"]).alias("b"))))
+
+        def taken(best: Column) -> Column:
+            a, b, n = -best["a"], -best["b"], best["n"]
+
+            def around(r: Column) -> Column:
+                skip = F.greatest(F.lit(0), a + n - r["a"], b + n - r["b"])
+                return F.array(run(r["a"], r["b"], F.least(r["n"], a - r["a"], b - r["b"])), run(r["a"] + skip, r["b"] + skip, r["n"] - skip))
+
+            left = F.filter(F.flatten(F.transform(acc["left"], around)), lambda r: r["n"] > 0)
+            return F.struct(left.alias("left"), F.concat(acc["taken"], F.array(run(a, b, n))).alias("taken"))
+
+        return F.when(F.size(acc["left"]) == 0, acc).otherwise(let(best, taken))
 
-    return pd.Series([one(x, y) for x, y in zip(a, b)])
+    # each choice ends one line of a at least, and no more lines of a have met than the runs hold
+    most = F.aggregate(runs, F.lit(0), lambda total, r: total + r["n"])
+    zero = F.struct(runs.cast(kind).alias("left"), F.array().cast(kind).alias("taken"))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), zero, step, lambda acc: acc["taken"])
 
 
 def common_blocks(pairs: DataFrame) -> DataFrame:
     """Adds ``blocks``: shared runs without unsafe lines, with more than three words, each once, in page order."""
-    split = pairs.withColumns({"_a": text.stripped_lines(F.col("text_a")), "_b": text.stripped_lines(F.col("text_b"))})
-    match = F.pandas_udf(matching_runs, "array<struct<a:int,n:int>>")
-    runs = split.withColumn("_runs", match("_a", "_b"))
-    safe = F.transform("_runs", lambda r: F.filter(F.slice("_a", r["a"] + 1, r["n"]), text.is_safe_line))
+    pairs = cut(pairs)
+    listed = run_islands(met_lines(pairs)).groupBy(*PAIR).agg(F.collect_list(F.struct("a", "b", "n")).alias("_runs"))
+    chosen = listed.select(*PAIR, F.array_sort(longest_first(F.col("_runs"))).alias("_runs"))
+    runs = pairs.join(chosen, PAIR, "left").withColumn("_a", text.stripped_lines(F.col("text_a")))
+    safe = F.transform(F.coalesce("_runs", F.array()), lambda r: F.filter(F.slice("_a", r["a"] + 1, r["n"]), text.is_safe_line))
     return (runs.withColumn("blocks", F.array_distinct(F.filter(safe, text.is_valid_block)))
-            .drop("_a", "_b", "_runs", "text_a", "text_b"))
+            .drop("_a", "_runs", "text_a", "text_b"))
 
 
 def first_productive(pairs: DataFrame, domains: DataFrame) -> DataFrame:

@@ -12,23 +12,76 @@ WORDS = re.compile(r"(?i)\b(" + "|".join(T.CRITICAL_WORDS) + r")\b")
 SIGNS = re.compile(r"[\$€£]\s*\d|\d\s*[\$€£]")
 
 
-def blocks_by_hand(a, b):
+def matches_by_number(la, lb):
+    """Longest-first runs without crossing, where a line that repeats meets by its number from the top and from the bottom."""
+    def numbers(ls):
+        return [(x, ls[:i].count(x)) for i, x in enumerate(ls)], [(x, ls[i + 1:].count(x)) for i, x in enumerate(ls)]
+
+    met = {(i, j) for na, nb in zip(numbers(la), numbers(lb)) for i, x in enumerate(na) for j, y in enumerate(nb) if x == y}
+
+    def best(alo, ahi, blo, bhi):
+        found = []
+        for i, j in met:
+            if alo <= i < ahi and blo <= j < bhi and not ((i - 1, j - 1) in met and i > alo and j > blo):
+                n = 1
+                while (i + n, j + n) in met and i + n < ahi and j + n < bhi:
+                    n += 1
+                found.append((-n, i, j))
+        if not found:
+            return []
+        n, i, j = min(found)
+        return best(alo, i, blo, j) + [(i, -n)] + best(i - n, ahi, j - n, bhi)
+
+    return best(0, len(la), 0, len(lb))
+
+
+def matches_by_library(la, lb):
+    return [(m.a, m.size) for m in difflib.SequenceMatcher(None, la, lb, autojunk=False).get_matching_blocks()]
+
+
+def blocks_by_hand(a, b, matches):
     la, lb = [x.strip() for x in a.splitlines()], [x.strip() for x in b.splitlines()]
     out = []
-    for m in difflib.SequenceMatcher(None, la, lb, autojunk=False).get_matching_blocks():
-        safe = [x for x in la[m.a:m.a + m.size] if not WORDS.search(x) and not SIGNS.search(x) and not x.startswith("#")]
+    for i, n in matches(la, lb):
+        safe = [x for x in la[i:i + n] if not WORDS.search(x) and not SIGNS.search(x) and not x.startswith("#")]
         if sum(len(x.split()) for x in safe) > 3 and safe not in out:
             out.append(safe)
     return out
 
 
+def found_blocks(spark, texts):
+    df = spark.createDataFrame([(f"d{i}", 0, a, b) for i, (a, b) in enumerate(texts)], "domain string, pair_no int, text_a string, text_b string")
+    return {r.domain: r.blocks for r in B.common_blocks(df).collect()}
+
+
+POOL = ["Open from nine to five", "Price: $100", "We ship to all of Europe", "one", "", "# Head", "  Call our team any time  ", "two words"]
+
+
 def test_common_blocks(spark):
     rng = random.Random(6)
-    pool = ["Common header information block", "Price: $100", "Footer of this nice shop", "one", "", "# Head", "  Contact us any time  ", "two words"]
-    texts = [("\n".join(rng.choices(pool, k=rng.randint(1, 12))), "\n".join(rng.choices(pool, k=rng.randint(1, 12)))) for _ in range(150)]
-    df = spark.createDataFrame([(f"d{i}", 0, a, b) for i, (a, b) in enumerate(texts)], "domain string, pair_no int, text_a string, text_b string")
-    got = {r.domain: r.blocks for r in B.common_blocks(df).collect()}
-    assert got == {f"d{i}": blocks_by_hand(a, b) for i, (a, b) in enumerate(texts)}
+    texts = [("\n".join(rng.choices(POOL, k=rng.randint(1, 12))), "\n".join(rng.choices(POOL, k=rng.randint(1, 12)))) for _ in range(150)]
+    assert found_blocks(spark, texts) == {f"d{i}": blocks_by_hand(a, b, matches_by_number) for i, (a, b) in enumerate(texts)}
+
+
+def test_common_blocks_of_lines_that_do_not_repeat(spark):
+    rng = random.Random(8)
+    lines = POOL + [f"line {i} has some words" for i in range(12)]
+    texts = [("\n".join(rng.sample(lines, rng.randint(1, 20))), "\n".join(rng.sample(lines, rng.randint(1, 20)))) for _ in range(80)]
+    texts += [("\n".join(lines[i:i + 9] + lines[:2]), "\n".join(lines[i + 2:i + 11])) for i in range(8)]
+    assert found_blocks(spark, texts) == {f"d{i}": blocks_by_hand(a, b, matches_by_library) for i, (a, b) in enumerate(texts)}
+
+
+def test_header_and_footer_around_repeated_lines(spark):
+    header, footer = "Fine clocks since 1890\n\nHome and all departments\n", "\nWrite to our office\n\nAll rights are reserved here"
+    pages = [header + "\n".join(f"text {p} {i}\n" for i in range(p)) + footer for p in (3, 5)]
+    assert found_blocks(spark, [pages]) == {"d0": [header.split("\n")[:3], footer.split("\n")]}
+
+
+def test_repeated_lines_meet_in_proportion(spark):
+    for n in (50, 400):
+        df = spark.createDataFrame([("d", 0, "\n".join(["---"] * n), "\n".join(["---"] * (n + 7)))], "domain string, pair_no int, text_a string, text_b string")
+        assert B.met_lines(df).count() <= 2 * n
+    assert found_blocks(spark, [("", ""), ("a b c d", "a b c d")]) == {"d0": [], "d1": [["a b c d"]]}
 
 
 def docs_frame(spark, rows):
@@ -36,10 +89,10 @@ def docs_frame(spark, rows):
 
 
 def test_sampling(spark):
-    rows = [("t", "a", "short", True), ("t", "b", "md_valid_prod" * 100, True), ("t", "c", "md_not_prod" * 100, True),
-            ("t", "d", "md_valid_prod" * 100, True), ("t", "e", "x" * 600, False)]
+    rows = [("t", "a", "short", True), ("t", "b", "walnut chest " * 60, True), ("t", "c", "about our team " * 60, True),
+            ("t", "d", "walnut chest " * 60, True), ("t", "e", "x" * 600, False)]
     docs = docs_frame(spark, rows)
-    got = B.sample_docs(docs.select("domain", "url"), docs, n=2, accept=F.col("markdown").contains("valid")).collect()
+    got = B.sample_docs(docs.select("domain", "url"), docs, n=2, accept=F.col("markdown").contains("chest")).collect()
     assert [(r.doc_no, r.url) for r in got] == [(1, "b")]
     many = docs_frame(spark, [("t", f"{i:03}", str(i) * 600, True) for i in range(30)])
     got = B.sample_docs(many.select("domain", "url"), many).collect()
@@ -53,10 +106,10 @@ def test_sampling(spark):
 
 
 def test_discovery_job(spark, tmp_path):
-    header, footer = "Common Header Block Text", "Common Footer Block Text"
+    header, footer = "Clocks and lamps since 1890", "Open daily from nine to six"
 
     def page(i):
-        return "\n".join([header, f"Unique {i} " * 60, footer])
+        return "\n".join([header, f"Piece {i} " * 60, footer])
 
     rows = [("two.de", f"u{i}", page(i), True) for i in range(2)] + [("one.de", "u", page(9), True)] + [
         ("late.de", "u0", "A " * 300, True), ("late.de", "u1", page(1), True), ("late.de", "u2", page(2), True), ("old.de", "u", page(3), True)]
@@ -73,7 +126,7 @@ def test_discovery_job(spark, tmp_path):
     assert read == {"one.de": [], "new.de": None}
 
     cleaned = {(r.domain, r.url): r.clean for r in B.clean_pages(pages, store.read_blocks(spark, path)).collect()}
-    assert cleaned[("two.de", "u1")] == ("Unique 1 " * 60)
+    assert cleaned[("two.de", "u1")] == ("Piece 1 " * 60)
     assert cleaned[("old.de", "u")] == page(3)
     summary = {r.domain: (r.blocks_found, r.total_lines) for r in B.discovery_summary(found).collect()}
     assert summary["two.de"] == (2, 2) and summary["one.de"] == (0, 0)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from shopflow.sources import messages
 from shopflow.streaming import streams as S
+from shopflow.streaming.keyed import KeyedLog, last_put
 
 
 def write(path, name, rows):
@@ -94,3 +95,84 @@ def test_lifecycle_and_windows(spark, tmp_path):
     S.run_to_parquet(S.windowed_progress(stream, "2 hours"), str(tmp_path / "w"), str(tmp_path / "wc"), "update")
     counts = {r.window.start.hour: r.total_urls for r in spark.read.parquet(str(tmp_path / "w")).where(F.col("total_urls") > 0).collect()}
     assert counts == {0: 1, 2: 2}
+
+
+def test_log_is_folded_and_bounded(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log = KeyedLog(spark, path, ["k"], keep=("h",), fold_every=2)
+    want = {}
+    for batch in range(9):
+        puts = [(k, batch * 10 + k, None if (k + batch) % 3 else f"h{batch}") for k in range(batch % 4 + 1)]
+        log.write(batch, spark.createDataFrame(puts, "k int, v int, h string"))
+        want |= {k: (v, h or want.get(k, (0, None))[1]) for k, v, h in puts}
+        got = {r.k: (r.v, r.h) for r in log.read().collect()}
+        assert got == want
+        stored = last_put(spark.read.parquet(path).drop("batch"), ["k"], ("h",))
+        assert {r.k: (r.v, r.h) for r in stored.collect()} == want
+        assert len(log.folders()) <= 2 + 2 * log.fold_every
+    before = {r.k: r.v for r in log.read(8).collect()}
+    log.write(8, spark.createDataFrame([(0, 1, None)], "k int, v int, h string"))  # the batch again
+    assert {r.k: r.v for r in log.read(8).collect()} == before and {r.k: r.v for r in log.read().collect()} == before | {0: 1}
+
+
+def test_keys_not_seen_for_long_are_forgotten(spark, tmp_path):
+    src, out, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    for name, rows in (("1", [("a", "x", 1), ("b", "x", 20)]), ("2", [("a", "x", 21), ("b", "x", 21)])):
+        write(src, f"{name}.json", [{"domain": "d", "url": u, "markdown": t, "observed_at": f"2026-01-{day:02}T00:00:00Z"} for u, t, day in rows])
+        pages = spark.readStream.schema("domain string, url string, markdown string, observed_at timestamp").json(str(src))
+        S.run_to_parquet(S.changed_stream(pages, forget="10 days"), out, cp)
+    assert sorted((r.url, r.observed_at.day) for r in spark.read.parquet(out).collect()) == [("a", 1), ("a", 21), ("b", 20)]
+
+
+def test_key_with_a_third_of_the_rows(spark, tmp_path):
+    """Against a fold in plain Python, over four batches; the plan of a batch has no Python and cuts the key into ranges."""
+    import random
+    rng = random.Random(4)
+    rows = [("s", "hot" if rng.random() < 0.4 else f"p{rng.randrange(40)}", rng.choice([None, 100, 90]), "EUR", rng.choice("AB"), rng.randrange(60), i) for i in range(1200)]
+    batch_of = {i: min(3, max(0, r[5] // 15 + rng.choice([0, 0, 0, 1]))) for i, r in enumerate(rows)}
+    src, out, cp = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    schema = "shop_id string, shops_product_id string, amount long, currency string, state string, minute int, seq long"
+    want, last = [], {}
+    for b in range(4):
+        part = [r for i, r in enumerate(rows) if batch_of[i] == b]
+        df = spark.createDataFrame(part, schema).withColumn("observed_at", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("minute") * 60)).drop("minute")
+        df.write.mode("append").parquet(src)
+        S.run_to_parquet(S.event_stream(spark.readStream.schema(df.schema).parquet(src)), out, cp)
+        start = dict(last)
+        for _, p, amount, _, state, minute, seq in sorted(part, key=lambda r: (r[5], r[6])):
+            if p in start and (minute, seq) < start[p][:2]:
+                want.append((p, S.LATE, None, amount, None, state, minute))
+                continue
+            old = last.get(p)
+            if old is None:
+                want.append((p, "CREATED", None, amount, None, state, minute))
+            else:
+                _, _, was, state_was = old
+                if was != amount:
+                    kind = "PRICE_DISCOVERED" if was is None else "PRICE_REMOVED" if amount is None else "PRICE_DROPPED" if amount < was else "PRICE_INCREASED"
+                    want.append((p, kind, was, amount, None, None, minute))
+                if state_was != state:
+                    want.append((p, f"STATE_{state}", None, None, state_was, state, minute))
+            last[p] = (minute, seq, amount, state)
+    got = [(r.shops_product_id, r.event_type, r.old_amount, r.new_amount, r.old_state, r.new_state, (r.t - 1_700_000_000) // 60)
+           for r in spark.read.parquet(out).withColumn("t", F.unix_seconds("timestamp")).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_late_rows_are_an_output(spark, tmp_path):
+    src, out, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run(name, *hours):
+        write(src, name, [{"domain": "d", "outcome": "success", "observed_at": f"2026-01-01T{h:02}:30:00Z"} for h in hours])
+        stream = spark.readStream.schema("domain string, outcome string, observed_at timestamp").json(str(src))
+        S.windows_with_late(stream, out, cp, "1 hour", "2 hours").awaitTermination()
+
+        def hours_of(part):
+            return sorted((r.window.start.hour, getattr(r, "total_urls", 1)) for r in spark.read.parquet(part).collect())
+
+        return hours_of(f"{out}/closed"), hours_of(f"{out}/open/batch={int(name[0])}"), hours_of(f"{out}/late")
+
+    assert run("0.json", 1, 1, 4) == ([(1, 2)], [(4, 1)], [])
+    assert run("1.json", 1, 3, 5) == ([(1, 2)], [(3, 1), (4, 1), (5, 1)], [(1, 1)])
+    assert run("2.json", 9, 4) == ([(1, 2), (3, 1), (4, 2), (5, 1)], [(9, 1)], [(1, 1)])
+    assert run("3.json", 4) == ([(1, 2), (3, 1), (4, 2), (5, 1)], [(9, 1)], [(1, 1), (4, 1)])
