@@ -25,9 +25,10 @@ from shopflow.llm.base import scoped, stored
 LEAST_DOCS = 3
 TERMS = 200  # reported for a group
 UNIT = 1_000_000_000
-HELD = 300_000  # entries a task holds before it hands them out
+HELD = 100_000  # entries a task holds before it hands them out
+ROWS = 10_000  # of a batch
 BUCKET = 16_384  # terms compared in a group
-CELLS = 1 << 21  # of a table of terms by sources
+CELLS = 1 << 18  # of a table of terms by sources
 
 #: Letters of ASCII in lower case and all bytes of other characters; blanks for the rest.
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -50,6 +51,11 @@ def counted(docs: DataFrame, held: int = HELD) -> DataFrame:
              pa.array([total[t] for total, docs in groups.values() for t in docs], pa.int64()), pa.array([n for _, docs in groups.values() for n in docs.values()], pa.int64())],
             names=names)
 
+    def parts(groups: dict) -> Iterator[pa.RecordBatch]:
+        whole = rows(groups)
+        for at in range(0, whole.num_rows, ROWS):
+            yield whole.slice(at, ROWS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         size = 0
@@ -63,10 +69,10 @@ def counted(docs: DataFrame, held: int = HELD) -> DataFrame:
                 total[None], docs[None] = 0, docs[None] + 1
                 size += len(docs)
                 if size >= held:
-                    yield rows(groups)
+                    yield from parts(groups)
                     groups, size = {}, 0
         if groups:
-            yield rows(groups)
+            yield from parts(groups)
 
     return docs.mapInArrow(run, "lang string, source string, term binary, count long, docs long")
 
@@ -85,10 +91,10 @@ def shares(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
     return quotient + 1
 
 
-def pairs(vectors: DataFrame, groups: DataFrame, bucket: int) -> DataFrame:
+def pairs(uses: DataFrame, groups: DataFrame, bucket: int) -> DataFrame:
     """(lang, source, item, value): for each two sources of a language the sum over its terms of how far the first one's share lies from the other's.
 
-    ``vectors`` holds (lang, term, kinds, counts of (source, count)); ``groups`` (lang, source, total, kinds).
+    ``uses`` holds (lang, source, term, count, kinds); ``groups`` (lang, source, total, kinds).
     """
     def compare(key: tuple, known: pa.Table, rows: pa.Table) -> pa.Table:
         sources = known.column("source").combine_chunks()
@@ -96,14 +102,15 @@ def pairs(vectors: DataFrame, groups: DataFrame, bucket: int) -> DataFrame:
         n = len(totals)
         sums = np.zeros((n, n), np.int64)
         if rows.num_rows:
-            lists = rows.column("counts").combine_chunks()
-            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            numbers, counts = pc.index_in(lists.flatten().field("source"), value_set=sources).to_numpy(), lists.flatten().field("count").to_numpy()
+            line = rows.column("term").combine_chunks().dictionary_encode().indices.to_numpy()
+            order = np.argsort(line, kind="stable")
+            line, number = line[order], pc.index_in(rows.column("source"), value_set=sources).to_numpy()[order]
+            counts = rows.column("count").to_numpy()[order]
             step = max(1, CELLS // max(n, 1))
-            for at in range(0, rows.num_rows, step):
-                upto = min(at + step, rows.num_rows)
-                table, inside = np.zeros((upto - at, n), np.int64), slice(ends[at], ends[upto])
-                table[np.repeat(np.arange(upto - at), np.diff(ends[at:upto + 1])), numbers[inside]] = counts[inside]
+            for at in range(0, int(line[-1]) + 1, step):
+                inside = slice(*np.searchsorted(line, [at, at + step]))
+                table = np.zeros((min(step, int(line[-1]) + 1 - at), n), np.int64)
+                table[line[inside] - at, number[inside]] = counts[inside]
                 p = shares(table, totals)
                 for b in range(n):
                     q = p[:, b:b + 1]
@@ -112,7 +119,7 @@ def pairs(vectors: DataFrame, groups: DataFrame, bucket: int) -> DataFrame:
         return pa.table({"lang": pa.array([key[0].as_py()] * len(a), pa.string()), "source": sources.take(pa.array(a)), "item": sources.take(pa.array(b)), "value": pa.array(sums[a, b])})
 
     buckets = F.greatest(F.ceil(F.col("kinds") / bucket), F.lit(1)).cast("int")
-    dealt = vectors.select("lang", F.pmod(F.xxhash64("term"), buckets).cast("int").alias("bucket"), "counts")
+    dealt = uses.select("lang", F.pmod(F.xxhash64("term"), buckets).cast("int").alias("bucket"), "source", "term", "count")
     known = groups.select("lang", F.explode(F.sequence(F.lit(0), buckets - 1)).alias("bucket"), "source", "total", "kinds")
     parts = known.groupBy("lang", "bucket").cogroup(dealt.groupBy("lang", "bucket")).applyInArrow(compare, "lang string, source string, item string, value long")
     return parts.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
@@ -133,20 +140,20 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
 
     texts = docs.select(filled(lang).alias("lang"), filled(source).alias("source"), filled(text).cast("binary").alias("text"))
     rows = stored(counted(texts).groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs")), "divergence-counts")
-    kept = rows.where("term is not null").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("in_lang"),
-                                                                     F.collect_list(F.struct("source", "count")).alias("counts"))
-    kept = stored(kept.where(F.col("docs") >= least).select("lang", F.col("term").cast("string").alias("term"), "in_lang", "counts"), "divergence-terms")
+    kept = rows.where("term is not null").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("in_lang"))
+    kept = stored(kept.where(F.col("docs") >= least).select("lang", "term", "in_lang"), "divergence-terms")
+    uses = stored(rows.select("lang", "source", "term", "count").join(kept, ["lang", "term"]), "divergence-uses")
     by_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kinds"), F.sum("in_lang").alias("lang_total"))
-    totals = kept.select("lang", F.explode("counts").alias("c")).groupBy("lang", F.col("c.source").alias("source")).agg(F.sum("c.count").alias("total"))
+    totals = uses.groupBy("lang", "source").agg(F.sum("count").alias("total"))
     groups = rows.where("term is null").select("lang", "source").join(totals, ["lang", "source"], "left").join(by_lang, "lang", "left")
     groups = stored(groups.select("lang", "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "kinds", "lang_total")]), "divergence-groups")
 
     p, q = F.col("p"), F.col("q")
-    uses = kept.select("lang", F.col("term").alias("item"), "in_lang", F.explode("counts").alias("c")).select("lang", "item", "in_lang", "c.*").join(groups, ["lang", "source"])
-    over = uses.select("lang", "source", "item", share(F.col("count"), F.col("total"), F.col("kinds")).alias("p"),
-                       share(F.col("in_lang"), F.col("lang_total"), F.col("kinds")).alias("q")).where(p > q)
+    known = uses.join(groups, ["lang", "source"])
+    over = known.select("lang", "source", F.col("term").cast("string").alias("item"), share(F.col("count"), F.col("total"), F.col("kinds")).alias("p"),
+                        share(F.col("in_lang"), F.col("lang_total"), F.col("kinds")).alias("q")).where(p > q)
     over = over.select("lang", "source", "item", F.call_function("div", (p - q) * (p - q), q).alias("value"))
-    sums = pairs(kept.join(groups.select("lang", "kinds").distinct(), "lang"), groups, bucket)
+    sums = pairs(known.select("lang", "source", "term", "count", "kinds"), groups, bucket)
     best = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
     rank = F.row_number().over(best)
     term = over.withColumn("rank", rank).where(F.col("rank") <= most)
