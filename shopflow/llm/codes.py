@@ -27,7 +27,8 @@ SCALE = 256
 PARTS = 16
 ENTRIES = 64
 ROUNDS = 2
-SLICE = 4096  # vectors or members compared at once
+SLICE = 4096  # vectors placed at once
+HELD = 1 << 22  # bytes of members compared at once
 EXACT = float(1 << 53)
 MOST = (1 << 63) - 1
 
@@ -113,15 +114,32 @@ def placed(rows: DataFrame, books: list, width: int, scale: int, salts: int) ->
     return rows.mapInArrow(run, BLOCK)
 
 
-def compared(resident: DataFrame, books: list) -> DataFrame:
+def gathered(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(position, entries, rows, members) of the blocks of a batch, many blocks of a position at once."""
+    positions, wide, entries = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("position", "wide", "entry"))
+    rows, data = batch.column("rows").to_pylist(), batch.column("data").to_pylist()
+    for position in np.unique(positions):
+        for large in (False, True):
+            blocks = np.flatnonzero((positions == position) & (wide == large))
+            turns = np.cumsum([len(data[i]) for i in blocks]) // HELD
+            for at in np.split(blocks, np.flatnonzero(np.diff(turns)) + 1) if len(blocks) else []:
+                numbers = np.frombuffer(b"".join([rows[i] for i in at]), "<i8")
+                members = from_bytes(large, (b"," if large else b"").join([data[i] for i in at]), len(numbers))
+                yield int(position), np.repeat(entries[at], [len(rows[i]) // 8 for i in at]), numbers, members
+
+
+def compared(resident: DataFrame, books: list, salts: int) -> DataFrame:
     """The blocks under another codebook; ``moved`` marks members whose entry is another now."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = TaskContext.get().partitionId()
         for batch in batches:
-            for block in batch.to_pylist():
-                numbers = np.frombuffer(block["rows"], "<i8")
-                members = from_bytes(block["wide"], block["data"], len(numbers))
-                entries = nearest(members, books[block["position"]])[0]
-                made = [b | {"moved": b["entry"] != block["entry"]} for b in dealt(block["position"], entries, numbers, members, block["salt"])]
+            for position, before, numbers, members in gathered(batch):
+                entries = nearest(members, books[position])[0]
+                turn += 1
+                made = []
+                for moved in (False, True):
+                    at = np.flatnonzero((entries != before) == moved)
+                    made += [b | {"moved": moved} for b in dealt(position, entries[at], numbers[at], members[at], turn % salts)]
                 yield pa.RecordBatch.from_pylist(made, BLOCK_ARROW.append(pa.field("moved", pa.bool_())))
 
     return resident.mapInArrow(run, BLOCK + ", moved boolean")
@@ -141,9 +159,10 @@ def updated(resident: DataFrame, books: list) -> list:
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], list] = {}
         for batch in batches:
-            for block in batch.to_pylist():
-                n = len(block["rows"]) // 8
-                add(held, block["position"], block["entry"], n, [int(x) for x in from_bytes(block["wide"], block["data"], n).sum(0)])
+            for position, entries, _, members in gathered(batch):
+                for entry in np.unique(entries):
+                    own = members[entries == entry]
+                    add(held, position, int(entry), len(own), [int(x) for x in own.sum(0)])
         yield rows(held)
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,10 +186,9 @@ def coded(resident: DataFrame, books: list) -> DataFrame:
     """(row, position, code, error) of each member."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in batch.to_pylist():
-                numbers = np.frombuffer(block["rows"], "<i8")
-                entries, errors = nearest(from_bytes(block["wide"], block["data"], len(numbers)), books[block["position"]])
-                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(np.full(len(numbers), block["position"], np.int32)), pa.array(entries), pa.array(errors)],
+            for position, _, numbers, members in gathered(batch):
+                entries, errors = nearest(members, books[position])
+                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(np.full(len(numbers), position, np.int32)), pa.array(entries), pa.array(errors)],
                                                  names=["row", "position", "code", "error"])
 
     return resident.mapInArrow(run, "row long, position int, code int, error long")
@@ -212,7 +230,7 @@ def compress(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     resident = stored(placed(rows.select("row", "v"), books, width, scale, shuffles).repartition(shuffles, *owner), "codes-members") if rounds else None
     for turn in range(rounds):
         if turn:
-            looked = stored(compared(resident, books), "codes-compared")
+            looked = stored(compared(resident, books, shuffles), "codes-compared")
             arrived = stored(looked.where("moved").drop("moved").repartition(shuffles, *owner), "codes-arrived")
             resident = looked.where("not moved").drop("moved").union(arrived)
         books = updated(resident, books)
