@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from shopflow.llm.base import ordered_hash, prefix_sums, stored, text_of, word_count
+from shopflow.llm.base import ordered_hash, prefix_sums, scoped, stored, text_of, word_count
 
 #: (time, factor) knots by weight class: the heaviest sources lead, the lightest close the training.
 SCHEDULES = {0: ((0.0, 1.5), (1.0, 0.5)), 1: ((0.0, 1.0), (1.0, 1.0)), 2: ((0.0, 0.5), (1.0, 1.5))}
@@ -107,6 +107,7 @@ def in_order(mix: DataFrame) -> DataFrame:
     return mix.orderBy(F.col("position").asc_nulls_last(), *[F.col(c) for c in mix.columns if c != "position"])
 
 
+@scoped
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The mix itself: whole documents, as often as they are taken, range-sorted by training position; columns of ``docs``.
 
@@ -115,6 +116,6 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -
     marked = docs.withColumn("_k", F.coalesce(docs[key].cast("string"), F.lit(""))).withColumn("_t64", F.xxhash64(text_of(docs, text)))
     mix = curriculum(marked, keep=("_k", "_t64"), text=text, **options).where("copies > 0")
     times = F.explode(F.when(F.col("copies") > 1, F.array("position", "again")).otherwise(F.array("position"))).alias("_at")
-    sequence = stored(mix.select("_k", "_t64", times), "mix-sequence")
+    sequence = stored(mix.select("_k", "_t64", times), "mix-sequence", keep=True)
     rows = marked.dropDuplicates(["_k", "_t64"]).join(sequence, ["_k", "_t64"])
     return rows.orderBy("_at", "_k", "_t64").select(*docs.columns)

@@ -14,7 +14,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shopflow.llm.base import by_batch, stored
+from shopflow.llm.base import by_batch, scoped, stored
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -106,6 +106,7 @@ def group_key(column: str) -> Column:
     return F.when(F.col(column).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(column).cast("string")))
 
 
+@scoped
 def assess(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", least: int = 200, reach: float = 6.0,
            keep: list[str] | None = None) -> DataFrame:
     """The kept columns, counts, base_failed, failed_rules and kept for every document.
@@ -119,9 +120,9 @@ def assess(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     out = [*COUNTS, "base_failed", "failed_rules", "kept"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in out]
     wanted = [*keep, *[c for c in (lang, source) if c not in keep]]
-    rows = stored(measure(docs, text, wanted), "quality-counts").withColumn(
+    rows = stored(measure(docs, text, wanted), "quality-counts", keep=True).withColumn(
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    limits = stored(thresholds(rows.where(~F.col("base_failed")), lang, source, least, reach), "quality-limits")
+    limits = stored(thresholds(rows.where(~F.col("base_failed")), lang, source, least, reach), "quality-limits", keep=True)
     judged = (rows.withColumn("_lang", group_key(lang)).withColumn("_source", group_key(source)).join(limits, ["_lang", "_source"], "left"))
     over = F.filter(F.array(*[F.when(v > F.col(f"max_{k}"), F.lit(k)) for k, v in rule_values().items()]), lambda x: x.isNotNull())
     return (judged.withColumn("failed_rules", F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(over))

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shopflow.llm.base import by_batch, stored
+from shopflow.llm.base import by_batch, scoped, stored
 
 WINDOW = 50
 GRAM = 10
@@ -231,6 +231,7 @@ def matches(distinct: DataFrame, window: int, shard: int) -> DataFrame:
     return found.union(single)
 
 
+@scoped
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
     """One row per document row: id, t64 (hash of the text), n_words, n_removed, spans, kept_sha256.
 
@@ -259,7 +260,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     base = stored(by_batch(ids, anchors, "id long, key long, t64 long, n_words long, sha string, hs array<long>, begins array<int>, sizes array<int>"), "substring-base")
     # whole copies: the first of equal word sequences takes part, the others are done
     owners = stored(base.groupBy("sha").agg(F.min("key").alias("owner")), "substring-owners")
-    owned = stored(base.select("id", "key", "t64", "n_words", "sha").join(owners, "sha"), "substring-owned")
+    owned = stored(base.select("id", "key", "t64", "n_words", "sha").join(owners, "sha"), "substring-owned", keep=True)
     firsts = owned.where(f"key = owner and n_words >= {window}").select("key", "t64").distinct()
     taking = stored(base.where(f"n_words >= {window}").select("key", "t64", "hs", "begins", "sizes").dropDuplicates(["key", "t64"])
                     .join(firsts, ["key", "t64"]), "substring-taking")
@@ -301,7 +302,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
 
     schema = "key long, t64 long, n_removed long, spans array<struct<from:int,to:int>>, kept_sha256 string"
     partly = by_batch(affected.select("key", "t64", "text").join(covered, ["key", "t64"]).select("key", "t64", "text", "ranges"), judge, schema)
-    judged = owned.join(stored(partly, "substring-partly"), ["key", "t64"], "left")
+    judged = owned.join(stored(partly, "substring-partly", keep=True), ["key", "t64"], "left")
     copy = F.expr(f"owner < key and n_words >= {window}")
     none = F.array().cast("array<struct<from:int,to:int>>")
     return judged.select("id", "t64", "n_words", F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
