@@ -206,9 +206,42 @@ res AS (SELECT *, CASE WHEN error IS NOT NULL THEN 'failed' WHEN p_partkey % 3 =
   WHEN state = old_state AND amount = old_amount THEN 'skipped' ELSE 'updated' END AS outcome FROM put)"""
 
 
-def _put(read):
+def _put(read, **options):
     incoming, shops, catalogue = _put_inputs(read)
-    return jobs.put_products(incoming, shops, catalogue, F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    return jobs.put_products(incoming, shops, catalogue, F.lit("2026-01-01 00:00:00").cast("timestamp"), **options)
+
+
+def _lost(rows):
+    """The products that a store does not take."""
+    return rows.where(F.col("shops_product_id").cast("long") % 17 == 3).select("shop_id", "shops_product_id", F.lit("WRITE_CONFLICT").alias("reason"))
+
+
+UNPROCESSED_SQL = f"""{PUT_SQL}, done AS (SELECT * REPLACE (CASE WHEN outcome IN ('created', 'updated') AND p_partkey % 17 = 3 THEN 'unprocessed' ELSE outcome END AS outcome) FROM res)"""
+
+
+@query(f"""WITH {UNPROCESSED_SQL} SELECT p_partkey // 25 AS batch_no, count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
+  coalesce(string_agg(shops_product_id, ',' ORDER BY shops_product_id) FILTER (WHERE outcome = 'unprocessed'), '') AS unprocessed,
+  count(DISTINCT CASE WHEN error = 'NO_DOMAIN' THEN 'https://localhost:8080/p' WHEN error IS NOT NULL THEN shops_product_id END) AS failed FROM done GROUP BY 1""")
+def put_unprocessed(read):
+    """Per batch of 25 products: what was skipped, what could not be written, what failed."""
+    results = _put(read, write=_lost)["results"].withColumn("batch_no", F.floor(F.col("shops_product_id").cast("long") / 25))
+    ids = F.array_join(F.array_sort(F.transform("unprocessed", lambda u: F.regexp_extract(u, "([0-9]+)$", 1))), ",")
+    return C.put_summary(results).select("batch_no", "skipped", ids.alias("unprocessed"), F.size("failed").cast("long").alias("failed"))
+
+
+@query(f"""WITH {UNPROCESSED_SQL} SELECT shops_product_id, outcome, CASE WHEN outcome = 'unprocessed' THEN 'WRITE_CONFLICT' ELSE error END AS error FROM done
+WHERE outcome IN ('failed', 'unprocessed') AND coalesce(error, '') <> 'NO_DOMAIN'""")
+def put_problems(read):
+    """A row for each put that did not take effect; those without a usable address have no product number in it."""
+    rows = C.put_problems(_put(read, write=_lost)["results"]).where("error <> 'NO_DOMAIN'")
+    return rows.select(F.regexp_extract("url", "([0-9]+)$", 1).alias("shops_product_id"), "outcome", "error")
+
+
+@query(f"""WITH {UNPROCESSED_SQL} SELECT shop_id, shops_product_id, state, amount FROM done WHERE outcome IN ('created', 'updated')
+UNION ALL SELECT shop_id, shops_product_id, old_state, old_amount FROM done WHERE outcome NOT IN ('created', 'updated') AND p_partkey % 3 <> 0""")
+def put_catalogue_unprocessed(read):
+    """The catalogue after puts of which some could not be written."""
+    return _put(read, write=_lost)["catalogue"].select("shop_id", "shops_product_id", "state", F.col("price.amount").alias("amount"))
 
 
 @query(f"WITH {PUT_SQL} SELECT shops_product_id, outcome, error FROM res")

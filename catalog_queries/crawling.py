@@ -1,11 +1,13 @@
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from catalog_queries.registry import query
 from shopflow.functions import urls as U
 from shopflow.operators import boilerplate, classify, crawl, pages as P
+from shopflow.operators.skew import number_rows
 from shopflow.plans import jobs
+from shopflow.runtime import cut
 from shopflow.sources import store
 
 URI = r"^(?:([^:/?#]+):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?"
@@ -33,24 +35,28 @@ def url_excluded(read):
                                 U.matches_wildcard(url, ["*utm_*", "http*://*.example.???/[de]?/*"]).alias("by_pattern"))
 
 
-@query(r"""SELECT page_id, CASE page_id % 6 WHEN 0 THEN url WHEN 1 THEN 'mailto:a@b.c' WHEN 2 THEN '/x' WHEN 3 THEN '' WHEN 4 THEN 'tel:1'
-  ELSE 'HTTPS://a.b' END AS href FROM pages WHERE page_id % 6 IN (0, 2, 5)""")
+@query(r"""WITH raw AS (SELECT page_id, unnest(list_concat([url, 'mailto:' || page_id || '@shop.example'], regexp_extract_all(html, '(?is)\b(?:href|src)\s*=\s*["'']([^"'']*)["'']', 1))) AS href FROM pages)
+SELECT page_id, href, count(*) AS n FROM raw WHERE href <> '' AND (regexp_matches(lower(href), '^https?:') OR NOT regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:')) GROUP BY ALL""")
 def http_links(read):
-    k = F.col("page_id") % 6
-    href = (F.when(k == 0, F.col("url")).when(k == 1, "mailto:a@b.c").when(k == 2, "/x").when(k == 3, "").when(k == 4, "tel:1")
-            .otherwise("HTTPS://a.b"))
-    return P.http_only(read("pages").select("page_id", href.alias("href")))
+    """All targets that a page names, its own address and a mail address among them."""
+    own = F.array("url", F.concat(F.lit("mailto:"), F.col("page_id").cast("string"), F.lit("@shop.example")))
+    named = F.regexp_extract_all("html", F.lit(r"""(?is)\b(?:href|src)\s*=\s*["']([^"']*)["']"""), 1)
+    rows = read.spread("pages").select("page_id", F.explode(F.concat(own, named)).alias("href"))
+    return P.http_only(rows).groupBy("page_id", "href").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(rf"""WITH raw AS (SELECT {NORM} AS src_url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']', 1)) AS href,
-    generate_subscripts(regexp_extract_all(html, '(?is)<a\s[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']', 1), 1) - 1 AS ord FROM pages),
+LINKS_SQL = rf"""raw AS (SELECT {NORM} AS src_url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']', 1)) AS href,
+    generate_subscripts(regexp_extract_all(html, '(?is)<a\s[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']', 1), 1) - 1 AS ord FROM given),
 abs AS (SELECT src_url, ord, CASE WHEN href LIKE '/%' THEN regexp_extract(src_url, '^([a-z]+://[^/?#]*)', 1) || href ELSE href END AS url
   FROM (SELECT src_url, ord, replace(trim(href), '&amp;', '&') AS href FROM raw)
   WHERE regexp_matches(href, '^(https?:|/)')),
-norm AS (SELECT src_url, ord, {NORM} AS dst_url FROM abs)
-SELECT src_url, dst_url, CASE WHEN regexp_replace(regexp_extract(src_url, '//([^/?#:]*)', 1), '^www\.', '') =
+norm AS (SELECT src_url, ord, {NORM} AS dst_url FROM abs),
+links AS (SELECT src_url, dst_url, CASE WHEN regexp_replace(regexp_extract(src_url, '//([^/?#:]*)', 1), '^www\.', '') =
   regexp_replace(regexp_extract(dst_url, '//([^/?#:]*)', 1), '^www\.', '') THEN 'internal' ELSE 'external' END AS kind,
-  CAST(ord AS BIGINT) AS ord FROM norm""")
+  CAST(ord AS BIGINT) AS ord FROM norm)"""
+
+
+@query(f"WITH given AS (SELECT * FROM pages), {LINKS_SQL} SELECT * FROM links")
 def link_edges(read):
     return P.extract_links(read.spread("pages")).withColumn("ord", F.col("ord").cast("long"))
 
@@ -81,35 +87,44 @@ edges AS (SELECT p AS src, s AS dst, printf('%08X', CAST(l_suppkey AS INTEGER))
           UNION ALL SELECT s, p, printf('%08X', CAST(l_partkey AS INTEGER)) FROM ties),
 ok AS (SELECT 'https://shop.example/part/' || p_partkey AS url, p_partkey % 10 <> 3 AS success FROM part
        UNION ALL SELECT 'https://shop.example/supp/' || s_suppkey, s_suppkey % 10 <> 3 FROM supplier),
-l0 AS (SELECT 'https://shop.example/supp/' || min(s_suppkey) AS url, 0 AS depth, CAST(NULL AS VARCHAR) AS parent, '' AS walk, true AS success FROM supplier),
-l1 AS (SELECT dst AS url, 1 AS depth, arg_min(l0.url, walk || o) AS parent, min(walk || o) AS walk, coalesce(any_value(ok.success), false) AS success
-       FROM l0 JOIN edges ON l0.url = src LEFT JOIN ok ON ok.url = dst WHERE l0.success AND dst NOT IN (SELECT url FROM l0) GROUP BY dst),
-v1 AS (SELECT url FROM l0 UNION ALL SELECT url FROM l1),
-l2 AS (SELECT dst AS url, 2 AS depth, arg_min(l1.url, walk || o) AS parent, min(walk || o) AS walk, coalesce(any_value(ok.success), false) AS success
-       FROM l1 JOIN edges ON l1.url = src LEFT JOIN ok ON ok.url = dst WHERE l1.success AND dst NOT IN (SELECT url FROM v1) GROUP BY dst),
-v2 AS (SELECT url FROM v1 UNION ALL SELECT url FROM l2),
-l3 AS (SELECT dst AS url, 3 AS depth, arg_min(l2.url, walk || o) AS parent, min(walk || o) AS walk, coalesce(any_value(ok.success), false) AS success
-       FROM l2 JOIN edges ON l2.url = src LEFT JOIN ok ON ok.url = dst WHERE l2.success AND dst NOT IN (SELECT url FROM v2) GROUP BY dst),
-walked AS (SELECT * FROM l0 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3)
+reached(url, depth, parent, walk, success) USING KEY (url) AS (SELECT 'https://shop.example/supp/' || min(s_suppkey) AS url, 0 AS depth, CAST(NULL AS VARCHAR) AS parent, '' AS walk, true AS success FROM supplier
+  UNION ALL
+  SELECT dst, depth + 1, parent, walk, success FROM (
+    SELECT edges.dst, reached.depth, arg_min(reached.url, reached.walk || o) AS parent, min(reached.walk || o) AS walk, coalesce(any_value(ok.success), false) AS success
+    FROM reached JOIN edges ON reached.url = edges.src LEFT JOIN ok ON ok.url = edges.dst
+    WHERE reached.success AND edges.dst NOT IN (SELECT url FROM recurring.reached) GROUP BY edges.dst, reached.depth)),
+walked AS (SELECT * FROM reached)
 """
 
 
-@query(f"WITH {GRAPH_SQL} SELECT 'shop.example' AS domain, url, CAST(depth AS BIGINT) AS depth, parent AS parent_url, success FROM walked")
+@query(f"WITH RECURSIVE {GRAPH_SQL} SELECT 'shop.example' AS domain, url, CAST(depth AS BIGINT) AS depth, parent AS parent_url, success FROM walked")
 def bfs_levels(read):
     seeds, edges, pages = _graph(read)
-    return crawl.bfs(seeds, edges, pages, max_depth=3).withColumn("depth", F.col("depth").cast("long"))
+    return crawl.bfs(seeds, edges, pages).withColumn("depth", F.col("depth").cast("long"))
 
 
-@query(f"""WITH {GRAPH_SQL}, n AS (SELECT *, coalesce(sum(CASE WHEN success THEN 1 ELSE 0 END) OVER (ORDER BY depth, walk
+@query(f"""WITH RECURSIVE {GRAPH_SQL}, n AS (SELECT *, coalesce(sum(CASE WHEN success THEN 1 ELSE 0 END) OVER (ORDER BY depth, walk
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM walked)
 SELECT 'shop.example' AS domain, url, CAST(depth AS BIGINT) AS depth, success FROM n WHERE before < 40""")
 def bfs_budget(read):
     """The walk ends at 40 successful pages."""
     seeds, edges, pages = _graph(read)
-    return crawl.bfs(seeds, edges, pages, max_depth=3, max_pages=40).select(
+    return crawl.bfs(seeds, edges, pages, max_pages=40).select(
         "domain", "url", F.col("depth").cast("long").alias("depth"), "success")
 
 
+GATED_SQL = GRAPH_SQL.replace("WHERE reached.success AND", "WHERE reached.success AND edges.dst NOT LIKE '%/part/%7' AND")
+
+
+@query(f"""WITH RECURSIVE {GATED_SQL}
+SELECT 'shop.example' AS domain, (SELECT count(*) FROM walked WHERE success) AS spent,
+  (SELECT count(*) FROM walked JOIN edges ON url = src WHERE success AND dst LIKE '%/part/%7') AS urls_skipped""")
+def walk_counters(read):
+    """Successful pages and skipped links of a walk that leaves out the parts whose number ends in 7."""
+    seeds, edges, pages = _graph(read)
+    return crawl.walk(seeds, edges, pages, extensions=[], patterns=["*/part/*7"])[1]
+
+
 @query("""WITH e AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)
 SELECT 'shop.example' AS domain, count(*) AS processed FROM (SELECT DISTINCT l_partkey FROM e)""")
 def processed_pages(read):
@@ -188,20 +203,29 @@ def classify_urls(read):
     return classify.classify_urls(marked.where("half = 1").select("page_id", "url"), model).select("page_id", "is_product", "type")
 
 
-@query(rf"""WITH p AS (SELECT regexp_extract(lower(url), '^[a-z]+://([^/?#:]*)', 1) AS domain, {NORM} AS url, min(page_id) AS page FROM pages GROUP BY 1, 2),
-c AS (SELECT domain, url, row_number() OVER w AS depth, lag(url) OVER w AS prev FROM p WINDOW w AS (PARTITION BY domain ORDER BY page))
-SELECT DISTINCT domain, 'https://' || domain AS url, 0 AS depth, NULL AS parent_url, true AS success FROM p
-UNION ALL SELECT domain, url, depth, coalesce(prev, 'https://' || domain), true FROM c""")
+@query(rf"""WITH RECURSIVE own AS (SELECT regexp_extract(lower(url), '^[a-z]+://([^/?#:]*)', 1) AS domain, {NORM} AS url, min(page_id) AS page FROM pages GROUP BY 1, 2),
+nodes AS (SELECT domain, url, row_number() OVER (PARTITION BY domain ORDER BY page, url) AS k FROM own UNION ALL SELECT DISTINCT domain, 'https://' || domain, 0 FROM own),
+given AS (SELECT * FROM pages SEMI JOIN own ON page = page_id), {LINKS_SQL},
+edges AS (SELECT src_url AS src, dst_url AS dst, printf('%08X', ord) AS o FROM links WHERE kind = 'internal'
+  UNION ALL SELECT p.url, c.url, printf('%08X', 1000000 + c.k) FROM nodes p JOIN nodes c ON c.domain = p.domain AND c.k > 0 AND (c.k - 1) // 2 = p.k),
+reached(domain, url, depth, parent, walk, success) USING KEY (domain, url) AS (SELECT DISTINCT domain, 'https://' || domain, 0, CAST(NULL AS VARCHAR), '', true FROM own
+  UNION ALL
+  SELECT domain, dst, depth + 1, parent, walk, dst IN (SELECT url FROM nodes) FROM (
+    SELECT reached.domain, edges.dst, reached.depth, arg_min(reached.url, reached.walk || o) AS parent, min(reached.walk || o) AS walk
+    FROM reached JOIN edges ON reached.url = edges.src
+    WHERE reached.success AND reached.domain || ' ' || edges.dst NOT IN (SELECT domain || ' ' || url FROM recurring.reached) GROUP BY ALL))
+SELECT domain, url, CAST(depth AS BIGINT) AS depth, parent AS parent_url, success FROM reached""")
 def crawl_job(read):
-    """Walk all given pages of every host: its front page leads to the first page, every page to the next one."""
+    """Walk the links of all given pages; each page also leads to two more of its host, the front page to the first two."""
     host, url = U.host(F.col("url")), U.normalize_url(F.col("url"))
-    own = read("pages").groupBy(host.alias("domain"), url.alias("url")).agg(F.min("page_id").alias("page"))
-    home = F.concat(F.lit("https://"), F.col("domain"))
+    own = read.spread("pages").groupBy(host.alias("domain"), url.alias("url")).agg(F.min("page_id").alias("page"), F.min_by("html", "page_id").alias("html"))
     hosts = own.select("domain").distinct()
-    chain = own.unionByName(hosts.select("domain", home.alias("url"), F.lit(-1).cast("long").alias("page")))
-    following = F.lead("url").over(Window.partitionBy("domain").orderBy("page"))
-    link = F.coalesce(F.concat(F.lit('<a href="'), following, F.lit('">next</a>')), F.lit(""))
-    stored = chain.select("url", link.alias("html"), F.lit(True).alias("success"), (F.col("page") % 2 == 0).alias("is_product"))
+    front = hosts.select("domain", F.concat(F.lit("https://"), F.col("domain")).alias("url"), F.lit("").alias("html"), F.lit(-1).cast("long").alias("page"), F.lit(0).cast("long").alias("k"))
+    nodes = cut(number_rows(own, ["domain"], ["page", "url"], "k").unionByName(front))
+    two = (nodes.where("k > 0").select("domain", F.floor((F.col("k") - 1) / 2).cast("long").alias("k"), F.struct("k", "url").alias("child"))
+           .groupBy("domain", "k").agg(F.array_sort(F.collect_list("child")).alias("children")))
+    links = F.array_join(F.transform(F.coalesce("children", F.array()), lambda c: F.concat(F.lit('<a href="'), c["url"], F.lit('">next</a>'))), "")
+    stored = nodes.join(two, ["domain", "k"], "left").select("url", F.concat("html", links).alias("html"), F.lit(True).alias("success"), (F.col("page") % 2 == 0).alias("is_product"))
     bodies = hosts.select(F.to_json(F.struct("domain")).alias("body"))
     shops = hosts.select("domain", *[F.lit(None).cast("string").alias(c) for c in (
         "core_domain_name", "shop_name", "shop_image", "shop_type", "shop_country", "last_crawled_start", "last_crawled_end",
@@ -218,7 +242,6 @@ def boilerplate_shrink(read):
     return jobs.boilerplate_shrink(read.spread("pages").select(U.host(F.col("url")).alias("domain"), "url", "html"))
 
 
-@query("""WITH c AS (SELECT DISTINCT source AS domain FROM documents WHERE doc_id % 4 <> 0)
-SELECT domain FROM c WHERE domain LIKE 'src1%'""")
+@query("""SELECT DISTINCT source AS domain FROM documents WHERE source LIKE 'src1%'""")
 def list_domains(read):
-    return store.list_domains(read("documents").where(F.col("doc_id") % 4 != 0).withColumnRenamed("source", "domain"), "src1")
+    return store.list_domains(read("documents").withColumnRenamed("source", "domain"), "src1")

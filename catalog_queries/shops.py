@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog_queries.registry import query
-from catalog_queries.tables import OUTCOME_SQL, SHOPS_SQL, outcome_column, shops
+from catalog_queries.tables import DUCK_ISO, ISO, OUTCOME_SQL, SHOPS_SQL, outcome_column, shops
 from shopflow.functions import states as St
 from shopflow.operators import scrape, shops as S
 from shopflow.operators.skew import with_batch
@@ -86,6 +86,69 @@ def orchestrate_scrape(read):
     return out["messages"].select("body", "batch_no")
 
 
+BUYERS_SQL = f"""
+span AS (SELECT o_custkey, strftime(min(o_orderdate), '{DUCK_ISO}') AS lo, strftime(max(o_orderdate), '{DUCK_ISO}') AS hi FROM orders GROUP BY o_custkey),
+buyers AS (SELECT 'buyer' || c_custkey || '.example.com' AS domain, c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'COUNTRY#NATION_3' ELSE 'COUNTRY#' || n_name END AS shop_country,
+  CASE WHEN c_custkey % 5 = 0 THEN 'NEVER#' WHEN c_custkey % 7 = 1 THEN 'PROGRESS#' || lo WHEN c_custkey % 3 = 0 THEN 'DONE#' || lo ELSE 'DONE#' || hi END AS last_crawled_end,
+  CASE WHEN c_custkey % 4 = 0 THEN 'NEVER#' WHEN c_custkey % 11 = 1 THEN 'PROGRESS#' || hi ELSE 'DONE#' || lo END AS last_scraped_end
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN span ON o_custkey = c_custkey)"""
+
+
+def _buyers(read):
+    """A shop per customer with orders: half of them in one country, states from the first and last order."""
+    span = read("orders").groupBy("o_custkey").agg(F.date_format(F.min("o_orderdate"), ISO).alias("lo"), F.date_format(F.max("o_orderdate"), ISO).alias("hi"))
+    k = F.col("c_custkey")
+    done_lo, done_hi = F.concat(F.lit("DONE#"), "lo"), F.concat(F.lit("DONE#"), "hi")
+    return (read("customer").join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(span, k == F.col("o_custkey")).select(
+        F.concat(F.lit("buyer"), k.cast("string"), F.lit(".example.com")).alias("domain"), k,
+        F.when(k % 2 == 0, "COUNTRY#NATION_3").otherwise(F.concat(F.lit("COUNTRY#"), "n_name")).alias("shop_country"),
+        F.when(k % 5 == 0, F.lit("NEVER#")).when(k % 7 == 1, F.concat(F.lit("PROGRESS#"), "lo")).when(k % 3 == 0, done_lo).otherwise(done_hi).alias("last_crawled_end"),
+        F.when(k % 4 == 0, F.lit("NEVER#")).when(k % 11 == 1, F.concat(F.lit("PROGRESS#"), "hi")).otherwise(done_lo).alias("last_scraped_end")))
+
+
+def _deliver(messages, attempt):
+    """A queue that refuses every seventh shop once and every 21st always."""
+    n = F.regexp_extract("domain", "^buyer([0-9]+)", 1).cast("long")
+    return messages.withColumn("error", F.when(n % 21 == 0, "ServiceUnavailable").when((n % 7 == 0) & F.lit(attempt == 1), "ThrottlingException"))
+
+
+SENT_SQL = """SELECT domain, '{"domain":"' || domain || '"}' AS body, CAST((row_number() OVER (ORDER BY domain) - 1) // 10 AS BIGINT) AS batch_no,
+  CASE WHEN c_custkey % 7 = 0 THEN 2 ELSE 1 END AS attempt, CASE WHEN c_custkey % 21 = 0 THEN 'ServiceUnavailable' END AS error FROM due"""
+DUE_CRAWL_SQL = f"""due AS (SELECT domain, c_custkey FROM buyers WHERE shop_country = 'COUNTRY#NATION_3' AND (last_crawled_end = 'NEVER#' OR last_crawled_end BETWEEN 'DONE#' AND 'DONE#{CUTOFF}'))"""
+
+
+def _orchestrated(read, operation):
+    from shopflow.runtime import scratch_path
+
+    return jobs.orchestrate(_buyers(read), operation, "NATION_3", CUTOFF, path=scratch_path(read.spark, "queue"), deliver=_deliver)
+
+
+@query(f"WITH {BUYERS_SQL}, {DUE_CRAWL_SQL} {SENT_SQL}")
+def orchestrate_crawl(read):
+    """The outcome of every message of a crawl run, refused ones tried twice."""
+    return _orchestrated(read, "crawl")["outcomes"]
+
+
+@query(f"""WITH {BUYERS_SQL}, due AS (SELECT domain, c_custkey FROM buyers WHERE shop_country = 'COUNTRY#NATION_3'
+    AND (last_scraped_end = 'NEVER#' OR last_scraped_end BETWEEN 'DONE#' AND 'DONE#{CUTOFF}') AND {REASON_SQL} = 'eligible') {SENT_SQL}""")
+def orchestrate_scrape_sent(read):
+    return _orchestrated(read, "scrape")["outcomes"]
+
+
+@query(f"""WITH {BUYERS_SQL}, {DUE_CRAWL_SQL} SELECT count(*) AS shops_found, count(*) FILTER (WHERE c_custkey % 21 <> 0) AS shops_enqueued,
+  count(*) FILTER (WHERE c_custkey % 21 = 0) AS shops_failed, round(count(*) FILTER (WHERE c_custkey % 21 <> 0) / count(*) * 100, 6) AS success_rate FROM due""")
+def orchestrate_crawl_summary(read):
+    return _orchestrated(read, "crawl")["summary"].withColumn("success_rate", F.round("success_rate", 6))
+
+
+@query("""SELECT event_id, CASE event_id % 5 WHEN 3 THEN '{"next": "x"}' ELSE 'no json' END AS body, 'INVALID_MESSAGE' AS error FROM events WHERE event_id % 5 IN (3, 4)""")
+def message_rejects(read):
+    """Messages that cannot be read, with the reason."""
+    k = F.col("event_id") % 5
+    body = F.when(k == 3, F.lit('{"next": "x"}')).when(k == 4, F.lit("no json")).otherwise(F.to_json(F.struct(F.col("user_id").cast("string").alias("domain"))))
+    return messages.valid_messages(read("events").select("event_id", body.alias("body")))[1].select("event_id", "body", "error")
+
+
 @query(f"""WITH {SHOPS_SQL} SELECT count(*) AS shops_found, count(*) FILTER (WHERE s_suppkey % 9 <> 0) AS shops_enqueued,
   count(*) FILTER (WHERE s_suppkey % 9 = 0) AS shops_failed, round(count(*) FILTER (WHERE s_suppkey % 9 <> 0) / count(*) * 100, 6) AS success_rate FROM shops""")
 def orchestration_summary(read):

@@ -66,8 +66,8 @@ def valid_blocks(read):
 
 
 @query(rf"""WITH {LINES_SQL}, m AS (
-  SELECT doc_id, line_no, CASE WHEN line_no % 6 = 2 THEN repeat('#', line_no % 4 + 1) || ' Research ' || substr(line, 1, 20)
-    WHEN line_no % 6 = 5 THEN repeat('#', line_no % 3 + 1) || ' About ' || substr(line, 1, 20) ELSE line END AS line,
+  SELECT doc_id, line_no, CASE WHEN line_no % 6 = 2 THEN repeat('#', line_no % 4 + 1) || ' Research ' || line
+    WHEN line_no % 6 = 5 THEN repeat('#', line_no % 3 + 1) || ' About ' || line ELSE line END AS line,
     CASE WHEN line_no % 6 = 2 THEN line_no % 4 + 1 WHEN line_no % 6 = 5 THEN line_no % 3 + 1 END AS level,
     line_no % 6 = 2 AS noise FROM doc_lines),
 seg AS (SELECT *, sum(CASE WHEN noise THEN 1 ELSE 0 END) OVER w AS seg FROM m WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
@@ -79,8 +79,8 @@ FROM documents d LEFT JOIN st USING (doc_id) GROUP BY d.doc_id""")
 def noise_removal(read):
     """Every sixth line is a noise header, another one a plain header, at changing levels."""
     def mark(line, i):
-        return (F.when(i % 6 == 2, F.concat(F.repeat(F.lit("#"), i % 4 + 1), F.lit(" Research "), F.substring(line, 1, 20)))
-                .when(i % 6 == 5, F.concat(F.repeat(F.lit("#"), i % 3 + 1), F.lit(" About "), F.substring(line, 1, 20)))
+        return (F.when(i % 6 == 2, F.concat(F.repeat(F.lit("#"), i % 4 + 1), F.lit(" Research "), line))
+                .when(i % 6 == 5, F.concat(F.repeat(F.lit("#"), i % 3 + 1), F.lit(" About "), line))
                 .otherwise(line))
 
     marked = F.array_join(F.transform(T.lines(F.col("text")), mark), "\n")
@@ -96,12 +96,12 @@ k AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NO
     max(n_lines) AS n FROM s GROUP BY doc_id)
 SELECT doc_id, sha256(coalesce(clean, '')) AS clean_hash,
   CASE WHEN length(text) = 0 THEN 0 ELSE length(coalesce(clean, '')) / length(text) END AS kept
-FROM k JOIN documents USING (doc_id) WHERE n >= 5""")
+FROM documents LEFT JOIN k USING (doc_id)""")
 def block_removal(read):
-    """Each document loses its second line and the pair of its fourth and fifth line, wherever they occur."""
+    """Each document loses its second line and the pair of its fourth and fifth line, wherever they occur and as far as it has them."""
     bare = T.stripped_lines(F.col("text"))
-    rows = read.spread("documents").withColumn("bare", bare).where(F.size("bare") >= 5)
-    blocks = F.array(F.slice("bare", 2, 1), F.slice("bare", 4, 2))
+    rows = read.spread("documents").withColumn("bare", bare)
+    blocks = F.array(F.slice("bare", 2, 1), F.when(F.size("bare") >= 5, F.slice("bare", 4, 2)).otherwise(F.array().cast("array<string>")))
     clean = T.remove_blocks(F.col("text"), blocks)
     return rows.withColumn("clean", clean).select("doc_id", F.sha2("clean", 256).alias("clean_hash"),
                                                   T.deletion_rate(F.col("text"), F.col("clean")).alias("kept"))

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopflow.functions import text, urls
-from shopflow.operators.skew import number_rows, previous_row, salted_join, top_per_key
+from shopflow.operators.skew import look_back, previous_row, salted_join, top_per_key
 from shopflow.schemas import (
     CURRENCIES, LANGUAGES, MAX_WATCHED_PER_USER, PAGE_SIZE, PRODUCT_KEY, PRODUCT_SORTS, SHOP_SORTS, SUMMARY_COLUMNS,
 )
@@ -282,8 +282,7 @@ def put_results(incoming: DataFrame, catalogue: DataFrame, compare: list[str], o
     """
     kept = list(dict.fromkeys([*compare, "price", "state"]))
     tie = F.xxhash64(*[c for c in incoming.columns if c not in PRODUCT_KEY])
-    good = number_rows(incoming.where("error IS NULL").withColumn("_tie", tie), PRODUCT_KEY, [*(order or []), "_tie"], "put_no").drop("_tie")
-    seen = previous_row(good, PRODUCT_KEY, ["put_no"], kept, "_put")
+    seen = look_back(incoming.where("error IS NULL").withColumn("_tie", tie), PRODUCT_KEY, [*(order or []), "_tie"], "put_no", kept, "_put").drop("_tie")
     old = catalogue.select(*PRODUCT_KEY, F.struct(*kept).alias("_stored"))
     joined = seen.join(old, PRODUCT_KEY, "left").withColumn("before", F.coalesce("_put", "_stored")).drop("_put", "_stored")
     same = reduce(Column.__and__, [F.col(f"before.{c}").eqNullSafe(F.col(c)) for c in compare])
@@ -292,6 +291,19 @@ def put_results(incoming: DataFrame, catalogue: DataFrame, compare: list[str], o
     return judged.unionByName(failed, allowMissingColumns=True)
 
 
+def mark_unprocessed(results: DataFrame, lost: DataFrame) -> DataFrame:
+    """Puts of the products in ``lost`` (key, _reason) that would have been written become ``unprocessed`` with that reason."""
+    hit = F.col("_reason").isNotNull() & F.col("outcome").isin("created", "updated")
+    joined = results.join(lost, PRODUCT_KEY, "left")
+    return joined.withColumn("error", F.when(hit, F.col("_reason")).otherwise(F.col("error"))).withColumn(
+        "outcome", F.when(hit, "unprocessed").otherwise(F.col("outcome"))).drop("_reason")
+
+
+def put_problems(results: DataFrame) -> DataFrame:
+    """A row for each put that did not take effect, with its reason; for batches of any size."""
+    return results.where(F.col("outcome").isin("failed", "unprocessed")).select("url", "outcome", "error")
+
+
 def put_summary(results: DataFrame, batch: str = "batch_no") -> DataFrame:
     """Per batch (of bounded size): skipped count, unprocessed URLs, failed URLs with their code."""
     return results.groupBy(batch).agg(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shopflow.functions import urls
 from shopflow.operators.skew import number_rows, salted_join
-from shopflow.runtime import bucketed, cut
+from shopflow.runtime import Growing, bucketed, growing, written
 
 _SALTS = 8
 _LEVEL = ["domain", "url", "depth", "parent_url", "success"]
@@ -23,19 +23,35 @@ def gate_links(edges: DataFrame, include_external: bool = False,
     return kept.withColumn("allowed", urls.crawlable(F.col("dst_url"), extensions, patterns))
 
 
+def met_targets(links: DataFrame, visited: DataFrame) -> DataFrame:
+    """The targets of some links that were not visited, once per domain: (domain, url, allowed, n, f).
+
+    ``links`` has (domain, dst_url, allowed, ord, success) with the linking page as ``src_url`` and its ``walk`` order;
+    ``n`` counts the links, ``f`` holds the walk order, parent and success of the first one.
+    """
+    walk = F.concat("walk", F.lpad(F.hex("ord"), 8, "0"))
+    first = F.min(F.struct(walk.alias("walk"), F.col("src_url").alias("parent_url"), F.coalesce("success", F.lit(False)).alias("success")))
+    met = links.groupBy("domain", F.col("dst_url").alias("url")).agg(F.first("allowed").alias("allowed"), F.count(F.lit(1)).alias("n"), first.alias("f"))
+    return met.join(visited.select("domain", "url"), ["domain", "url"], "left_anti")
+
+
+def skipped_links(met: DataFrame) -> DataFrame:
+    """Links per domain whose targets the filters keep out."""
+    return met.where(~F.col("allowed")).groupBy("domain").agg(F.sum("n").alias("urls_skipped"))
+
+
 def discover_links(level: DataFrame, edges: DataFrame, visited: DataFrame, **gates) -> tuple[DataFrame, DataFrame]:
     """(children not yet visited with their first parent, number of skipped links per domain) of one level."""
-    links = level.where("success").join(gate_links(edges, **gates), F.col("url") == F.col("src_url"))
-    first = F.min(F.struct(F.col("url").alias("parent_url"), "ord", (F.col("depth") + 1).alias("depth")))
-    children = (links.where("allowed").groupBy("domain", F.col("dst_url").alias("child")).agg(first.alias("f"))
-                .select("domain", F.col("child").alias("url"), "f.depth", "f.parent_url")
-                .join(visited.select("domain", "url"), ["domain", "url"], "left_anti"))
-    skipped = links.where(~F.col("allowed")).groupBy("domain").agg(F.count(F.lit(1)).alias("urls_skipped"))
-    return children, skipped
+    links = (level.where("success").select("domain", F.col("url").alias("src_url"), F.col("url").alias("walk"), "depth")
+             .join(gate_links(edges, **gates), "src_url").withColumn("success", F.lit(True)))
+    depth = level.agg(F.max("depth").alias("_depth"))
+    met = met_targets(links, visited)
+    children = met.where("allowed").select("domain", "url", "f.parent_url").join(depth).select("domain", "url", (F.col("_depth") + 1).alias("depth"), "parent_url")
+    return children, skipped_links(met)
 
 
 def _within_budget(level: DataFrame, spent: DataFrame, max_pages: int, **options) -> DataFrame:
-    """Cut every domain at its ``max_pages``-th successful page, in walk order. ``spent`` is (domain, spent)."""
+    """Cut every domain at its ``max_pages``-th successful page, in walk order. ``spent`` has (domain, spent)."""
     gain = level.groupBy("domain").agg(F.count_if("success").alias("gain"))
     full = (gain.join(spent, "domain", "left").withColumn("left", F.lit(max_pages) - F.coalesce("spent", F.lit(0)))
             .where(F.col("gain") >= F.col("left")).select("domain", "left"))
@@ -51,55 +67,68 @@ def _within_budget(level: DataFrame, spent: DataFrame, max_pages: int, **options
 
 def bfs(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_depth: int | None = None,
         max_pages: int | None = None, partitions: int | None = None, **gates) -> DataFrame:
-    """Every page reachable from the seeds, visited once per seed domain, with depth and first parent.
+    """The pages of :func:`walk`."""
+    return walk(seeds, edges, pages, max_depth, max_pages, partitions, **gates)[0]
+
+
+def walk(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_depth: int | None = None,
+         max_pages: int | None = None, partitions: int | None = None, **gates) -> tuple[DataFrame, DataFrame]:
+    """Every page reachable from the seeds, visited once per seed domain, with depth and first parent; and per domain the
+    successful pages and skipped links: (domain, spent, urls_skipped).
 
     ``seeds`` (domain, url), ``edges`` (src_url, dst_url, kind, ord), ``pages`` (url, success). A page that is not
     stored or failed is a result but is not expanded. The first parent is the one that comes first in walk order:
-    parents in the order of their level, links in page order. The walk ends when no page is left, and earlier only at
+    parents in the order of their level, links in page order. A link of an expanded page is skipped if the filters keep its target out. The walk ends when no page is left, and earlier only at
     a given depth or, per domain, at ``max_pages`` successful pages.
 
-    The graph is written once to the shared folder, bucketed by (source, salt): each level then moves only the
-    frontier, its links and the visited keys. Levels are checkpointed, so a lost executor does not restart the walk.
+    The graph is written once to the shared folder, bucketed by (source, salt), the visited keys into a table of their own,
+    bucketed by key, to which each level adds its own. So a level moves its frontier and its links, and neither the
+    graph nor older levels; the counters of a domain are carried from level to level as one row. A level is written, so a lost executor does not restart the walk.
     """
+    spark = seeds.sparkSession
     status = pages.groupBy(F.col("url").alias("dst_url")).agg(F.max("success").alias("success"))
-    gated = gate_links(edges, **gates).where("allowed").select("src_url", "dst_url", "ord")
+    gated = gate_links(edges, **gates).select("src_url", "dst_url", "ord", "allowed")
     salt = F.pmod(F.xxhash64("dst_url"), F.lit(_SALTS)).cast("int")
     linked = gated.join(status, "dst_url", "left").withColumn("salt", salt)
-    with bucketed(linked, ["src_url", "salt"], "graph", partitions) as graph:
-        return _walk(seeds, graph, status, max_depth, max_pages)
+    with bucketed(linked, ["src_url", "salt"], "graph", partitions) as graph, growing(spark, ["domain", "url"], "visited", partitions) as visited:
+        return _walk(seeds, graph, visited, status, max_depth, max_pages)
 
 
-def _walk(seeds: DataFrame, graph: DataFrame, status: DataFrame, max_depth: int | None, max_pages: int | None) -> DataFrame:
-    start = seeds.select("domain", "url").distinct().withColumns({
-        "depth": F.lit(0), "parent_url": F.lit(None).cast("string"), "walk": F.lit("")})
-    frontier = (start.join(status.withColumnRenamed("dst_url", "url"), "url", "left")
-                .select(*_LEVEL[:4], F.coalesce("success", F.lit(False)).alias("success"), "walk"))
+def _walk(seeds: DataFrame, graph: DataFrame, visited: Growing, status: DataFrame, max_depth: int | None, max_pages: int | None) -> tuple[DataFrame, DataFrame]:
+    start = seeds.select("domain", "url").distinct()
+    level = written(start.join(status.withColumnRenamed("dst_url", "url"), "url", "left").select(
+        "domain", "url", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent_url"),
+        F.coalesce("success", F.lit(False)).alias("success"), F.lit("").alias("walk")), "level", keep=True)
+    counters = start.select("domain", F.lit(0).cast("long").alias("spent"), F.lit(0).cast("long").alias("urls_skipped")).distinct()
     levels: list[DataFrame] = []
     for depth in count():
-        spent = (reduce(DataFrame.unionByName, levels).groupBy("domain").agg(F.count_if("success").alias("spent"))
-                 if levels else start.select("domain", F.lit(0).alias("spent")).distinct())
-        level = cut(frontier)
         if level.isEmpty():
             break
-        bounded = level if max_pages is None else _within_budget(level, spent, max_pages)
+        bounded = level if max_pages is None else _within_budget(level, counters, max_pages)
         closed = "closed" in bounded.columns
         if closed:
-            bounded = cut(bounded)
+            bounded = written(bounded, "level", keep=True)
         levels.append(bounded.select(*_LEVEL))
+        visited.add(bounded.select("domain", "url"))
+        gain = bounded.groupBy("domain").agg(F.count_if("success").alias("_spent"))
         if depth == max_depth:
+            counters = counted(counters, gain)
             break
         open_pages = bounded.where(F.col("success") & ~F.col("closed")) if closed else bounded.where("success")
         spread = open_pages.select("domain", F.col("url").alias("src_url"), "walk",
                                    F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
-        links = links_of(spread, graph)
-        walk = F.concat("walk", F.lpad(F.hex("ord"), 8, "0"))
-        first = F.min(F.struct(walk.alias("walk"), F.col("src_url").alias("parent_url"),
-                               F.coalesce("success", F.lit(False)).alias("success")))
-        visited = reduce(DataFrame.unionByName, [lv.select("domain", "url") for lv in levels])
-        frontier = (links.groupBy("domain", F.col("dst_url").alias("url")).agg(first.alias("f"))
-                    .join(visited, ["domain", "url"], "left_anti")
-                    .select("domain", "url", F.lit(depth + 1).alias("depth"), "f.parent_url", "f.success", "f.walk"))
-    return reduce(DataFrame.unionByName, levels) if levels else level.select(*_LEVEL)
+        met = written(met_targets(links_of(spread, graph), visited.rows()), "met", keep=True)
+        counters = written(counted(counters, gain, skipped_links(met)), "counters", keep=True)
+        level = met.where("allowed").select("domain", "url", F.lit(depth + 1).alias("depth"), "f.parent_url", "f.success", "f.walk")
+    return reduce(DataFrame.unionByName, levels) if levels else level.select(*_LEVEL), written(counters, "counters", keep=True)
+
+
+def counted(counters: DataFrame, gain: DataFrame, skipped: DataFrame | None = None) -> DataFrame:
+    """The counters with a level's successful pages and skipped links."""
+    added = counters.join(gain, "domain", "left")
+    added = added.join(skipped.withColumnRenamed("urls_skipped", "_skipped"), "domain", "left") if skipped is not None else added.withColumn("_skipped", F.lit(0))
+    return added.select("domain", (F.col("spent") + F.coalesce("_spent", F.lit(0))).alias("spent"),
+                        (F.col("urls_skipped") + F.coalesce("_skipped", F.lit(0))).alias("urls_skipped"))
 
 
 def links_of(frontier: DataFrame, graph: DataFrame) -> DataFrame:

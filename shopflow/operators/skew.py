@@ -34,35 +34,38 @@ def in_ranges(df: DataFrame, keys: list[str], order: list[str], ranges: int | No
     return cut(df.repartitionByRange(ranges, *cols).withColumn(_RANGE, F.spark_partition_id()))
 
 
-def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "row_no", ranges: int | None = None) -> DataFrame:
-    """Consecutive numbers from 1 within each key (or over all rows without keys), in ``order``.
+def look_back(df: DataFrame, keys: list[str], order: list[str], number: str | None = None, columns: list[str] | None = None,
+              prev: str = "prev", ranges: int | None = None) -> DataFrame:
+    """Adds a row's number within its keys (column ``number``, from 1) and what ``columns`` held in the row before it
+    (struct ``prev``, null on the first row), both in one ranged pass over ``order``, which must be unique within a key.
 
-    Keys must not be null and ``order`` must be unique within a key.
+    Keys must not be null. Ranges meet in a summary with one row per range and key.
     """
     ranged = in_ranges(df, keys, order, ranges)
     group = [_RANGE, *keys]
-    counts = ranged.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    local = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return (ranged.join(offsets, group, "left")
-            .withColumn(name, (local + F.coalesce("_before", F.lit(0))).cast("long"))
-            .select(*df.columns, name))
+    value = F.struct(*columns) if columns else None
+    parts = ranged.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *([F.max_by(value, F.struct(*order)).alias("_end")] if columns else []))
+    along = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(_RANGE)
+    carried = parts.select(*group, F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                           *([F.lag("_end").over(along).alias("_carry")] if columns else []))
+    window = Window.partitionBy(*group).orderBy(*order)
+    out = ranged.join(carried, group, "left").withColumn("_local", F.row_number().over(window))
+    if columns:
+        out = out.withColumn(prev, F.when(F.col("_local") == 1, F.col("_carry")).otherwise(F.lag(value).over(window)))
+    if number:
+        out = out.withColumn(number, (F.col("_local") + F.coalesce("_before", F.lit(0))).cast("long"))
+    return out.select(*df.columns, *[c for c in (number, prev if columns else None) if c])
+
+
+def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "row_no", ranges: int | None = None) -> DataFrame:
+    """Consecutive numbers from 1 within each key (or over all rows without keys), in ``order``."""
+    return look_back(df, keys, order, number=name, ranges=ranges)
 
 
 def previous_row(df: DataFrame, keys: list[str], order: list[str], columns: list[str], name: str = "prev",
                  ranges: int | None = None) -> DataFrame:
     """Adds a struct with ``columns`` of the row before, in ``order`` within the keys; null on the first row."""
-    value = F.struct(*columns)
-    ranged = in_ranges(df, keys, order, ranges)
-    group = [_RANGE, *keys]
-    ends = ranged.groupBy(*group).agg(F.max_by(value, F.struct(*order)).alias("_end"))
-    carried = ends.select(*group, F.lag("_end").over(Window.partitionBy(*keys).orderBy(_RANGE)).alias("_carry"))
-    window = Window.partitionBy(*group).orderBy(*order)
-    return (ranged.join(carried, group, "left")
-            .withColumn("_local", F.row_number().over(window))
-            .withColumn(name, F.when(F.col("_local") == 1, F.col("_carry")).otherwise(F.lag(value).over(window)))
-            .select(*df.columns, name))
+    return look_back(df, keys, order, columns=columns, prev=name, ranges=ranges)
 
 
 def with_batch(df: DataFrame, n: int, order: list[str], keys: list[str] | None = None, name: str = "batch_no",

@@ -16,8 +16,12 @@ from shopflow.sources import messages, store
 
 
 def orchestrate(shops: DataFrame, operation: str, country: str | None = DEFAULT_COUNTRY, cutoff: str | None = None,
-                now: datetime | None = None, days: int = 2, parse_ts: bool = False) -> dict[str, DataFrame]:
-    """Shops due for a crawl or scrape as messages, with filter statistics and summary."""
+                now: datetime | None = None, days: int = 2, parse_ts: bool = False, path: str | None = None, run: str = "0",
+                deliver: Callable[[DataFrame, int], DataFrame] = messages.within_limits) -> dict[str, DataFrame]:
+    """Shops due for a crawl or scrape as messages, sent, with the outcome of each, filter statistics and summary.
+
+    Options ``path``, ``run`` and ``deliver`` are those of :func:`messages.send_messages`.
+    """
     states.operation_column(operation)
     found = S.candidates(shops, operation, cutoff or states.cutoff(now, days), country, parse_ts)
     if operation == "crawl":
@@ -25,8 +29,9 @@ def orchestrate(shops: DataFrame, operation: str, country: str | None = DEFAULT_
     else:
         stats, chosen = S.scrape_stats(found, parse_ts), S.scrape_eligible(found, parse_ts)
     out = messages.to_messages(chosen)
-    sent = out.withColumn("error", F.lit(None).cast("string"))
-    return {"messages": out, "stats": stats, "summary": S.orchestration_summary(sent), "preview": S.preview(chosen)}
+    sent = messages.send_messages(out, path, run, deliver)
+    return {"messages": out, "outcomes": sent, "failed": S.failed_domains(sent), "stats": stats, "summary": S.orchestration_summary(sent),
+            "preview": S.preview(chosen)}
 
 
 def crawl_shops(shops: DataFrame, bodies: DataFrame, pages: DataFrame, url_table: DataFrame, ts: str,
@@ -40,7 +45,7 @@ def crawl_shops(shops: DataFrame, bodies: DataFrame, pages: DataFrame, url_table
     named = good.select("domain", "start_url").distinct()
     seeds = named.select("domain", U.normalize_url(F.col("start_url")).alias("url"))
     stored = pages.withColumn("url", U.normalize_url(F.col("url")))
-    walked = crawl.bfs(seeds, P.extract_links(pages), stored, max_depth, max_pages, **gates)
+    walked, counters = crawl.walk(seeds, P.extract_links(pages), stored, max_depth, max_pages, **gates)
     fetched = walked.where("success")
     if model is not None:
         typed = classify.classify_urls(fetched, model)
@@ -51,7 +56,7 @@ def crawl_shops(shops: DataFrame, bodies: DataFrame, pages: DataFrame, url_table
     table = store.upsert_urls(url_table, rows, "ord", keep_hash)
     counts = crawl.processed(walked)
     started = store.mark_started(shops, named, "crawl", ts)
-    return {"results": walked, "urls": table, "processed": counts, "rejects": rejects,
+    return {"results": walked, "urls": table, "processed": counts, "counters": counters, "rejects": rejects,
             "shops": store.mark_done(started, counts, "crawl", ts)}
 
 
@@ -94,10 +99,13 @@ def register_shops(changes: DataFrame, shops: DataFrame) -> dict[str, DataFrame]
 
 
 def put_products(products: DataFrame, shops: DataFrame, current: DataFrame, ts: Column,
-                 compare: tuple[str, ...] = ("state", "price"), order: list[str] | None = None) -> dict[str, DataFrame]:
+                 compare: tuple[str, ...] = ("state", "price"), order: list[str] | None = None,
+                 write: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """Bulk create or update: enrichment, overflow check, comparison with the catalogue, events.
 
-    Several puts of one product take effect one after another in ``order``; the catalogue keeps the last.
+    Several puts of one product take effect one after another in ``order``; the catalogue keeps the last. ``write(rows)``
+    stores created and updated rows and returns the products (key, reason) that it could not store: their puts come out as
+    ``unprocessed`` with the reason as ``error``, give no events and leave the catalogue as it was.
     ``products`` carries ``amount`` as decimal(20,0) and ``currency``; the catalogue holds integer amounts.
     """
     enriched = catalogue.enrich_with_shop(products, shops)
@@ -106,6 +114,9 @@ def put_products(products: DataFrame, shops: DataFrame, current: DataFrame, ts:
         .withColumn("price", F.when(F.col("error").isNull() & F.col("amount").isNotNull(), F.struct(
             F.col("amount").cast("long").alias("amount"), F.col("currency")))).drop("amount", "currency"))
     results = cut(catalogue.put_results(priced, current, list(compare), order))
+    if write is not None:
+        lost = write(results.where(F.col("outcome").isin("created", "updated"))).groupBy(*PRODUCT_KEY).agg(F.min("reason").alias("_reason"))
+        results = catalogue.mark_unprocessed(results, lost)
     written = results.where(F.col("outcome").isin("created", "updated"))
     events = catalogue.events_between(written.withColumn("_ts", ts), PRODUCT_KEY, F.col("outcome") == "created", F.col("before.price"),
                                       F.col("price"), F.col("before.state"), F.col("state"), "_ts")

@@ -39,17 +39,37 @@ def cut(df: DataFrame) -> DataFrame:
 def bucketed(df: DataFrame, keys: list[str], name: str, buckets: int | None = None):
     """The rows as a table in the shared folder, bucketed and sorted by ``keys``, for joins that do not shuffle it.
 
-    The table leaves the catalogue at the end of the block; cut what was computed from it before.
+    The table goes at the end of the block; cut what was computed from it before.
     """
-    spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"{name}_{uuid.uuid4().hex}"
-    (df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
-     .option("path", scratch_path(spark, name)).saveAsTable(table))
+    with growing(df.sparkSession, keys, name, buckets) as table:
+        table.add(df)
+        yield table.rows()
+
+
+class Growing:
+    """A bucketed table that rows are added to; what it holds already is neither moved nor written again."""
+
+    def __init__(self, spark: SparkSession, keys: list[str], name: str, buckets: int | None) -> None:
+        self.spark, self.keys = spark, keys
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.table, self.path = f"{name}_{uuid.uuid4().hex}", scratch_path(spark, name)
+
+    def add(self, df: DataFrame) -> None:
+        (df.repartition(self.buckets, *self.keys).write.mode("append").format("parquet").bucketBy(self.buckets, *self.keys)
+         .sortBy(*self.keys).option("path", self.path).saveAsTable(self.table))
+
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.table)
+
+
+@contextmanager
+def growing(spark: SparkSession, keys: list[str], name: str, buckets: int | None = None):
+    made = Growing(spark, keys, name, buckets)
     try:
-        yield spark.table(table)
+        yield made
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {made.table}")
+        remove(spark, made.path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

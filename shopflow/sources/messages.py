@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopflow.functions import urls
 from shopflow.operators.skew import with_batch
+from shopflow.runtime import cut
 from shopflow.schemas import CHANGE, MESSAGE
 
 MESSAGES_PER_BATCH = 10
 MAX_RECEIVES = 10
+MAX_BODY_BYTES = 262_144
 
 
 def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
@@ -41,9 +46,34 @@ def to_messages(shops: DataFrame, batch_size: int = MESSAGES_PER_BATCH, **option
     return with_batch(shops.select("domain"), batch_size, ["domain"], **options).withColumn("body", body)
 
 
+def within_limits(messages: DataFrame, attempt: int = 1) -> DataFrame:
+    """Adds ``error``: bodies that a queue does not take, for their length or for want of a domain."""
+    body = F.col("body")
+    return messages.withColumn("error", F.when(F.octet_length(body) > MAX_BODY_BYTES, "MESSAGE_TOO_LONG")
+                               .when(F.coalesce(F.get_json_object(body, "$.domain"), F.lit("")) == "", "INVALID_MESSAGE"))
+
+
+def send_messages(messages: DataFrame, path: str | None = None, run: str = "0", deliver: Callable[[DataFrame, int], DataFrame] = within_limits,
+                  attempts: int = 2) -> DataFrame:
+    """The outcome of every message: its columns, ``attempt`` (the last one made) and ``error`` (null once it was taken).
+
+    ``deliver(messages, attempt)`` hands messages over and adds ``error``; what fails is tried again, all failed messages of an attempt at once. Taken bodies are stored as JSON lines
+    under ``path`` in a folder of the run; the same run again writes the same folder, so nothing is sent twice.
+    """
+    pending, taken = messages, []
+    for attempt in range(1, attempts + 1):
+        tried = cut(deliver(pending, attempt).withColumn("attempt", F.lit(attempt)))
+        taken.append(tried if attempt == attempts else tried.where("error is null"))
+        pending = tried.where("error is not null").drop("error", "attempt")
+    outcomes = reduce(DataFrame.unionByName, taken)
+    if path is not None:
+        write_messages(outcomes.where("error is null"), f"{path}/run={run}")
+    return outcomes
+
+
 def write_messages(messages: DataFrame, path: str) -> None:
-    """Append bodies as JSON lines."""
-    messages.select("body").write.mode("append").text(path)
+    """Bodies as JSON lines; what the folder held before goes."""
+    messages.select("body").write.mode("overwrite").text(path)
 
 
 def read_changes(spark: SparkSession, path: str, files_per_trigger: int = 10) -> DataFrame:

@@ -90,3 +90,36 @@ def test_crawl_job(spark):
     assert out["rejects"].count() == 1
     kept = jobs.crawl_shops(shops, bodies, pages, table, "T", keep_hash=True)["urls"]
     assert kept.where("url = 'https://a.de/p/1'").first().hash == "h"
+
+
+def test_walk_carries_counters(spark):
+    edges = [("a0", f"https://a/{n}", "internal", i) for i, n in enumerate(["x.pdf", "x.pdf", "cart", "1", "2"])] + [
+        ("https://a/1", "https://a/y.jpg", "internal", 0), ("https://a/1", "https://a/2", "internal", 1), ("https://a/2", "https://a/z.zip", "internal", 0), ("b0", "https://b/1", "internal", 0)]
+    pages = [(u, u != "https://a/2") for u in ("a0", "b0", "https://a/1", "https://a/2")]
+    seeds = spark.createDataFrame([("a", "a0"), ("b", "b0")], "domain string, url string")
+    e, p = spark.createDataFrame(edges, "src_url string, dst_url string, kind string, ord int"), spark.createDataFrame(pages, "url string, success boolean")
+    found, counters = C.walk(seeds, e, p)
+    assert {(r.domain, r.spent, r.urls_skipped) for r in counters.collect()} == {("a", 2, 4), ("b", 1, 0)}
+    assert {(r.url, r.depth) for r in found.collect()} == {("a0", 0), ("b0", 0), ("https://a/1", 1), ("https://a/2", 1), ("https://b/1", 1)}
+    # pages at the last depth are not expanded, so their links are not skipped
+    assert {(r.domain, r.urls_skipped) for r in C.walk(seeds, e, p, max_depth=1)[1].collect()} == {("a", 3), ("b", 0)}
+
+
+def test_level_does_not_move_visited_keys(spark):
+    from shopflow.runtime import growing
+
+    def physical(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    links = spark.range(40).select(F.concat(F.lit("d"), (F.col("id") % 1).cast("string")).alias("domain"), (F.col("id") % 20).cast("string").alias("dst_url"), F.lit(True).alias("allowed"), F.lit(0).alias("ord"),
+                                   F.lit(True).alias("success"), F.lit("p").alias("src_url"), F.lit("").alias("walk"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        with growing(spark, ["domain", "url"], "v") as visited:
+            for part in range(3):
+                visited.add(spark.createDataFrame([("d0", str(part * 5 + i)) for i in range(5)], "domain string, url string"))
+            met = C.met_targets(links, visited.rows())
+            assert physical(met).count("Exchange") == 1 and sorted(int(r.url) for r in met.collect()) == [15, 16, 17, 18, 19]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

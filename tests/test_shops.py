@@ -188,3 +188,32 @@ def test_country_of_ip(spark):
     ranges = spark.createDataFrame([(16909056, 16909311, "DE"), (33554432, 33685503, "AT")], "lo long, hi long, country string")
     got = {r.domain: r.shop_country for r in S.country_of_ip(df, ranges).collect()}
     assert got == {"a": "COUNTRY#DE", "b": "COUNTRY#FR", "c": None, "d": None, "e": None, "f": "COUNTRY#AT"}
+
+
+def test_sent_messages(spark, tmp_path):
+    rows = [(f"s{i}.de", f'{{"domain": "s{i}.de"}}') for i in range(12)] + [("long.de", '{"domain": "long.de", "x": "' + "y" * 300_000 + '"}'), ("none", '{"domain": ""}')]
+    df = spark.createDataFrame(rows, "domain string, body string")
+    calls = []
+
+    def deliver(part, attempt):
+        calls.append((attempt, part.count()))
+        refused = F.when(F.col("domain") == "s3.de", "Down").when((F.col("domain") == "s4.de") & F.lit(attempt == 1), "Busy")
+        return messages.within_limits(part).withColumn("error", F.coalesce("error", refused))
+
+    for _ in range(2):  # the same run again leaves one copy of each message
+        calls.clear()
+        got = {r.domain: (r.attempt, r.error) for r in messages.send_messages(df, str(tmp_path / "q"), "r1", deliver).collect()}
+    assert calls == [(1, 14), (2, 4)]
+    assert got == {f"s{i}.de": (1, None) for i in range(12)} | {"s3.de": (2, "Down"), "s4.de": (2, None), "long.de": (2, "MESSAGE_TOO_LONG"), "none": (2, "INVALID_MESSAGE")}
+    stored = [r.value for r in spark.read.text(str(tmp_path / "q")).collect()]
+    assert sorted(stored) == sorted(b for d, b in rows[:12] if d != "s3.de")
+
+
+def test_crawl_orchestration_counts_failures(spark):
+    rows = [(f"s{i}.de", "COUNTRY#DE", "NEVER#" if i % 2 else "DONE#2020-01-01T00:00:00Z", None) for i in range(30)] + [("busy.de", "COUNTRY#DE", "PROGRESS#2020-01-01T00:00:00Z", None)]
+    df = spark.createDataFrame(rows, "domain string, shop_country string, last_crawled_end string, last_scraped_end string")
+    out = jobs.orchestrate(df, "crawl", now=datetime(2026, 1, 1, tzinfo=timezone.utc),
+                           deliver=lambda m, attempt: m.withColumn("error", F.when(F.col("domain").isin("s1.de", "s2.de"), "Down")))
+    summary = out["summary"].first()
+    assert (summary.shops_found, summary.shops_enqueued, summary.shops_failed) == (30, 28, 2)
+    assert {(r.domain, r.error) for r in out["failed"].collect()} == {("s1.de", "Down"), ("s2.de", "Down")}
