@@ -37,6 +37,7 @@ def by_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None
             out = fn(batch)
             if out is not None and out.num_rows:
                 yield out
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

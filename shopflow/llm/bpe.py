@@ -24,7 +24,8 @@ from shopflow.llm.base import kept_in_worker
 NO_RANK = 1 << 60
 LOW = (1 << 24) - 1  # bits of an id
 SHORT_WORD = 256
-CACHE = 200_000  # distinct words a worker remembers
+CACHE = 150_000  # distinct chunks that a worker remembers in a generation; two are held
+PIECES = 60_000
 
 
 class Remembered(dict):
@@ -61,8 +62,7 @@ class Vocabulary:
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.end: str = model["end_of_word_suffix"] or ""
-        self.ranks = {(self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(model["merges"])}
-        self.merges = {pair: rank << 24 | made for pair, (rank, made) in self.ranks.items()}
+        self.merges = {(self.ids[a], self.ids[b]): rank << 24 | self.ids[a + b] for rank, (a, b) in enumerate(model["merges"])}
         self.tokens = {i: t for t, i in self.ids.items()}
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in special.items()}
@@ -70,7 +70,7 @@ class Vocabulary:
         self.digits = {i: str(i).encode() for i in self.tokens}
         self.letters_of = {i: t.encode() for i, t in self.tokens.items()}
         self.letter = Remembered(lambda c: self.pieces(c)[0][0])
-        self.known_pieces = Remembered(self.word, 3 * CACHE // 2)
+        self.known_pieces = Remembered(self.word, PIECES)
         self.at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
     def word(self, word: str) -> list[int]:
@@ -99,20 +99,20 @@ class Vocabulary:
     def _heap(self, parts: list[int]) -> list[int]:
         n = len(parts)
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        heap = [(self.ranks[p][0], i, p) for i, p in enumerate(zip(parts, parts[1:])) if p in self.ranks]
+        heap = [(self.merges[p] >> 24, i, p) for i, p in enumerate(zip(parts, parts[1:])) if p in self.merges]
         heapq.heapify(heap)
         while heap:
             _, i, pair = heapq.heappop(heap)
             j = after[i]
             if parts[i] is None or j < 0 or (parts[i], parts[j]) != pair:
                 continue
-            parts[i], parts[j] = self.ranks[pair][1], None
+            parts[i], parts[j] = self.merges[pair] & LOW, None
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (found := self.ranks.get((parts[a], parts[b]))):
-                    heapq.heappush(heap, (found[0], a, (parts[a], parts[b])))
+                if a >= 0 and b >= 0 and (found := self.merges.get((parts[a], parts[b]))) is not None:
+                    heapq.heappush(heap, (found >> 24, a, (parts[a], parts[b])))
         return [p for p in parts if p is not None]
 
     def encode_chunk(self, chunk: str) -> list[int]:
@@ -139,6 +139,13 @@ class Vocabulary:
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
 
+def byte_letters() -> dict[str, int]:
+    """The letter that byte-level vocabularies write for each byte: printing characters stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 def read_definition(path: str) -> str:
     """A tokenizer file on the driver; tasks get its content, which is as large as the vocabulary, by broadcast."""
     with open(path, encoding="utf-8") as f:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shopflow.llm.base import kept_in_worker, scoped, stored
-from shopflow.llm.bpe import read_definition
+from shopflow.llm.bpe import byte_letters, read_definition
 
 SIZE = 1024
 END = 2
@@ -37,13 +37,6 @@ LONGEST_BLANK = 10_000  # blanks in a row that the fast encoder is given
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that byte-level vocabularies write for each byte: printing characters stand for themselves, the others follow from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Encoder:
     """Ids of texts as the tokenizers library gives them, special tokens recognised.
 

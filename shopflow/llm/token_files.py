@@ -9,9 +9,12 @@ files are Parquet, so Spark commits them whole, retries lost tasks and reads the
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import sys
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +23,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shopflow.llm.base import kept_in_worker, stored
-from shopflow.llm.bpe import CACHE, Remembered, read_definition
+from shopflow.llm.bpe import Remembered, byte_letters, read_definition
 
+CHUNKS = 150_000  # that a worker remembers in a generation; two are held
+PROBES = ["word", "Chairs.", "été,", "GROSS", "Ärger..", "ñandú", "x", "Straße"]
+WORD_END = b"\xff"
 BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 4096
 SAMPLE_DOCS = 2000  # documents the dictionary is trained on
@@ -41,11 +47,33 @@ def tokenizer(definition: str):
     return made
 
 
+def piece_encoder(definition: str) -> Callable[[bytes], list[int]] | None:
+    """Merges of one piece with ``WORD_END`` behind it, for byte-level vocabularies with word ends whose merges have their ids in order.
+
+    The end is a byte that no text holds. It joins the last letter before any other merge, since these pairs have the
+    lower ids, and ids in merge order are ranks, so tiktoken makes the same merges.
+    """
+    model = json.loads(definition)["model"]
+    end, vocab, letters = model.get("end_of_word_suffix"), model.get("vocab"), byte_letters()
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges") or []]
+    if not end or model.get("type") != "BPE" or any(c + e not in vocab for c in letters for e in ("", end)):
+        return None
+    made = [vocab.get(a + b, -1) for a, b in merges]
+    if made != sorted(set(made)) or min(made, default=0) <= max(vocab[c + e] for c in letters for e in ("", end)):
+        return None
+    import tiktoken
+
+    known = {*made, *(vocab[c + e] for c in letters for e in ("", end))}
+    ranks = {bytes(letters[c] for c in t.removesuffix(end)) + (WORD_END if t.endswith(end) else b""): i for t, i in vocab.items() if i in known}
+    return tiktoken.Encoding("pieces", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+
+
 class Encoder:
     """Serialized ids of texts.
 
     No token spans an ASCII blank, so each distinct chunk between blanks is encoded once; nor does one span letters and the
-    full stops or commas behind them, so these are told apart where the letters are Latin.
+    full stops or commas behind them. Latin letters are merged as the one piece that the library would make of them, if
+    that gives the library's ids for the words of ``PROBES``; all other chunks go through the library.
     """
 
     def __init__(self, definition: str, kind: str) -> None:
@@ -53,8 +81,12 @@ class Encoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special and not t.normalized]
         self.mark = min(special, default=None)
         self.mark_id = self.tokenizer.token_to_id(self.mark) if special else None
-        self.known = Remembered(lambda c: self.many([c])[0])
-        self.cores = Remembered(lambda c: self.many([c])[0], 2 * CACHE)
+        self.tails = Remembered(lambda c: self.many([c])[0], 1000)
+        self.known = Remembered(lambda c: self.many([c])[0], CHUNKS)
+        self.code = "H" if self.width == 2 else "I"
+        self.piece = piece_encoder(definition)
+        self.latin = (self.piece is not None and sys.byteorder == "little" and array(self.code).itemsize == self.width
+                      and [self._latin(p.encode()) for p in PROBES] == self.many([p.encode() for p in PROBES]))
 
     def many(self, chunks: list[bytes]) -> list[bytes]:
         """Ids of each chunk. Chunks go to the library a few thousand at once, with a special token between them."""
@@ -69,26 +101,36 @@ class Encoder:
             out += [raw[a:b] for a, b in zip([0, *(cuts + self.width).tolist()], [*cuts.tolist(), len(raw)])]
         return out
 
-    def _core(self, chunk: bytes) -> tuple[bytes, bytes]:
-        """(letters in lower case, marks behind them); the whole chunk and nothing where that is not safe."""
+    def _latin(self, chunk: bytes) -> bytes | None:
+        """The ids of Latin letters and of full stops or commas behind them; None for any other chunk."""
         core = chunk.rstrip(b".,")
-        if core.isalpha() or (core and (text := core.decode()).isalpha() and max(text) < "\u0130"):
-            return core.decode().lower().encode(), chunk[len(core):]
-        return chunk, b""
+        if core.isalpha():
+            piece = core.lower()
+        elif core and (text := core.decode()).isalpha() and max(text) < "\u0130":
+            piece = text.lower().encode()
+        else:
+            return None
+        ids = array(self.code, self.piece(piece + WORD_END)).tobytes()
+        return ids if len(core) == len(chunk) else ids + self.tails[chunk[len(core):]]
 
     def texts(self, texts: list[str | None], end: int) -> Iterator[bytes]:
         last = np.array([end], self.kind).tobytes()
+        known = self.known
         for at in range(0, len(texts), 256):
             split = [(t or "").encode().split() for t in texts[at:at + 256]]
-            new = {c: self._core(c) for c in set().union(*split) if c not in self.known and c not in self.known.old}
-            asked = sorted({c for pair in new.values() for c in pair if c and c not in self.cores and c not in self.cores.old}, key=lambda c: b"<" in c)
-            self.cores.update(zip(asked, self.many(asked)))
-            for chunk, (core, marks) in new.items():
-                self.known[chunk] = self.cores[core] + self.cores[marks] if marks else self.cores[core]
+            rest = []
+            for chunk in set().union(*split).difference(known):
+                made = known.old.get(chunk) or (self._latin(chunk) if self.latin else None)
+                if made is None:
+                    rest.append(chunk)
+                else:
+                    known[chunk] = made
+            rest.sort(key=lambda c: b"<" in c)
+            known.update(zip(rest, self.many(rest)))
             for chunks in split:
-                yield b"".join([*map(self.known.__getitem__, chunks), last])
-            self.known.renew()
-            self.cores.renew()
+                yield b"".join([*map(known.__getitem__, chunks), last])
+            known.renew()
+            self.tails.renew()
 
 
 def compression_dict(data: bytes) -> zstandard.ZstdCompressionDict | None:

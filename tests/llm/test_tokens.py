@@ -132,7 +132,7 @@ def test_sql(spark, con, name):
 
 
 def test_every_operator_has_its_query():
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in QUERIES} and "pipeline" in queries()
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in QUERIES} and "pipeline" in queries()
 
 
 def test_pipeline(spark):
@@ -154,3 +154,19 @@ def test_pipeline_stages_take_edge_documents(spark, edge, none):
             out = stage(spark, docs, SF)
             assert out.columns == docs.columns or name == "token_ids"
             out.collect()
+
+
+def test_words_of_latin_letters_are_merged_as_by_the_library():
+    import random
+    import public_tokenizers
+    from shopflow.llm import token_files as T
+
+    encoder = T.Encoder(T.read_definition(public_tokenizers.path("word_bpe_49k.json")), "<u2")
+    rng = random.Random(9)
+    letters = [c for c in map(chr, range(0x130)) if c.isalpha()]
+    common = list("etaoinshrdlcumwfgypbvk")
+    words = {"".join(rng.choices(rng.choice([common, common, letters]), k=rng.randint(1, 14))) + rng.choice(["", "", ".", ",", "..."]) for _ in range(60_000)}
+    words = [w.encode() for w in sorted(words)] + [b"a" * 3000, b"thing" * 400]
+    assert encoder.latin and encoder.many(words) == [encoder._latin(w) for w in words]
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert not T.Encoder(T.read_definition(other), "<u2").latin  # no word ends
