@@ -236,12 +236,6 @@ def crawl_job(read):
     return out["results"].select("domain", "url", F.col("depth").cast("long").alias("depth"), "parent_url", "success")
 
 
-@query(None)
-def boilerplate_shrink(read):
-    """Which pages shrink by how much after the removal of blocks shared within their host."""
-    return jobs.boilerplate_shrink(read.spread("pages").select(U.host(F.col("url")).alias("domain"), "url", "html"))
-
-
 @query("""SELECT DISTINCT source AS domain FROM documents WHERE source LIKE 'src1%'""")
 def list_domains(read):
     return store.list_domains(read("documents").withColumnRenamed("source", "domain"), "src1")

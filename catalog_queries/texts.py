@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from catalog_queries.registry import query
 from catalog_queries.tables import LINES_SQL
-from shopflow.functions import text as T
+from shopflow.functions import text as T, urls as U
 from shopflow.operators import boilerplate as B, pages as P
+from shopflow.plans import jobs
 from shopflow.runtime import cut
 
 BLANK = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -107,10 +108,12 @@ def block_removal(read):
                                                   T.deletion_rate(F.col("text"), F.col("clean")).alias("kept"))
 
 
-SAMPLE_SQL = """
+DOCS_SQL = """
 docs AS (SELECT source AS domain, lpad(CAST(doc_id AS VARCHAR), 12, '0') AS url,
   'Welcome to our house of fine old things' || chr(10) || text || chr(10) || 'All offers are subject to change' || chr(10) || 'Opening hours every day from nine' AS markdown
-  FROM documents),
+  FROM documents)"""
+
+PAIRS_SQL = """
 fresh AS (SELECT * FROM docs WHERE length(markdown) >= 500
   QUALIFY row_number() OVER (PARTITION BY domain, sha256(markdown) ORDER BY url) = 1),
 sample AS (SELECT domain, row_number() OVER (PARTITION BY domain ORDER BY url) AS doc_no, url, markdown FROM fresh
@@ -118,6 +121,7 @@ sample AS (SELECT domain, row_number() OVER (PARTITION BY domain ORDER BY url) A
 pairs AS (SELECT a.domain, CASE WHEN a.doc_no = 1 THEN b.doc_no - 2 ELSE 2 END AS pair_no, a.doc_no AS doc_a, b.doc_no AS doc_b,
   a.markdown AS text_a, b.markdown AS text_b FROM sample a JOIN sample b ON a.domain = b.domain AND a.doc_no < b.doc_no)
 """
+SAMPLE_SQL = f"{DOCS_SQL}, {PAIRS_SQL}"
 
 
 def _shop_docs(read):
@@ -177,7 +181,7 @@ boxes AS (
 )"""
 
 
-BLOCKS_SQL = rf"""{SAMPLE_SQL}, {RUNS_SQL},
+SHARED_SQL = rf"""{PAIRS_SQL}, {RUNS_SQL},
 found AS (SELECT m.domain, m.pair_no, m.ma, la.i, la.line,
    NOT (line LIKE '#%' OR regexp_matches(lower(line), '(^|[^\p{{L}}\p{{M}}\p{{N}}_])(price|inventory|sku|item|lot|verfügbarkeit|vorrätig|availability|stock|zustand)($|[^\p{{L}}\p{{M}}\p{{N}}_])')
      OR regexp_matches(line, '[$€£]\s*[0-9]|[0-9]\s*[$€£]')) AS safe
@@ -186,6 +190,13 @@ block AS (SELECT domain, pair_no, ma, count(*) AS n_lines, string_agg(line, chr(
    HAVING len(list_filter(regexp_split_to_array(string_agg(line, ' ' ORDER BY i), '{BLANK}+'), lambda x: x <> '')) > 3),
 once AS (SELECT domain, pair_no, min(ma) AS ma, n_lines, body FROM block GROUP BY domain, pair_no, n_lines, body),
 first AS (SELECT * FROM once QUALIFY pair_no = min(pair_no) OVER (PARTITION BY domain))"""
+BLOCKS_SQL = f"{DOCS_SQL}, {SHARED_SQL}"
+CLEAN_SQL = """split AS (SELECT domain, url, markdown, string_split(markdown, chr(10)) AS ls, list_transform(string_split(markdown, chr(10)), lambda x: trim(x)) AS bare FROM docs),
+spot AS (SELECT s.domain, s.url, i, n_lines FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM split) s JOIN first f ON f.domain = s.domain
+  AND array_to_string(list_slice(bare, i, i + n_lines - 1), chr(10)) = body),
+gone AS (SELECT DISTINCT domain, url, i + unnest(range(n_lines)) AS i FROM spot),
+kept AS (SELECT s.domain, s.url, string_agg(s.ls[s.i], chr(10) ORDER BY s.i) AS clean FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM split) s
+  LEFT JOIN gone g ON g.domain = s.domain AND g.url = s.url AND g.i = s.i WHERE g.i IS NULL GROUP BY s.domain, s.url)"""
 
 
 @query(f"""WITH RECURSIVE {BLOCKS_SQL}
@@ -211,13 +222,7 @@ def block_summary(read):
     return made.select("domain", "preview", *[F.col(c).cast("long").alias(c) for c in ("blocks_found", "total_lines", "block_no", "n_lines")])
 
 
-@query(f"""WITH RECURSIVE {BLOCKS_SQL},
-split AS (SELECT domain, url, markdown, string_split(markdown, chr(10)) AS ls, list_transform(string_split(markdown, chr(10)), lambda x: trim(x)) AS bare FROM docs),
-spot AS (SELECT s.domain, s.url, i, n_lines FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM split) s JOIN first f ON f.domain = s.domain
-  AND array_to_string(list_slice(bare, i, i + n_lines - 1), chr(10)) = body),
-gone AS (SELECT DISTINCT domain, url, i + unnest(range(n_lines)) AS i FROM spot),
-kept AS (SELECT s.domain, s.url, string_agg(s.ls[s.i], chr(10) ORDER BY s.i) AS clean FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM split) s
-  LEFT JOIN gone g ON g.domain = s.domain AND g.url = s.url AND g.i = s.i WHERE g.i IS NULL GROUP BY s.domain, s.url)
+@query(f"""WITH RECURSIVE {BLOCKS_SQL}, {CLEAN_SQL}
 SELECT s.domain, s.url, length(markdown) > 20000 AS too_long, length(coalesce(clean, '')) AS clean_chars, sha256(coalesce(clean, '')) AS clean_hash
 FROM split s LEFT JOIN kept k ON k.domain = s.domain AND k.url = s.url""")
 def clean_documents(read):
@@ -228,9 +233,57 @@ def clean_documents(read):
         "domain", "url", "too_long", F.length("clean").alias("clean_chars"), F.sha2("clean", 256).alias("clean_hash"))
 
 
-@query(None)
+TOKEN = (r"""(?si)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"""
+         r"""|</?[a-z][\w:-]*(?:[^>"']|"[^"]*"|'[^']*')*>|<[!?][^>]*>""").replace("'", "''")
+EXCLUDED = ", ".join(f"'{t}'" for t in sorted({*P.EXCLUDED_TAGS, "head"}))
+INLINE, VOID = (", ".join(f"'{t}'" for t in names) for names in (P._INLINE, P._VOID))
+
+
+def _unescaped(c):
+    """The character references of the given pages."""
+    for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        c = f"replace({c}, '{name}', '{char}')"
+    return c
+
+
+#: Tokens of a page, and a recursion over those of excluded names, which holds the name that is skipped and its depth.
+MARKDOWN_SQL = rf"""
+page AS (SELECT page_id, url, regexp_extract_all(html, '{TOKEN}') AS tags, regexp_split_to_array(html, '{TOKEN}') AS texts FROM pages),
+tok AS (SELECT page_id, i, tags[i] AS tag, texts[i + 1] AS txt, CASE WHEN regexp_matches(tags[i], '(?i)^<(script|style)\b') THEN '' ELSE lower(regexp_extract(tags[i], '(?i)^</?([a-z][\w:-]*)', 1)) END AS name,
+  tags[i] LIKE '</%' AS closing FROM (SELECT *, unnest(range(1, len(tags) + 1)) AS i FROM page)),
+ex AS (SELECT page_id, i, name, closing, tag LIKE '%/>' OR name IN ({VOID}) AS alone, row_number() OVER (PARTITION BY page_id ORDER BY i) AS n FROM tok WHERE name IN ({EXCLUDED})),
+st(page_id, n, name, depth, since, lo, hi) AS (SELECT page_id, 0::BIGINT, '', 0, 0::BIGINT, NULL::BIGINT, NULL::BIGINT FROM page
+  UNION ALL SELECT ex.page_id, ex.n,
+    CASE WHEN st.depth = 0 THEN CASE WHEN ex.closing OR ex.alone THEN '' ELSE ex.name END WHEN ex.name <> st.name THEN st.name WHEN ex.closing AND st.depth = 1 THEN '' ELSE st.name END,
+    CASE WHEN st.depth = 0 THEN CASE WHEN ex.closing OR ex.alone THEN 0 ELSE 1 END WHEN ex.name <> st.name THEN st.depth WHEN ex.closing THEN st.depth - 1 ELSE st.depth + 1 END,
+    CASE WHEN st.depth = 0 THEN ex.i ELSE st.since END, CASE WHEN st.depth = 1 AND ex.name = st.name AND ex.closing THEN st.since END, CASE WHEN st.depth = 1 AND ex.name = st.name AND ex.closing THEN ex.i END
+  FROM st JOIN ex ON ex.page_id = st.page_id AND ex.n = st.n + 1),
+hide AS (SELECT page_id, lo, hi FROM st WHERE hi IS NOT NULL UNION ALL
+  SELECT page_id, since, 1000000000 FROM (SELECT * FROM st QUALIFY n = max(n) OVER (PARTITION BY page_id)) WHERE depth > 0),
+piece AS (SELECT t.page_id, t.i, CASE WHEN bool_or(t.i > lo AND t.i <= hi) THEN '' WHEN any_value(name) = '' THEN ''
+    WHEN any_value(name) IN ({EXCLUDED}) THEN CASE WHEN any_value(closing) OR any_value(tag) LIKE '%/>' OR any_value(name) IN ({VOID}) THEN '' ELSE chr(1) || chr(2) END
+    WHEN any_value(name) IN ({INLINE}) THEN ''
+    ELSE chr(1) || CASE WHEN any_value(closing) THEN '' WHEN regexp_full_match(any_value(name), 'h[1-6]') THEN repeat('#', any_value(name)[2]::INTEGER) || ' ' WHEN any_value(name) = 'li' THEN '* ' ELSE '' END || chr(2) END
+  || CASE WHEN bool_or(t.i >= lo AND t.i < hi) THEN '' ELSE {_unescaped('any_value(txt)')} END AS s
+  FROM tok t LEFT JOIN hide h ON h.page_id = t.page_id GROUP BY t.page_id, t.i),
+whole AS (SELECT p.page_id, any_value(p.url) AS url, {_unescaped('any_value(texts[1])')} || coalesce(string_agg(s, '' ORDER BY i), '') AS s FROM page p LEFT JOIN piece USING (page_id) GROUP BY p.page_id),
+part AS (SELECT page_id, url, k, CASE WHEN contains(x, chr(2)) THEN split_part(x, chr(2), 1) ELSE '' END AS mark, trim(regexp_replace(CASE WHEN contains(x, chr(2)) THEN split_part(x, chr(2), 2) ELSE x END, '{BLANK}+', ' ', 'g')) AS body
+  FROM (SELECT page_id, url, k, string_split(s, chr(1))[k] AS x FROM (SELECT *, unnest(range(1, len(string_split(s, chr(1))) + 1)) AS k FROM whole))),
+md AS (SELECT page_id, any_value(url) AS url, coalesce(string_agg(mark || body, chr(10) ORDER BY k) FILTER (WHERE body <> ''), '') AS markdown FROM part GROUP BY page_id)"""
+
+
+@query(f"WITH RECURSIVE {MARKDOWN_SQL} SELECT page_id, length(markdown) AS chars, sha256(markdown) AS hash FROM md")
 def html_to_markdown(read):
-    return P.html_to_markdown(read.spread("pages")).select("page_id", F.length("markdown").alias("chars"), F.sha2("markdown", 256).alias("hash"))
+    return P.html_to_markdown(read.spread("pages")).select("page_id", F.length("markdown").cast("long").alias("chars"), F.sha2("markdown", 256).alias("hash"))
+
+
+@query(f"""WITH RECURSIVE {MARKDOWN_SQL}, docs AS (SELECT regexp_extract(lower(url), '^[a-z]+://([^/?#:]*)', 1) AS domain, url, markdown FROM md), {SHARED_SQL}, {CLEAN_SQL}
+SELECT s.domain, s.url, length(markdown) AS raw_chars, length(coalesce(clean, '')) AS clean_chars,
+  CASE WHEN length(markdown) = 0 THEN 0 ELSE length(coalesce(clean, '')) / length(markdown) END AS kept
+FROM split s LEFT JOIN kept k ON k.domain = s.domain AND k.url = s.url""")
+def boilerplate_shrink(read):
+    """Which pages shrink by how much after the removal of blocks shared within their host."""
+    return jobs.boilerplate_shrink(read.spread("pages").select(U.host(F.col("url")).alias("domain"), "url", "html"))
 
 
 @query("""SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN true WHEN doc_id % 3 = 0 THEN coalesce(text <> prev, true) ELSE false END AS changed,

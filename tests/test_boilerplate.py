@@ -144,6 +144,26 @@ def test_html_to_lines(spark):
     assert got == ["# Old chair\nPrice & more\nnext\n* one\n* two\n![C](https://a.b/c.jpg)\nend", None, ""]
 
 
+def test_page_lines_of_odd_pages(spark):
+    """Nested and open excluded tags, references, stray tags, blanks, comments that never end."""
+    pages = {
+        "<p>a</p><nav><nav>x</nav>y</nav>b<aside>c": "a\nb",
+        "a &lt;b&gt; &#233; &#xE9; &eacute; &amp;amp; &notit; &copy 1 &unknown; & &#0; &#1114112; &#55296;": "a <b> é é é &amp; ¬it; © 1 &unknown; & \ufffd \ufffd \ufffd",
+        "x<!-- never <p>closed": "x",
+        "<script>if (a < b) { '</p>' }</script>t<style>p{}": "t",
+        "</nav>a<nav/>b<input>c<form>d</form >e": "abc\ne",
+        "<h2 class='x>y'>  T  i </h2><li><h3>n</h3></li>": "## T i\n### n",
+        '<img alt="A" src="a&amp;b"><img alt="no"><IMG SRC=q>': "![A](a&b)![](q)",
+        "<div>one<br>two<span>three</span> four\t\u00a0five</div>": "one\ntwothree four five",
+        "<header>h</header><main>m<footer>f": "m",
+        "   ": "", "a\x01b\x02c": "abc",
+    }
+    df = spark.createDataFrame([(k,) for k in pages], "html string")
+    assert {r.html: r.markdown for r in P.html_to_markdown(df).collect()} == pages
+    plan = P.html_to_markdown(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
 def test_links(spark):
     html = '<a href="/a">x</a><A class=c HREF=\'https://o.com/b#t\'>y</A><a href="mailto:x@y.z">m</a><a href="?p=1&amp;q=2">z</a>'
     df = spark.createDataFrame([("https://www.e.com/d/", html)], "url string, html string")
