@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from catalog_queries.registry import query
 from catalog_queries.tables import EVENTS_SQL, ISO, PRODUCTS_SQL, observations, products
@@ -93,12 +93,15 @@ def derive_events(read):
                          F.col("old_price.amount").alias("old_amount"), F.col("new_price.amount").alias("new_amount"), "old_state", "new_state")
 
 
-@query(f"WITH {EVENTS_SQL} SELECT event_type, count(*) AS n FROM derived WHERE pid = '7' GROUP BY 1")
+@query(f"""WITH {EVENTS_SQL} SELECT CAST(row_number() OVER (ORDER BY ts, event_type) AS INTEGER) AS n, event_type, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts,
+  old_amount, new_amount FROM derived WHERE pid = '7'""")
 def history(read):
-    """Event kinds in the history of one product."""
-    obs = observations(read("events")).withColumn("price", F.when(F.col("amount").isNotNull(), F.struct("amount", "currency")))
-    events = C.derive_events(obs, ts="observed_at", tie=("seq",))
-    return C.history(events, shops_product_id="7").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    """The events of one product in order; only its observations are looked at."""
+    obs = observations(read("events").where("user_id = 7")).withColumn("price", F.when(F.col("amount").isNotNull(), F.struct("amount", "currency")))
+    events = C.history(C.derive_events(obs, ts="observed_at", tie=("seq",)), shops_product_id="7")
+    order = Window.partitionBy("shops_product_id").orderBy("timestamp", "event_type", "event_id")
+    return events.select(F.row_number().over(order).alias("n"), "event_type", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+                         F.col("old_price.amount").alias("old_amount"), F.col("new_price.amount").alias("new_amount"))
 
 
 def _watches(read):

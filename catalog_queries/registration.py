@@ -25,6 +25,20 @@ def core_domain_by_table(read):
     return R.core_domain_by_table(hosts, suffixes)
 
 
+@query("""WITH h AS (SELECT DISTINCT regexp_replace(lower(regexp_extract(url, '^https?://([^/?#:]*)', 1)), '^www\\.', '') AS domain FROM pages),
+l AS (SELECT domain, string_split(domain, '.') AS l FROM h)
+SELECT domain, CASE WHEN l[-1] = 'com' THEN CASE WHEN l[-2] = 'example' THEN l[-3] ELSE l[-2] END
+  WHEN l[-1] = 'net' THEN CASE WHEN domain LIKE 'm.%' AND len(l) = 4 THEN l[1] WHEN l[-2] = 'example' THEN coalesce(l[-4], '') ELSE l[-2] END
+  ELSE l[-1] END AS core_domain_name FROM l""")
+def core_domain_by_rules(read):
+    """Normal, wildcard and exception rules: ``example.com``, ``*.example.net``, and an exception for each host ``m.<shop>.example.net``."""
+    hosts = sites(read).select("domain")
+    fixed = F.array(*[F.lit(r) for r in ("com", "net", "example.com", "*.example.net")])
+    suffixes = (hosts.agg(F.any_value(fixed).alias("f")).select(F.explode("f").alias("suffix")).unionByName(
+        hosts.where(F.col("domain").rlike(r"^m\.[^.]+\.example\.net$")).select(F.concat(F.lit("!"), "domain").alias("suffix"))))
+    return R.core_domain_by_table(hosts, suffixes)
+
+
 def _split(read):
     named = sites(read).withColumns({"shop_name": F.lit(None).cast("string"), "shop_type": F.lit("NONE"), "shop_image": F.lit(None).cast("string")})
     new = named.where(F.col("first_page") % 2 == 1)

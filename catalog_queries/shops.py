@@ -301,3 +301,17 @@ def scrape_job(read):
     requests = shops_.select("domain", F.lit(None).cast("string").alias("next"))
     out = jobs.scrape_shops(shops_, requests, table, pages, shops_.select("domain", footer.alias("blocks")), "2026-01-01T00:00:00Z", extractor=_model)
     return out["outcomes"].select("domain", "url", "outcome")
+
+
+@query("""WITH r AS (SELECT DISTINCT (l_orderkey * 8 + l_linenumber) * 1000 AS lo, l_linenumber FROM lineitem),
+c AS (SELECT 'host' || event_id AS domain, (event_id * 7919) % 100000000 AS ip FROM events)
+SELECT domain, CASE WHEN ip <= lo + 600 THEN 'COUNTRY#C' || l_linenumber END AS shop_country FROM c ASOF LEFT JOIN r ON ip >= lo""")
+def country_ranges(read):
+    """An address range for every order line."""
+    line = F.col("l_linenumber")
+    ranges = read("lineitem").select(((F.col("l_orderkey") * 8 + line) * 1000).alias("lo"), F.concat(F.lit("C"), line.cast("string")).alias("country")).distinct()
+    ranges = ranges.withColumn("hi", F.col("lo") + 600)
+    ip = (F.col("event_id") * 7919) % 100_000_000
+    hosts = read("events").select(
+        F.concat(F.lit("host"), F.col("event_id").cast("string")).alias("domain"), ip.alias("ip"), F.lit(None).cast("string").alias("shop_country"))
+    return S.country_of_ip(hosts, ranges).select("domain", "shop_country")

@@ -182,10 +182,10 @@ def saved_searches_of(filters: DataFrame, user_id, order: str = "desc", offset:
 
 
 def history(events: DataFrame, **key) -> DataFrame:
-    """Events of one product by time."""
+    """Events of one product by time, those of one moment by type."""
     for name, value in key.items():
         events = events.where(F.col(name) == value)
-    return events.orderBy("timestamp", "event_id")
+    return events.orderBy("timestamp", "event_type", "event_id")
 
 
 def summary(df: DataFrame) -> DataFrame:

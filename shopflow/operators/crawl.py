@@ -44,10 +44,9 @@ def discover_links(level: DataFrame, edges: DataFrame, visited: DataFrame, **gat
     """(children not yet visited with their first parent, number of skipped links per domain) of one level."""
     links = (level.where("success").select("domain", F.col("url").alias("src_url"), F.col("url").alias("walk"), "depth")
              .join(gate_links(edges, **gates), "src_url").withColumn("success", F.lit(True)))
-    depth = level.agg(F.max("depth").alias("_depth"))
+    depth = level.agg(F.max("depth")).first()[0] or 0  # of the level, one number
     met = met_targets(links, visited)
-    children = met.where("allowed").select("domain", "url", "f.parent_url").join(depth).select("domain", "url", (F.col("_depth") + 1).alias("depth"), "parent_url")
-    return children, skipped_links(met)
+    return met.where("allowed").select("domain", "url", F.lit(depth + 1).alias("depth"), "f.parent_url"), skipped_links(met)
 
 
 def _within_budget(level: DataFrame, spent: DataFrame, max_pages: int, **options) -> DataFrame:

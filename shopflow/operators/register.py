@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shopflow.functions import states, urls
 from shopflow.functions.states import display_name
@@ -13,24 +13,40 @@ _LIMIT = MAX_DOMAINS_PER_SHOP
 
 
 def core_domain_by_table(df: DataFrame, suffixes: DataFrame, domain: str = "domain") -> DataFrame:
-    """Adds ``core_domain_name`` by the longest suffix of a table (column ``suffix``).
+    """Adds ``core_domain_name`` by the rules of a suffix table (column ``suffix``).
 
-    A domain without a known suffix keeps its last label.
+    A rule is a suffix, a wildcard (``*.ck``: any label before ``ck`` belongs to the suffix) or an exception
+    (``!www.ck``: not so for this name). An exception goes first, then the rule with the most labels. A domain without
+    a rule keeps its last label, a bare suffix has no name.
     """
     hosts = df.select(F.col(domain).alias("_d")).distinct()
     labels = F.split(urls.normalize_domain(F.col("_d")), r"\.")
-    tails = hosts.select("_d", labels.alias("_l")).select("_d", "_l", F.explode(F.sequence(F.lit(1), F.size("_l"))).alias("_k"))
-    tails = tails.withColumn("suffix", F.array_join(F.expr("slice(_l, -_k, _k)"), "."))
-    cores = (tails.join(suffixes.select("suffix").distinct().withColumn("_hit", F.lit(1)), "suffix", "left")
-             .groupBy("_d").agg(F.max(F.when(F.col("_hit") == 1, F.col("_k"))).alias("_n"), F.first("_l").alias("_l")))
+
+    def tail(k: Column) -> Column:
+        return F.array_join(F.slice("_l", F.size("_l") - k + 1, k), ".")
+
+    def rules(k: Column) -> Column:
+        """Rules that a name with these last ``k`` labels can meet, with the number of labels of the suffix."""
+        wild = F.when(k > 1, F.concat(F.lit("*."), tail(F.greatest(k - 1, F.lit(1)))))
+        return F.array(F.struct(tail(k).alias("suffix"), k.alias("n"), F.lit(False).alias("exact")), F.struct(wild.alias("suffix"), k.alias("n"), F.lit(False).alias("exact")),
+                       F.struct(F.concat(F.lit("!"), tail(k)).alias("suffix"), (k - 1).alias("n"), F.lit(True).alias("exact")))
+
+    every = F.flatten(F.transform(F.sequence(F.lit(1), F.size("_l")), rules))
+    asked = hosts.select("_d", labels.alias("_l")).select("_d", "_l", F.explode(every).alias("r")).select("_d", "_l", "r.*")
+    met = asked.join(suffixes.select("suffix").distinct().withColumn("_hit", F.lit(True)), "suffix", "left")
+    best = F.max(F.when(F.col("_hit"), F.struct("exact", "n")))["n"]
+    cores = met.groupBy("_d").agg(best.alias("_n"), F.first("_l").alias("_l"))
     name = F.when(F.col("_n").isNull(), F.element_at("_l", -1)).when(
         F.size("_l") > F.col("_n"), F.get("_l", F.size("_l") - F.col("_n") - 1)).otherwise(F.lit(""))
     named = cores.select(F.col("_d").alias(domain), name.alias("core_domain_name"))
     return df.drop("core_domain_name").join(named, domain, "left")
 
 
-def new_shops(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Change records to (new shops, rejects). Only inserted shop rows count; one without a domain is a reject."""
+def new_shops(changes: DataFrame, suffixes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Change records to (new shops, rejects). Only inserted shop rows count; one without a domain is a reject.
+
+    Core names follow the table ``suffixes``, if there is one.
+    """
     image = F.col("dynamodb.NewImage")
 
     def attribute(name: str):
@@ -45,7 +61,8 @@ def new_shops(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
                      attribute("shop_image").alias("shop_image"),
                      states.shop_type(attribute("shop_type")).alias("shop_type"))
              .withColumn("core_domain_name", urls.core_domain(F.col("domain"))))
-    return (shops.where(F.col("domain").isNotNull()),
+    named = shops.where(F.col("domain").isNotNull())
+    return (named if suffixes is None else core_domain_by_table(named, suffixes).select(*shops.columns),
             shops.where(F.col("domain").isNull()).select("sequence_number", F.lit("MISSING_DOMAIN").alias("error")))
 
 

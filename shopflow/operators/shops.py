@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shopflow.functions import states
 from shopflow.functions.columns import ratio
 from shopflow.functions.states import operation_column, parse_state
-from shopflow.operators.skew import salted_join
+from shopflow.operators.skew import carry_forward
 from shopflow.schemas import DEFAULT_COUNTRY, STATE_DONE, STATE_NEVER, STATE_PROGRESS
 
 
@@ -130,18 +130,18 @@ def ip_to_long(ip: Column) -> Column:
     return F.when(ip.rlike(r"^(25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(\.(25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})){3}$"), value)
 
 
-def country_of_ip(shops: DataFrame, ranges: DataFrame, salts: int = 16) -> DataFrame:
+def country_of_ip(shops: DataFrame, ranges: DataFrame, parts: int | None = None) -> DataFrame:
     """Fill a missing ``shop_country`` from the number ``ip``; ``ranges`` are disjoint (lo, hi, country).
 
-    Ranges are cut at 65,536 addresses, which gives the join an equal key, and shops of a busy block are salted.
+    An as-of join: shops and range starts are sorted together in ranges of addresses, and each shop takes the last start
+    before it. So neither the number of ranges nor an address that many shops share makes a task large.
     """
-    block = 1 << 16
-    cut = (ranges.select("lo", "hi", "country", F.explode(F.sequence(
-        F.floor(F.col("lo") / block), F.floor(F.col("hi") / block))).alias("_block")))
-    # A block may meet several ranges: keep them as one sorted list per block, at most 65,536 entries.
-    per_block = cut.groupBy("_block").agg(F.collect_list(F.struct("lo", "hi", "country")).alias("_ranges"))
-    located = salted_join(shops.withColumn("_block", F.floor(F.col("ip") / block)), per_block, ["_block"], ["domain"],
-                          salts=salts)
-    hit = F.filter(F.col("_ranges"), lambda r: (r["lo"] <= F.col("ip")) & (F.col("ip") <= r["hi"]))
-    found = F.when(F.size(hit) > 0, states.country_key(F.get(hit, 0)["country"]))
-    return located.withColumn("shop_country", F.coalesce("shop_country", found)).drop("_block", "_ranges")
+    shop, found = F.struct(*[F.col(c).alias(c) for c in shops.columns]), F.struct("hi", "country")
+    none = {"shop": shops.select(shop.alias("s")).schema["s"].dataType, "found": ranges.select(found.alias("f")).schema["f"].dataType}
+    asked = shops.select(F.col("ip").cast("long").alias("at"), F.lit(1).alias("side"), F.xxhash64(*[F.col(c).cast("string") for c in ("domain", "ip")]).alias("tie"),
+                         shop.alias("shop"), F.lit(None).cast(none["found"]).alias("found"))
+    starts = ranges.select(F.col("lo").cast("long").alias("at"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("tie"),
+                           F.lit(None).cast(none["shop"]).alias("shop"), found.alias("found"))
+    met = carry_forward(starts.unionByName(asked), ["at", "side", "tie"], "found", "last", parts).where("side = 1")
+    hit = F.when(F.col("at") <= F.col("last.hi"), states.country_key(F.col("last.country")))
+    return met.select(*[F.coalesce(f"shop.{c}", hit).alias(c) if c == "shop_country" else F.col(f"shop.{c}").alias(c) for c in shops.columns])

@@ -57,6 +57,19 @@ def look_back(df: DataFrame, keys: list[str], order: list[str], number: str | No
     return out.select(*df.columns, *[c for c in (number, prev if columns else None) if c])
 
 
+def carry_forward(rows: DataFrame, order: list[str], value: str, name: str, ranges: int | None = None) -> DataFrame:
+    """Adds the last ``value`` that is not null, up to and with each row in ``order``, over all rows.
+
+    Rows are cut into ranges of ``order``, whatever their keys; a range starts with what the ranges before it left.
+    """
+    ranged = in_ranges(rows, [], order, ranges)
+    local = Window.partitionBy(_RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ends = ranged.groupBy(_RANGE).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_end"))
+    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(_RANGE, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    return ranged.join(carried, _RANGE).withColumn(name, F.coalesce(F.last(value, ignorenulls=True).over(local), "_carry")).select(*rows.columns, name)
+
+
 def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "row_no", ranges: int | None = None) -> DataFrame:
     """Consecutive numbers from 1 within each key (or over all rows without keys), in ``order``."""
     return look_back(df, keys, order, number=name, ranges=ranges)

@@ -92,9 +92,9 @@ def scrape_shops(shops: DataFrame, requests: DataFrame, url_table: DataFrame, pa
             "shops": store.mark_done(started, counts, "scrape", ts)}
 
 
-def register_shops(changes: DataFrame, shops: DataFrame) -> dict[str, DataFrame]:
-    """Change records to registration requests; records without a domain are rejects."""
-    good, rejects = register.new_shops(changes)
+def register_shops(changes: DataFrame, shops: DataFrame, suffixes: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Change records to registration requests; records without a domain are rejects. ``suffixes`` is a suffix table for core names."""
+    good, rejects = register.new_shops(changes, suffixes)
     return {"plan": register.registration_plan(good, shops), "rejects": rejects}
 
 

@@ -217,3 +217,28 @@ def test_crawl_orchestration_counts_failures(spark):
     summary = out["summary"].first()
     assert (summary.shops_found, summary.shops_enqueued, summary.shops_failed) == (30, 28, 2)
     assert {(r.domain, r.error) for r in out["failed"].collect()} == {("s1.de", "Down"), ("s2.de", "Down")}
+
+
+def test_suffix_rules(spark):
+    rules = spark.createDataFrame([(r,) for r in ("uk", "co.uk", "com", "*.ck", "!www.ck", "jp", "*.kawasaki.jp", "!city.kawasaki.jp")], "suffix string")
+    hosts = {"shop.example.co.uk": "example", "example.uk": "example", "co.uk": "", "a.b.example.com": "example", "x.shop.foo.ck": "shop", "foo.ck": "", "shop.foo.ck": "shop",
+             "a.www.ck": "www", "b.c.kawasaki.jp": "b", "city.kawasaki.jp": "city", "x.city.kawasaki.jp": "city", "one.unknown": "unknown"}
+    df = spark.createDataFrame([(h,) for h in hosts], "domain string")
+    assert {r.domain: r.core_domain_name for r in R.core_domain_by_table(df, rules).collect()} == hosts
+
+
+def test_registration_by_suffix_table(spark):
+    rows = [("INSERT", {"SequenceNumber": "1", "NewImage": {"pk": {"S": "SHOP#tools.shop.foo.ck"}, "sk": {"S": "META#"}}})]
+    changes = spark.createDataFrame(rows, "eventName string, dynamodb struct<SequenceNumber:string,NewImage:map<string,struct<S:string>>>")
+    rules = spark.createDataFrame([("*.ck",)], "suffix string")
+    assert [r.core_domain_name for r in R.new_shops(changes, rules)[0].collect()] == ["shop"] and [r.core_domain_name for r in R.new_shops(changes)[0].collect()] == ["foo"]
+
+
+def test_country_of_shared_address_and_many_ranges(spark):
+    ranges = spark.range(20_000).select((F.col("id") * 100).alias("lo"), (F.col("id") * 100 + 59).alias("hi"), F.col("id").cast("string").alias("country"))
+    df = spark.range(9_000).select(F.concat(F.lit("d"), "id").alias("domain"), F.when(F.col("id") % 3 == 0, F.lit(777_720)).otherwise(F.col("id") * 211).cast("long").alias("ip"),
+                                   F.lit(None).cast("string").alias("shop_country"))
+    found = S.country_of_ip(df, ranges, 12)
+    assert found.columns == df.columns
+    for r in found.collect():
+        assert r.shop_country == (f"COUNTRY#{r.ip // 100}" if r.ip % 100 < 60 else None), r
