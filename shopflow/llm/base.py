@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import functools
+import pickle
 import sys
 import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shopflow.runtime import scope, written
 
@@ -50,6 +52,15 @@ def kept_in_worker(name: str, make: Callable[[], object]):
     return place[name]
 
 
+def ship(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast of objects of this package's classes, by value: executors need no copy of the package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def opened(shipped: Broadcast):
+    return pickle.loads(shipped.value)
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(df[column].cast("string"), F.lit(""))

@@ -17,13 +17,12 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopflow.llm.base import stored
+from shopflow.llm.base import kept_in_worker, stored
 from shopflow.llm.bpe import Remembered
 
 DECAY = 0.6
@@ -50,9 +49,15 @@ def letter_code(c: str) -> int:
     return 36 + ord(c) % 26
 
 
-@lru_cache(maxsize=LONGEST_UNIT + 3)
 def triples(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Positions and weights of the triples of a unit with ``length`` codes; unit norm."""
+    known = kept_in_worker("string-kernel-triples", dict)  # no longer than the longest unit
+    if length not in known:
+        known[length] = _triples(length)
+    return known[length]
+
+
+def _triples(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     at = [(i, j, k) for i in range(length) for j in range(i + 1, min(i + SPAN, length)) for k in range(j + 1, min(i + SPAN, length))]
     i, j, k = np.array(at).T
     weight = DECAY ** (k - i + 1.0)
