@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from catalog_queries.registry import query
@@ -56,10 +58,30 @@ def extract_products(read):
                        F.col("price.amount").alias("amount"), "state", F.col("shops_product_id").alias("number"))
 
 
-@query("""SELECT doc_id, length(text) AS text_chars, true AS has_time FROM documents""")
+def _null(kind, **more):
+    return {"type": [kind, "null"], **more}
+
+
+def _object(**members):
+    return _null("object", properties=members, additionalProperties=False)
+
+
+_MONEY = _object(amount=_null("integer"), currency=_null("string", enum=["AUD", "CAD", "EUR", "GBP", "NZD", "USD", None]))
+_TEXT = _object(text=_null("string"), language=_null("string", enum=["de", "en", "es", "fr", None]))
+#: What the schema in the prompt must be.
+SCHEMA = json.dumps(_object(
+    is_product=_null("boolean"), shopsProductId=_null("string"), title=_TEXT, description=_TEXT, price=_MONEY, priceEstimateMin=_MONEY, priceEstimateMax=_MONEY,
+    state=_null("string", enum=["AVAILABLE", "LISTED", "REMOVED", "RESERVED", "SOLD", "UNKNOWN", None]), images=_null("array", items=_null("string")),
+    auctionStart=_null("string"), auctionEnd=_null("string")), separators=(",", ":"))
+
+
+@query(f"""WITH p AS (SELECT doc_id, 'Extract one product of an antiques shop from the page text below as a JSON object that follows the schema. Use its field names, null for what is missing, '
+  || 'and no text around the object.' || chr(10) || chr(10) || 'Schema:' || chr(10) || '{SCHEMA}' AS system_prompt,
+  'Current time: ' || strftime(TIMESTAMP '2026-01-01 00:00:00' + INTERVAL 1 MINUTE * doc_id, '%Y-%m-%dT%H:%M:%SZ') || chr(10) || chr(10) || 'Page text:' || chr(10) || text AS user_prompt FROM documents)
+SELECT doc_id, sha256(system_prompt) AS system_hash, sha256(user_prompt) AS user_hash FROM p""")
 def prompts(read):
+    """The whole prompts of every document, a minute apart."""
     rows = read("documents").select("doc_id", F.col("text").alias("clean"))
-    made = E.with_prompt(rows, "{}", F.lit("2026-01-01T00:00:00Z"))
-    frame = len(E.USER_TEMPLATE) - 4 + 20
-    return made.select("doc_id", (F.length("user_prompt") - frame).cast("long").alias("text_chars"),
-                       F.col("user_prompt").contains("2026-01-01T00:00:00Z").alias("has_time"))
+    at = F.lit("2026-01-01 00:00:00").cast("timestamp") + F.make_interval(mins=F.col("doc_id").cast("int"))
+    made = E.with_prompt(rows, None, at)
+    return made.select("doc_id", F.sha2("system_prompt", 256).alias("system_hash"), F.sha2("user_prompt", 256).alias("user_hash"))

@@ -72,6 +72,11 @@ def operation_column(operation: str, suffix: str = "end") -> str:
     return f"{OPERATIONS[operation]}_{suffix}"
 
 
+def utc_text(at: Column) -> Column:
+    """A timestamp as ISO text in UTC, to the second."""
+    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def cutoff(now: datetime | None = None, days: int = 2) -> str:
     """ISO text of ``now - days`` in UTC."""
     now = now or datetime.now(timezone.utc)

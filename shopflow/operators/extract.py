@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
-from shopflow.functions import text
+from shopflow.functions import states, text
 from shopflow.functions.columns import let, once
 from shopflow.runtime import cut
 from shopflow.schemas import CURRENCIES, EXTRACTED, EXTRACTED_KEYS, LANGUAGES, PRODUCT_STATES
@@ -34,8 +36,31 @@ _FUNCTION_WORDS = {
 }
 
 
-def with_prompt(df: DataFrame, schema_json: str, now: Column, content: str = "clean") -> DataFrame:
-    """Adds ``system_prompt`` and ``user_prompt``."""
+_ALLOWED = {"state": PRODUCT_STATES, "language": LANGUAGES, "currency": CURRENCIES}
+
+
+def json_schema(kind: DataType, name: str = "") -> dict:
+    """JSON schema of a record type: every member may be null, no others are allowed; named sets of values are listed."""
+    if isinstance(kind, StructType):
+        return {"type": ["object", "null"], "properties": {f.name: json_schema(f.dataType, f.name) for f in kind.fields}, "additionalProperties": False}
+    if isinstance(kind, ArrayType):
+        return {"type": ["array", "null"], "items": json_schema(kind.elementType)}
+    types = {"string": "string", "bigint": "integer", "boolean": "boolean", "double": "number"}
+    made = {"type": [types[kind.simpleString()], "null"]}
+    return made | ({"enum": [*sorted(_ALLOWED[name]), None]} if name in _ALLOWED else {})
+
+
+def record_schema(df: DataFrame) -> str:
+    """The schema of the extracted record as JSON text."""
+    kind = df.sparkSession.range(0).select(F.lit(None).cast(EXTRACTED).alias("r")).schema["r"].dataType
+    return json.dumps(json_schema(kind), separators=(",", ":"))
+
+
+def with_prompt(df: DataFrame, schema_json: str | None, now: Column, content: str = "clean") -> DataFrame:
+    """Adds ``system_prompt``, with the schema of the extracted record if none is given, and ``user_prompt``; ``now`` is text or a timestamp."""
+    schema_json = record_schema(df) if schema_json is None else schema_json
+    if not isinstance(df.select(now.alias("n")).schema["n"].dataType, StringType):
+        now = states.utc_text(now)
     return df.withColumns({
         "system_prompt": F.lit(SYSTEM_TEMPLATE % schema_json),
         "user_prompt": F.concat(F.lit(USER_TEMPLATE.split("%s")[0]), now, F.lit(USER_TEMPLATE.split("%s")[1]),

@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shopflow.functions import text
 from shopflow.functions.columns import once
 from shopflow.operators.catalogue import product_text, product_words, query_words
-from shopflow.operators.skew import salted_join, top_per_key
+from shopflow.operators.skew import top_per_key
 from shopflow.runtime import cut
 from shopflow.schemas import PRODUCT_KEY
 
 K1, B = 1.2, 0.75
+LAST_BIN, ANY_BIN, ANY_STATE = 255, -1, "*"
 
 
 def score(df: DataFrame, query: str, content: Column | None = None) -> DataFrame:
@@ -53,23 +54,37 @@ def _in_range(name: str, low: Column, high: Column) -> Column:
         & low.isNotNull(), F.lit(False))
 
 
+def price_bin(amount: Column) -> Column:
+    """Bins of prices, four to a doubling; a larger price is never in a lower bin."""
+    return F.when(amount < 1, 0).otherwise(F.least(F.floor(F.log2(amount.cast("double")) * 4) + 1, F.lit(LAST_BIN))).cast("int")
+
+
 def match_filters(filters: DataFrame, products: DataFrame) -> DataFrame:
     """(user_id, filter_id, shop_id, shops_product_id) for every stored search and product that match.
 
-    Every search has a text, so candidates come from an equal join on one word per search: the one that the fewest
-    products have. All words and all other predicates are then checked on the candidates.
+    Every search has a text, so candidates come from an equal join on one word per search, the one that the fewest products
+    have, together with what the search asks of price and state: its price range as bins, each of its states. A search that asks for
+    no price or state meets products under a value that all of them have. All words and all other predicates are then checked on the candidates.
     """
     stored = filters.withColumn("_words", F.array_distinct(text.words(F.col("product_search.product_query"))))
     asked = stored.select("user_id", "filter_id", F.explode("_words").alias("word"))
-    having = products.select(*PRODUCT_KEY, F.explode(F.array_distinct(product_words())).alias("word")).join(
+    having = products.select(*PRODUCT_KEY, F.col("price.amount").alias("_amount"), F.col("state").alias("_state"), F.explode(F.array_distinct(product_words())).alias("word")).join(
         asked.select("word").distinct(), "word", "left_semi")
     frequency = having.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     anchors = (asked.join(frequency, "word").groupBy("user_id", "filter_id")
                .agg(F.min_by("word", F.struct("n", "word")).alias("word")))
-    pairs = salted_join(having, anchors, ["word"], PRODUCT_KEY, "inner").drop("word")
-    detailed = salted_join(pairs, stored.select(
-        "user_id", "filter_id", F.struct("product_search", "_words").alias("f")), ["user_id", "filter_id"], PRODUCT_KEY,
-        "inner")
+    wanted = F.col("product_search.price")
+    low, high = (F.coalesce(price_bin(wanted[end]), F.lit(default)) for end, default in (("min", 0), ("max", LAST_BIN)))
+    bins = F.when(wanted.isNull(), F.array(F.lit(ANY_BIN))).when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+    states = F.when(F.size("product_search.state") > 0, F.array_distinct("product_search.state")).otherwise(F.array(F.lit(ANY_STATE)))
+    placed = (stored.select("user_id", "filter_id", bins.alias("bins"), states.alias("states")).join(anchors, ["user_id", "filter_id"])
+              .select("user_id", "filter_id", "word", F.explode("bins").alias("bin"), "states")
+              .select("user_id", "filter_id", "word", "bin", F.explode("states").alias("_state")))
+    own_bins = F.explode(F.array_compact(F.array(F.lit(ANY_BIN), price_bin(F.col("_amount")))))
+    own_states = F.explode(F.array_compact(F.array(F.lit(ANY_STATE), "_state")))
+    offered = having.withColumn("bin", own_bins).withColumn("_state", own_states).drop("_amount")
+    pairs = offered.join(placed, ["word", "bin", "_state"]).drop("word", "bin", "_state")
+    detailed = pairs.join(stored.select("user_id", "filter_id", F.struct("product_search", "_words").alias("f")), ["user_id", "filter_id"])
     rows = detailed.join(products, PRODUCT_KEY)
     price, search = F.col("price.amount"), "f.product_search"
     first = F.coalesce("origin_year_min", "origin_year", "origin_year_max")
