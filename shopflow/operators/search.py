@@ -55,8 +55,8 @@ def _in_range(name: str, low: Column, high: Column) -> Column:
 
 
 def price_bin(amount: Column) -> Column:
-    """Bins of prices, four to a doubling; a larger price is never in a lower bin."""
-    return F.when(amount < 1, 0).otherwise(F.least(F.floor(F.log2(amount.cast("double")) * 4) + 1, F.lit(LAST_BIN))).cast("int")
+    """Bins of prices, four to a doubling; a larger price is never in a lower bin. Null stays null."""
+    return F.when(amount < 1, 0).when(amount.isNotNull(), F.least(F.floor(F.log2(amount.cast("double")) * 4) + 1, F.lit(LAST_BIN))).cast("int")
 
 
 def match_filters(filters: DataFrame, products: DataFrame) -> DataFrame:
