@@ -18,9 +18,6 @@ def con():
     return c
 
 
-NO_SQL = {"html_to_markdown", "boilerplate_shrink"}  # page parsing in Python; tests/test_boilerplate.py compares it with fixtures
-
-
 def queries():
     """Those of the shop library; optional operators have tests of their own."""
     return {n: q for n, q in all_queries().items() if n in QUERIES}
@@ -29,7 +26,7 @@ def queries():
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     result, _ = compare(spark, con, name, SF)
-    assert result.startswith("rows" if name in NO_SQL else "ok"), result
+    assert result.startswith("ok"), result
 
 
 def test_entry(spark):
@@ -38,14 +35,14 @@ def test_entry(spark):
 
 
 def test_names():
-    assert set(oracle_sql()) <= set(all_queries()) and set(QUERIES) - set(oracle_sql()) == NO_SQL
+    assert set(oracle_sql()) <= set(all_queries()) and set(QUERIES) <= set(oracle_sql())
 
 
 def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-PLAIN = [n for n in queries() if not n.startswith(("stream_", "similar_topk", "crawl_job", "scrape_job", "bfs_", "classify"))]
+PLAIN = [n for n in queries() if not n.startswith(("stream_", "similar_topk", "crawl_job", "scrape_job", "bfs_", "walk_", "classify"))]
 
 
 def test_no_cross_joins(spark):
