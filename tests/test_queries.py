@@ -99,3 +99,15 @@ def test_walk_does_not_shuffle_the_graph(spark):
 
 def test_paging_keeps_only_one_page_per_task(spark):
     assert "TakeOrderedAndProject" in physical(queries()["keyset_page"](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["stream_registration"])
+def test_streams_read_tables_of_several_files(spark, tmp_path, name):
+    pages = [(i, f"http://www.shop{i % 7}.{('example.com', 'example.org')[i % 2]}/p/{i}", "<p>x</p>") for i in range(40)]
+    docs = [(i, f"text {i}", ("de", "en")[i % 2], f"src{i % 3}") for i in range(120)]
+    views = duckdb.connect()
+    for table, rows, schema in (("pages", pages, "page_id long, url string, html string"), ("documents", docs, "doc_id long, text string, lang string, source string")):
+        spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+        views.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    result, _ = compare(spark, views, name, str(tmp_path))
+    assert result.startswith("ok") and int(result.split()[1]) > 0, result
