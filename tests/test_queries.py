@@ -101,7 +101,7 @@ def test_paging_keeps_only_one_page_per_task(spark):
     assert "TakeOrderedAndProject" in physical(queries()["keyset_page"](spark, SF))
 
 
-@pytest.mark.parametrize("name", ["stream_registration"])
+@pytest.mark.parametrize("name", ["stream_urls", "stream_registration"])
 def test_streams_read_tables_of_several_files(spark, tmp_path, name):
     pages = [(i, f"http://www.shop{i % 7}.{('example.com', 'example.org')[i % 2]}/p/{i}", "<p>x</p>") for i in range(40)]
     docs = [(i, f"text {i}", ("de", "en")[i % 2], f"src{i % 3}") for i in range(120)]
