@@ -108,49 +108,88 @@ QUERY_BLOCK = 512
 POINT_BLOCK = 4096
 
 
+POINT_PARTS = 8  # parts of the points: a query leaves its k best of each
+
+
 def _matrix(vectors: pd.Series) -> np.ndarray:
     m = np.array(vectors.tolist(), dtype=np.float64)
     norms = np.linalg.norm(m, axis=1, keepdims=True)
     return m / np.where(norms == 0, 1.0, norms)
 
 
+def _packed(vectors: DataFrame, size: int, parts: int, prefix: str) -> DataFrame:
+    """Blocks of at most ``size`` vectors in ``parts`` partitions: ids and unit vectors."""
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), size):
+                part = pdf.iloc[at:at + size].sort_values("id", kind="stable")
+                yield pd.DataFrame({"ids": [part["id"].tolist()], "places": [_matrix(part["vector"]).astype("<f8").tobytes()]})
+
+    kind = vectors.schema["id"].dataType.simpleString()
+    spread = vectors.select("id", "vector").repartition(parts, F.xxhash64("id", "vector"))
+    return cut(spread.mapInPandas(pack, f"ids array<{kind}>, places binary")).toDF(f"{prefix}_ids", f"{prefix}_places")
+
+
+class _Nearest:
+    """The k nearest so far of each query of a block, nearest first, ties to the smaller id."""
+
+    def __init__(self, ids: np.ndarray, places: np.ndarray, k: int) -> None:
+        self.ids, self.places, self.k = ids, places, k
+        self.least = np.full(len(ids), -np.inf)  # rounded similarity of the k-th
+        self.at, self.near, self.sims = np.empty(0, np.int64), ids[:0], np.empty(0)
+
+    def meet(self, ids: np.ndarray, places: np.ndarray) -> None:
+        sims = np.clip(self.places @ places.T, -1.0, 1.0)
+        sims[(self.ids[:, None] == ids[None, :]) | np.isnan(sims)] = -2.0
+        rounded = np.round(sims, 12)
+        least = self.least
+        if rounded.shape[1] > self.k and np.isinf(least).any():
+            least = np.maximum(least, np.partition(rounded, -self.k, axis=1)[:, -self.k])
+        at, column = np.nonzero((rounded >= least[:, None]) & (rounded >= -1.0))
+        at, near, sims = np.concatenate([self.at, at]), np.concatenate([self.near, ids[column]]), np.concatenate([self.sims, sims[at, column]])
+        order = np.argsort(near, kind="stable")
+        order = order[np.argsort(-np.round(sims[order], 12), kind="stable")]
+        order = order[np.argsort(at[order], kind="stable")]
+        begins = np.searchsorted(at[order], np.arange(len(self.ids)))
+        place = np.arange(len(order)) - begins[at[order]]
+        order, place = order[place < self.k], place[place < self.k]
+        self.at, self.near, self.sims = at[order], near[order], sims[order]
+        last = place == self.k - 1
+        self.least[self.at[last]] = np.round(self.sims[last], 12)
+
+    def found(self) -> pd.DataFrame:
+        return pd.DataFrame({"id": self.ids[self.at], "other_id": self.near, "similarity": self.sims})
+
+
 def similar(vectors: DataFrame, k: int, queries: DataFrame | None = None, query_block: int = QUERY_BLOCK,
             point_block: int = POINT_BLOCK) -> DataFrame:
     """The ``k`` nearest vectors by cosine for each query, exact: (id, rank, other_id, similarity).
 
     ``vectors`` and ``queries`` are (id, vector); all vectors are queries by default and none matches itself. Ties go
-    to the smaller id. Points and queries are packed into blocks, each query block meets each point block in a task of
-    bounded memory, and only the k best of a query leave a meeting. Work is linear in the points for a set of queries.
+    to the smaller id. Points and queries are packed into blocks in the shared folder; a task reads a part of the queries and one of
+    the points there, lets their blocks meet and holds one query block's best at a time. So neither side is shuffled to the other,
+    and only the k best of a query leave a part of the points. Work is linear in the points for a set of queries.
     """
     asked = vectors if queries is None else queries
     kind = vectors.schema["id"].dataType.simpleString()
-    n = max(1, -(-asked.count() // query_block))
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), point_block):
-                part = pdf.iloc[at:at + point_block]
-                yield pd.DataFrame({"ids": [part["id"].tolist()], "places": [part["vector"].tolist()]})
-
-    points = cut(vectors.select("id", "vector").mapInPandas(pack, f"ids array<{kind}>, places array<array<float>>"))
-    blocks = asked.select("id", "vector").groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("q")).agg(
-        F.collect_list(F.struct("id", "vector")).alias("asked"))
-    met = points.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(blocks, "q").repartition(F.xxhash64("q", "ids"))
+    points = _packed(vectors, point_block, POINT_PARTS, "p")
+    blocks = _packed(asked, query_block, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), "q").withColumn("q", F.monotonically_increasing_id())
+    met = blocks.crossJoin(points.hint("shuffle_replicate_nl")).select("q", "q_ids", "q_places", "p_ids", "p_places")
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, best = None, None
         for pdf in batches:
-            for ids, places, listed in zip(pdf["ids"], pdf["places"], pdf["asked"]):
-                ids, own = np.array(ids), np.array([x["id"] for x in listed])
-                sims = np.clip(_matrix(pd.Series([x["vector"] for x in listed])) @ _matrix(pd.Series(list(places))).T, -1.0, 1.0)
-                order = np.argsort(ids, kind="stable")
-                ids, sims = ids[order], sims[:, order]
-                sims[own[:, None] == ids[None, :]] = -2.0
-                top = np.argsort(-np.round(sims, 12), axis=1, kind="stable")[:, :k]
-                rows = np.repeat(np.arange(len(own)), top.shape[1])
-                found = pd.DataFrame({"id": own[rows], "other_id": ids[top.ravel()], "similarity": sims[rows, top.ravel()]})
-                yield found[found["similarity"] >= -1.0]
-
-    best = met.select("ids", "places", "asked").mapInPandas(meet, f"id {kind}, other_id {kind}, similarity double")
+            for q, own, own_places, ids, places in zip(*(pdf[c] for c in pdf.columns)):
+                if q != held:
+                    if best is not None:
+                        yield best.found()
+                    held = q
+                    best = _Nearest(np.array(own), np.frombuffer(own_places, "<f8").reshape(len(own), -1), k)
+                best.meet(np.array(ids), np.frombuffer(places, "<f8").reshape(len(ids), -1))
+        if best is not None:
+            yield best.found()
+
+    best = met.mapInPandas(meet, f"id {kind}, other_id {kind}, similarity double")
     order = Window.partitionBy("id").orderBy(F.round("similarity", 12).desc(), "other_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("id", "rank", "other_id", "similarity")
 

@@ -228,6 +228,16 @@ def test_similar(spark, queries, points):
         assert part == {i: got[i] for i in range(10)}
 
 
+def test_similar_shuffles_neither_side_to_the_other(spark):
+    df = spark.createDataFrame([(i, [1.0, float(i), 0.5]) for i in range(40)] + [(40, [float("nan"), 0.0, 0.0])], "id long, vector array<float>")
+    found = Q.similar(df, 3, query_block=8, point_block=8)
+    plan = found._jdf.queryExecution().optimizedPlan().toString(), found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan[1] and "RepartitionByExpression" not in plan[0]
+    assert plan[1].count("Exchange") == 1  # the k best of each part of the points
+    rows = found.collect()
+    assert len(rows) == 120 and all(40 not in (r.id, r.other_id) for r in rows)
+
+
 def test_convert_and_unique(spark):
     from shopflow.operators.register import uniqueness_violations
 
