@@ -123,3 +123,13 @@ def test_level_does_not_move_visited_keys(spark):
             assert physical(met).count("Exchange") == 1 and sorted(int(r.url) for r in met.collect()) == [15, 16, 17, 18, 19]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_filters_and_status_are_asked_once_a_target(spark, monkeypatch):
+    """Many links to few targets: the stored graph holds links only."""
+    stored, plain = {}, C.bucketed
+    monkeypatch.setattr(C, "bucketed", lambda df, keys, name, buckets=None: stored.setdefault(name, df.columns) and plain(df, keys, name, buckets))
+    edges = {f"n{i}": [(o, f"n{o}") for o in range(6)] + [(9, "n0.pdf")] for i in range(6)}
+    found = run(spark, [("d", "n0")], edges, {f"n{i}": i != 4 for i in range(6)} | {"n0.pdf": True})
+    assert [(r[1], r[2], r[4]) for r in found] == [("n0", 0, True), ("n1", 1, True), ("n2", 1, True), ("n3", 1, True), ("n4", 1, False), ("n5", 1, True)]
+    assert set(stored["graph"]) == {"src_url", "dst_url", "ord", "salt"} and set(stored["status"]) == {"url", "success"}
