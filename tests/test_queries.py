@@ -111,3 +111,13 @@ def test_streams_read_tables_of_several_files(spark, tmp_path, name):
         views.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
     result, _ = compare(spark, views, name, str(tmp_path))
     assert result.startswith("ok") and int(result.split()[1]) > 0, result
+
+
+@pytest.mark.parametrize("by", ["lang", "source"])
+def test_stream_reads_a_table_of_partition_folders(spark, tmp_path, by):
+    docs = [(i, f"text {i}", ("de", "en")[i % 2], f"src{i % 3}") for i in range(120)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.partitionBy(by).parquet(f"{tmp_path}/documents.parquet")
+    views = duckdb.connect()
+    views.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*/*.parquet', hive_partitioning = true)")
+    result, _ = compare(spark, views, "stream_urls", str(tmp_path))
+    assert result.startswith("ok") and int(result.split()[1]) > 0, result
