@@ -116,7 +116,7 @@ class LookBack:
     def handle(self, path: str, state: str) -> Callable[[DataFrame, int], None]:
         def run(batch: DataFrame, batch_id: int) -> None:
             log = KeyedLog(batch.sparkSession, state, self.keys, clock=self.clock[0], forget=self.forget)
-            rows = batch.persist()
+            rows = joined = batch.persist()
             try:
                 known = log.read(batch_id)
                 at, before = F.struct(*self.clock), F.struct(*[F.col(c).alias(c) for c in self.columns])
@@ -125,7 +125,7 @@ class LookBack:
                         rows.select(before.alias("c")).schema["c"].dataType))
                 else:
                     own = known.join(rows.select(*self.keys).distinct(), self.keys, "left_semi").select(*self.keys, at.alias("_at"), before.alias("_old"))
-                    joined = rows.join(own, self.keys, "left")
+                    joined = rows.join(own, self.keys, "left").persist()  # sampled, sorted and asked for late rows: joined once
                 early = F.coalesce(at < F.col("_at"), F.lit(False))
                 fresh = joined.where(~early)
                 if self.once:
@@ -139,6 +139,7 @@ class LookBack:
                 finally:
                     met.unpersist()
             finally:
+                joined.unpersist()
                 rows.unpersist()
 
         return run

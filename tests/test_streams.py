@@ -176,3 +176,24 @@ def test_late_rows_are_an_output(spark, tmp_path):
     assert run("1.json", 1, 3, 5) == ([(1, 2)], [(3, 1), (4, 1), (5, 1)], [(1, 1)])
     assert run("2.json", 9, 4) == ([(1, 2), (3, 1), (4, 2), (5, 1)], [(9, 1)], [(1, 1)])
     assert run("3.json", 4) == ([(1, 2), (3, 1), (4, 2), (5, 1)], [(9, 1)], [(1, 1), (4, 1)])
+
+
+def test_look_back_joins_a_batch_with_the_state_once(spark, tmp_path):
+    """Range sampling, sorting and the late rows read the joined batch from one stored copy."""
+    from shopflow.streaming.keyed import LookBack
+
+    leaves = []
+
+    def late(rows):
+        leaves.append(rows._jdf.queryExecution().withCachedData().collectLeaves().size())
+        return rows.select("k", "t", "v", F.lit(None).cast("string").alias("prev"), F.lit(True).alias("late"))
+
+    batches = [spark.createDataFrame(rows, "k string, t long, v string") for rows in ([("a", 5, "x"), ("b", 1, "y")], [("a", 3, "z"), ("a", 6, "w"), ("b", 2, "y")])]
+    run = LookBack(batches[0], ["k"], ["t"], ["v"], late=late,
+                   emit=lambda rows: rows.select("k", "t", "v", F.col("prev.v").alias("prev"), F.lit(False).alias("late"))).handle(f"{tmp_path}/out", f"{tmp_path}/state")
+    for i, batch in enumerate(batches):
+        run(batch, i)
+    assert leaves == [1, 1]
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert {tuple(r) for r in got.drop("batch").collect()} == {("a", 5, "x", None, False), ("b", 1, "y", None, False), ("a", 3, "z", None, True), ("a", 6, "w", "x", False), ("b", 2, "y", "y", False)}
+    assert all(not d.storageLevel.useMemory for d in batches)
