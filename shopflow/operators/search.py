@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,11 +13,13 @@ from shopflow.functions import text
 from shopflow.functions.columns import once
 from shopflow.operators.catalogue import product_text, product_words, query_words
 from shopflow.operators.skew import top_per_key
-from shopflow.runtime import cut
+from shopflow.runtime import cut, written
 from shopflow.schemas import PRODUCT_KEY
 
 K1, B = 1.2, 0.75
 LAST_BIN, ANY_BIN, ANY_STATE = 255, -1, "*"
+TILE = 4096  # stored searches and products of a cell that meet in one piece
+LISTED = ("shop_name", "shop_type", "state", "authenticity", "condition", "provenance", "restoration")
 
 
 def score(df: DataFrame, query: str, content: Column | None = None) -> DataFrame:
@@ -59,46 +62,70 @@ def price_bin(amount: Column) -> Column:
     return F.when(amount < 1, 0).when(amount.isNotNull(), F.least(F.floor(F.log2(amount.cast("double")) * 4) + 1, F.lit(LAST_BIN))).cast("int")
 
 
-def match_filters(filters: DataFrame, products: DataFrame) -> DataFrame:
+def _with_copies(df: DataFrame, key: list[str]) -> DataFrame:
+    """The rows with a whole key, each as often as its key occurs: copies of a search meet copies of a product in every combination, twice over."""
+    keyed = df.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in key]))
+    counted = keyed.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*key)))
+    return counted.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int")))).drop("_n")
+
+
+def match_filters(filters: DataFrame, products: DataFrame, tile: int = TILE) -> DataFrame:
     """(user_id, filter_id, shop_id, shops_product_id) for every stored search and product that match.
 
-    Every search has a text, so candidates come from an equal join on one word per search, the one that the fewest products
-    have, together with what the search asks of price and state: its price range as bins, each of its states. A search that asks for
-    no price or state meets products under a value that all of them have. All words and all other predicates are then checked on the candidates.
+    Every search has a text, so candidates come from an equal join on the two words of a search that the fewest products
+    have, together with what the search asks of price and state: the bins of its price range that products lie in, each of its states. A search
+    that asks for no price or state meets products under a value that all of them have. Both sides carry what the other words and all other
+    predicates need, so these are checked where the two meet and no pair is moved. Searches and products of one cell meet in tiles of
+    ``tile`` rows of each, dealt to the tasks: a cell that many share is neither held nor worked off by one task.
     """
-    stored = filters.withColumn("_words", F.array_distinct(text.words(F.col("product_search.product_query"))))
-    asked = stored.select("user_id", "filter_id", F.explode("_words").alias("word"))
-    having = products.select(*PRODUCT_KEY, F.col("price.amount").alias("_amount"), F.col("state").alias("_state"), F.explode(F.array_distinct(product_words())).alias("word")).join(
-        asked.select("word").distinct(), "word", "left_semi")
-    frequency = having.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    anchors = (asked.join(frequency, "word").groupBy("user_id", "filter_id")
-               .agg(F.min_by("word", F.struct("n", "word")).alias("word")))
+    stored = _with_copies(filters, ["user_id", "filter_id"]).withColumn("_words", F.array_distinct(text.words(F.col("product_search.product_query"))))
+    checked = ["price", "origin_year", "origin_year_min", "origin_year_max", "created", "updated", "auction_start", "auction_end", *LISTED]
+    having = products.select(*PRODUCT_KEY, *[F.col(c) for c in checked], F.array_distinct(product_words()).alias("_words"))
+    asked = stored.select(F.explode("_words").alias("word")).distinct()
+    having = written(_with_copies(having, PRODUCT_KEY), "offered-products")
+    frequency = having.select(F.explode("_words").alias("word")).join(asked, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    texts = stored.select("_words").distinct().withColumn("word", F.explode("_words")).join(frequency, "word")
+    rarest = F.sort_array(F.collect_list(F.struct("n", "word")))
+    anchors = texts.groupBy("_words").agg(rarest.alias("r")).where(F.size("r") == F.size("_words")).select(
+        "_words", F.get("r", F.lit(0))["word"].alias("word"), F.coalesce(F.get("r", F.lit(1)), F.get("r", F.lit(0)))["word"].alias("second"))
+    anchors = written(anchors, "search-anchors")
+
     wanted = F.col("product_search.price")
-    low, high = (F.coalesce(price_bin(wanted[end]), F.lit(default)) for end, default in (("min", 0), ("max", LAST_BIN)))
-    bins = F.when(wanted.isNull(), F.array(F.lit(ANY_BIN))).when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+    low, high = (F.when(wanted.isNull(), ANY_BIN).otherwise(F.coalesce(price_bin(wanted[end]), F.lit(default))) for end, default in (("min", 0), ("max", LAST_BIN)))
     states = F.when(F.size("product_search.state") > 0, F.array_distinct("product_search.state")).otherwise(F.array(F.lit(ANY_STATE)))
-    placed = (stored.select("user_id", "filter_id", bins.alias("bins"), states.alias("states")).join(anchors, ["user_id", "filter_id"])
-              .select("user_id", "filter_id", "word", F.explode("bins").alias("bin"), "states")
-              .select("user_id", "filter_id", "word", "bin", F.explode("states").alias("_state")))
-    own_bins = F.explode(F.array_compact(F.array(F.lit(ANY_BIN), price_bin(F.col("_amount")))))
-    own_states = F.explode(F.array_compact(F.array(F.lit(ANY_STATE), "_state")))
-    offered = having.withColumn("bin", own_bins).withColumn("_state", own_states).drop("_amount")
-    pairs = offered.join(placed, ["word", "bin", "_state"]).drop("word", "bin", "_state")
-    detailed = pairs.join(stored.select("user_id", "filter_id", F.struct("product_search", "_words").alias("f")), ["user_id", "filter_id"])
-    rows = detailed.join(products, PRODUCT_KEY)
+    placed = stored.join(anchors, "_words").select(
+        "user_id", "filter_id", "word", "second", low.alias("low"), high.alias("high"), F.struct("product_search", "_words").alias("f"), F.explode(states).alias("_state"))
+
+    own_bins = F.explode(F.array_compact(F.array(F.lit(ANY_BIN), price_bin(F.col("price.amount")))))
+    own_states = F.explode(F.array_compact(F.array(F.lit(ANY_STATE), "state")))
+    offered = (having.withColumn("word", F.explode("_words")).join(anchors.select("word").distinct(), "word", "left_semi")
+               .withColumn("second", F.explode("_words")).join(anchors.select("word", "second").distinct(), ["word", "second"], "left_semi")
+               .withColumn("bin", own_bins).withColumn("_state", own_states))
+    cell, place = ["word", "second", "_state"], ["word", "second", "_state", "bin", "x", "y"]
+    tiles = F.ceil(F.count(F.lit(1)) / tile).cast("int")
+    cells = written(offered.groupBy(*cell, "bin").agg(tiles.alias("ys")).join(placed.groupBy(*cell).agg(tiles.alias("xs")), cell), "search-cells")
+    numbered = lambda key, n: F.pmod(F.xxhash64(*key), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    searches = (placed.join(cells, cell).where(F.col("bin").between(F.col("low"), F.col("high")))
+                .withColumn("x", numbered(["user_id", "filter_id"], "xs")).withColumn("y", every("ys")).select("user_id", "filter_id", "f", *place))
+    offers = (offered.join(cells, [*cell, "bin"]).withColumn("y", numbered(PRODUCT_KEY, "ys")).withColumn("x", every("xs"))
+              .select(*PRODUCT_KEY, *checked, "_words", *place))
+    parts = int(having.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = offers.repartition(parts, *place).join(searches.repartition(parts, *place).hint("merge"), place)
+
     price, search = F.col("price.amount"), "f.product_search"
     first = F.coalesce("origin_year_min", "origin_year", "origin_year_max")
     last = F.coalesce("origin_year_max", "origin_year", "origin_year_min")
     excluded = F.col(f"{search}.exclude_shop_name")
-    keep = (F.size(F.array_except("f._words", product_words())) == 0)
-    for name in ("shop_name", "shop_type", "state", "authenticity", "condition", "provenance", "restoration"):
-        keep = _allows(name) & keep
-    keep = keep & (excluded.isNull() | ~F.coalesce(F.array_contains(excluded, F.col("shop_name")), F.lit(False)))
-    keep = keep & _in_range("price", price, price) & (F.col(f"{search}.price").isNull() | F.coalesce(
+    keep = _in_range("price", price, price) & (F.col(f"{search}.price").isNull() | F.coalesce(
         F.col("price.currency") == F.col(f"{search}.currency"), F.lit(False)))
+    for name in LISTED:
+        keep = keep & _allows(name)
+    keep = keep & (excluded.isNull() | ~F.coalesce(F.array_contains(excluded, F.col("shop_name")), F.lit(False)))
     keep = keep & _in_range("origin_year", first, last)
     for name in ("created", "updated", "auction_start", "auction_end"):
         keep = keep & _in_range(name, F.col(name), F.col(name))
+    keep = keep & ((F.size("f._words") < 3) | (F.size(F.array_except("f._words", "_words")) == 0))
     return rows.where(keep).select("user_id", "filter_id", *PRODUCT_KEY)
 
 

@@ -78,6 +78,31 @@ def test_filters(spark, products):
     assert {(int(r.filter_id), r.shops_product_id) for r in Q.match_filters(filters, products).collect()} == want
 
 
+def searches(spark, rows):
+    lists = "shop_name exclude_shop_name shop_type state authenticity condition provenance restoration".split()
+    ranges = {"price": "bigint", "origin_year": "int"} | dict.fromkeys(["created", "updated", "auction_start", "auction_end"], "timestamp")
+    kinds = ["language:string", "currency:string", "product_query:string"] + [f"{c}:array<string>" for c in lists] + [f"{c}:struct<min:{t},max:{t}>" for c, t in ranges.items()]
+    made = [(u, str(i), ("en", "EUR", q, *[None] * len(lists), price, *[None] * 5)) for i, (u, q, price) in enumerate(rows)]
+    return spark.createDataFrame(made, f"user_id string, filter_id string, product_search struct<{','.join(kinds)}>")
+
+
+@pytest.mark.parametrize("tile", [3, 4096])
+def test_filters_meet_where_they_are_checked(spark, products, tile):
+    """Pairs of a search and a product are only made by the last join, so they are neither shuffled nor spilled."""
+    queries = [("old", None), ("old oak", (5000, None)), ("oak old clock", None), ("clock", (None, 30000)), ("clock nowhere", None), ("", None)] * 3
+    filters = searches(spark, [("u", q, price) for q, price in queries])
+    found = Q.match_filters(filters, products, tile=tile)
+    plan = found._jdf.queryExecution().optimizedPlan()
+    while plan.children().size() == 1:
+        plan = plan.children().apply(0)
+    sides = [plan.children().apply(i).output().toString() for i in range(plan.children().size())]
+    assert len(sides) == 2 and not any("filter_id" in s and "shops_product_id" in s for s in sides)
+    rows = products.collect()
+    want = sorted((str(i), p.shops_product_id) for i, (q, price) in enumerate(queries) for p in rows
+                  if q and by_hand(p, dict(language="en", currency="EUR", product_query=q) | ({"price": price} if price else {})))
+    assert sorted((r.filter_id, r.shops_product_id) for r in found.collect()) == want and len(want) > 100
+
+
 def test_filter_rules():
     for bad in (dict(language="it", currency="EUR", product_query="abc"), dict(language="en", currency="CHF", product_query="abc"), dict(language="en", currency="EUR", product_query="ab")):
         with pytest.raises(ValueError):
