@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,3 +165,75 @@ def test_every_ending_has_a_class_by_its_own_neighbours(edge):
     assert moved > 10
     unseen = "zz一qqq".encode()
     assert found.item(unseen) == found.other
+
+
+def test_every_word_has_a_class_by_its_own_neighbours(edge):
+    by_form, _ = B.train(edge.select("text"), words=10, endings=6, classes=5)
+    model, words = B.train(edge.select("text"), words=10, endings=6, classes=5, own=True)
+    found, pairs = model.classes, Counter()
+    for r in edge_rows():
+        listed = [B.END, *B.tokens(r[1])]
+        pairs.update(zip(listed, listed[1:]))
+    n = Counter(w for r in edge_rows() for w in B.tokens(r[1]))
+    form = {w: int(found.of_item[found.item(w)]) for w in n}
+    got = {bytes(r.word): (r.n, r.c) for r in words.collect()}
+    assert {w: k for w, (k, _) in got.items()} == n and np.array_equal(by_form.classes.of_item, found.of_item)
+    own = {w: c for w, (_, c) in got.items()}
+    for w in n:
+        if w in found.items:
+            assert own[w] == form[w]
+            continue
+        tried = []
+        for c in range(5):
+            of = lambda x: c if x == w else form[x]  # noqa: B023, E731
+            table = np.zeros((5, 5))
+            for (a, b), k in pairs.items():
+                table[of(a), of(b)] += k
+            tried.append(B._xlogx(table).sum() - B._xlogx(table.sum(0)).sum() - B._xlogx(table.sum(1)).sum())
+        assert tried[own[w]] > max(tried) - 1e-6
+    assert sum(own[w] != form[w] for w in n) > 20
+    table = np.zeros((5, 5))
+    for (a, b), k in pairs.items():
+        table[own[a], own[b]] += k
+    share = (table.sum(0) + 1) / (table.sum() + 5)
+    assert np.allclose(model.after, np.log10((table + B.PRIOR * share) / (table.sum(1, keepdims=True) + B.PRIOR)))
+    assert model.size.tolist() == [sum(k for w, k in n.items() if own[w] == c) for c in range(5)]
+    for r in B.score(edge, model, words, ["doc_id"]).collect():
+        assert r.n_known == r.n_tokens
+    texts = {r[0]: r[1] for r in edge_rows()}
+    for r in B.score(edge.dropDuplicates(["doc_id"]), model, words, ["doc_id"]).collect():
+        if Counter(k for k, *_ in edge_rows())[r.doc_id] == 1:
+            listed = B.tokens(texts[r.doc_id])
+            want = sum(model.after[own[a], own[w]] + math.log10((n[w] - B.DISCOUNT) / model.size[own[w]]) for a, w in zip([B.END, *listed], listed))
+            assert math.isclose(r.score, want, rel_tol=1e-9)
+
+
+def test_forms_of_many_words_at_once():
+    rng = random.Random(4)
+    words = [b"", b"...", "été!".encode(), b"a", b"ab,", b"abc.)", b"the", "一二".encode()] + ["".join(rng.choices("abcé.,)!-", k=rng.randint(0, 6))).encode() for _ in range(500)]
+    found = B.Classes({b"the": 0, b"a": 1, b"": 2} | {e: i for i, e in enumerate(sorted({B.ending(w) for w in words[50:60]}), 3)}, 0, 3)
+    found.other = len(found.items)
+    made = pa.array([b"skipped", *words], pa.binary())[1:]
+    assert found.bins_of(made).tolist() == [found.bin(w) for w in words]
+    assert [e.to_bytes(6).lstrip(b"\0") for e in B.endings_of(made).tolist()] == [B.ending(w) for w in words]
+
+
+def test_many_items_at_once_go_where_each_would():
+    rng = np.random.default_rng(3)
+    words, classes = 60, 7
+    counts = rng.poisson(0.3, (words, words)) * rng.integers(1, 9, (words, words))
+    counts[np.arange(0, words, 4), np.arange(0, words, 4)] += 5
+    of = rng.integers(0, classes, words)
+    member = np.eye(classes)[of]
+    table = (member.T @ counts @ member).astype(float)
+    r, l, own = counts @ member, counts.T @ member, np.diag(counts).astype(float)
+    want = []
+    for i in range(words):
+        a, b, here, rest = r[i].copy(), l[i].copy(), of[i], table.copy()
+        a[here] -= own[i]
+        b[here] -= own[i]
+        rest[here, :] -= a
+        rest[:, here] -= b
+        rest[here, here] -= own[i]
+        want.append(B._best_class(rest, a, b, own[i], here))
+    assert B.best_classes(table, r, l, own, of).tolist() == want and want != of.tolist()
